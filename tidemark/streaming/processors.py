@@ -1,0 +1,294 @@
+"""Keyed stateful operators on streams.
+
+Rows of one key reach a processor in any order within a micro-batch, so those that
+depend on the order sort them by ``seq``. That list is one key's rows of one
+micro-batch, which the sources bound by ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
+"""
+
+from __future__ import annotations
+
+from collections import deque
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.functions.records import REFUNDED
+from tidemark.operators.alarm import WITHIN_MS
+from tidemark.operators.emit import FIRING_WORD, HORIZON_MS
+
+
+class RunningSum(StatefulProcessor):
+    """Adds the running sum of ``value`` to every record of the key."""
+
+    def __init__(self, fields: list[str], value: str, seq: str, name: str) -> None:
+        self.fields, self.value, self.seq = fields, value, seq
+        self.out = Row(*fields, name)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "total bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = self.total.get()
+        total = kept[0] if kept else 0
+        for row in sorted(rows, key=lambda r: r[self.seq]):
+            total += row[self.value]
+            yield self.out(*[row[f] for f in self.fields], total)
+        self.total.update((total,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_running_sum(
+    df: DataFrame, key: str, value: str, seq: str = "seq", name: str = "total"
+) -> DataFrame:
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.groupBy(key).transformWithState(
+        RunningSum(df.columns, value, seq, name), f"{schema}, {name} bigint", "Append", "None"
+    )
+
+
+class ConditionalEmit(StatefulProcessor):
+    """Emits the second and later records for which ``fires`` holds, with the number of
+    records inside the horizon. Keeps the times inside the horizon and no more."""
+
+    def __init__(
+        self,
+        fields: list[str],
+        ts_ms: str,
+        seq: str,
+        fires: Callable[[Row], bool],
+        horizon_ms: int,
+        name: str,
+    ) -> None:
+        self.fields, self.ts_ms, self.seq = fields, ts_ms, seq
+        self.out = Row(*fields, name)
+        self.fires, self.horizon_ms = fires, horizon_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.started = handle.getValueState("started", "started boolean")
+        self.counts = handle.getMapState("counts", "ts_ms bigint", "cnt bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        started = self.started.exists()
+        # One entry per distinct millisecond of the horizon.
+        stored = {k[0]: v[0] for k, v in self.counts.iterator()} if started else {}
+        counts = dict(sorted(stored.items()))
+        times = deque(counts)
+        live = sum(counts.values())
+        for row in sorted(rows, key=lambda r: (r[self.ts_ms], r[self.seq])):
+            now = row[self.ts_ms]
+            while times and times[0] <= now - self.horizon_ms:
+                live -= counts.pop(times.popleft())
+            if now not in counts:
+                times.append(now)
+            counts[now] = counts.get(now, 0) + 1
+            live += 1
+            if started and self.fires(row):
+                yield self.out(*[row[f] for f in self.fields], live)
+            started = True
+        self.started.update((True,))
+        for ts in stored.keys() - counts.keys():
+            self.counts.removeKey((ts,))
+        for ts, cnt in counts.items():
+            if stored.get(ts) != cnt:
+                self.counts.updateValue((ts,), (cnt,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_conditional_emit(
+    df: DataFrame,
+    key: str,
+    fires: Callable[[Row], bool] | None = None,
+    ts_ms: str = "ts_ms",
+    seq: str = "seq",
+    horizon_ms: int = HORIZON_MS,
+    name: str = "cnt",
+) -> DataFrame:
+    fires = fires or (lambda row: row[key] == FIRING_WORD)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.groupBy(key).transformWithState(
+        ConditionalEmit(df.columns, ts_ms, seq, fires, horizon_ms, name),
+        f"{schema}, {name} bigint",
+        "Append",
+        "None",
+    )
+
+
+class RefundAlarm(StatefulProcessor):
+    """Idle until a refund arms it; the next record within the time either is a refund and
+    raises the alarm or not, and makes it idle again, as does the timer."""
+
+    def __init__(self, fields: list[str], state: str, seq: str, ts_ms: str | None, within_ms: int):
+        self.fields, self.state, self.seq = fields, state, seq
+        self.ts_ms, self.within_ms = ts_ms, within_ms
+        self.out = Row(*fields)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.armed = handle.getValueState("armed", "armed_at bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = self.armed.get()
+        stored = armed_at = kept[0] if kept else None
+        for row in sorted(rows, key=lambda r: r[self.seq]):
+            # Without an event time column the clock is the batch's processing time.
+            now = row[self.ts_ms] if self.ts_ms else timerValues.getCurrentProcessingTimeInMs()
+            refund = row[self.state] == REFUNDED
+            # Rows come before expired timers in a batch, so expiry is checked here too.
+            if armed_at is not None and now < armed_at + self.within_ms:
+                armed_at = None
+                if refund:
+                    yield self.out(*[row[f] for f in self.fields])
+            else:
+                armed_at = now if refund else None
+        if armed_at != stored:
+            if stored is not None:
+                self.handle.deleteTimer(stored + self.within_ms)
+            if armed_at is None:
+                self.armed.clear()
+            else:
+                self.armed.update((armed_at,))
+                self.handle.registerTimer(armed_at + self.within_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        kept = self.armed.get()
+        if kept and kept[0] + self.within_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.armed.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_refund_alarm(
+    df: DataFrame,
+    key: str = "user_id",
+    state: str = "state",
+    seq: str = "seq",
+    ts_ms: str | None = None,
+    within_ms: int = WITHIN_MS,
+) -> DataFrame:
+    """Processing time by default; with ``ts_ms`` event time, on a watermarked stream."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.groupBy(key).transformWithState(
+        RefundAlarm(df.columns, state, seq, ts_ms, within_ms),
+        schema,
+        "Append",
+        "EventTime" if ts_ms else "ProcessingTime",
+    )
+
+
+# Late rows never reach a processor, so the declared delay is wide and the watermark
+# wanted is worked out from it.
+WIDE_MS = 365 * 24 * 3_600_000
+
+LATE_SCHEMA = "kind string, word string, cnt bigint, start_ms bigint, end_ms bigint"
+
+
+class LateWindows(StatefulProcessor):
+    """Tumbling windows of one word with allowed lateness and a side output.
+
+    Emits ``main`` rows (first element when ``first``, else the sum) once when the
+    watermark passes a window and again for each allowed late record, and ``late``
+    rows for records that come after the lateness.
+    """
+
+    def __init__(self, width_ms: int, bound_ms: int, lateness_ms: int, first: bool) -> None:
+        self.width_ms, self.bound_ms, self.lateness_ms = width_ms, bound_ms, lateness_ms
+        self.first = first
+        self.out = Row("kind", "word", "cnt", "start_ms", "end_ms")
+        self.shift = WIDE_MS - bound_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # Per window end: sum, first element and its number, fired yet.
+        self.windows = handle.getMapState(
+            "windows", "end_ms bigint", "total bigint, first bigint, seq bigint, fired boolean"
+        )
+
+    def _row(self, kind: str, key, end: int, cnt: int) -> Row:
+        return self.out(kind, key[0], cnt, end - self.width_ms, end)
+
+    def _result(self, window: tuple) -> int:
+        return window[1] if self.first else window[0]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # The declared delay makes the watermark negative at the start: nothing is late yet.
+        watermark = timerValues.getCurrentWatermarkInMs()
+        wm = watermark + self.shift if watermark != 0 else None
+        windows = {k[0]: tuple(v) for k, v in self.windows.iterator()}
+        touched = set()
+        late = []
+        # The watermark moves between batches only: windows it has passed fire before
+        # this batch's rows are added.
+        for end, window in windows.items():
+            if wm is not None and end <= wm and not window[3]:
+                windows[end] = (*window[:3], True)
+                touched.add(end)
+                yield self._row("main", key, end, self._result(window))
+        for row in rows:
+            end = row["ts_ms"] - row["ts_ms"] % self.width_ms + self.width_ms
+            if wm is not None and end <= wm:
+                late.append((row["seq"], end, row["cnt"]))
+                continue
+            windows[end] = self._add(windows.get(end), row["seq"], row["cnt"], False)
+            touched.add(end)
+        for seq, end, cnt in sorted(late):
+            if end + self.lateness_ms <= wm:
+                yield self._row("late", key, end, cnt)
+                continue
+            windows[end] = self._add(windows.get(end), seq, cnt, True)
+            touched.add(end)
+            yield self._row("main", key, end, self._result(windows[end]))
+        for end in touched:
+            self.windows.updateValue((end,), windows[end])
+            if not windows[end][3]:
+                self.handle.registerTimer(end - self.shift)
+            self.handle.registerTimer(end + self.lateness_ms - self.shift)
+
+    @staticmethod
+    def _add(window: tuple | None, seq: int, cnt: int, fired: bool) -> tuple:
+        if window is None:
+            return (cnt, cnt, seq, fired)
+        total, first, first_seq, was_fired = window
+        if seq < first_seq:
+            first, first_seq = cnt, seq
+        return (total + cnt, first, first_seq, fired or was_fired)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs() + self.shift
+        for (end,), window in list(self.windows.iterator()):
+            if end <= wm and not window[3]:
+                yield self._row("main", key, end, self._result(tuple(window)))
+                self.windows.updateValue((end,), (*tuple(window)[:3], True))
+            if end + self.lateness_ms <= wm:
+                self.windows.removeKey((end,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_late_windows(
+    df: DataFrame,
+    width_ms: int = 5_000,
+    bound_ms: int = 2_000,
+    lateness_ms: int = 2_000,
+    first: bool = True,
+) -> DataFrame:
+    """``df`` has ``seq, ts_ms, ts, word, cnt``; the result has ``LATE_SCHEMA``.
+
+    Like all watermarks on a stream, this one moves once per micro-batch.
+    """
+    return (
+        df.select("seq", "ts_ms", F.col("ts").cast("timestamp").alias("ts"), "word", "cnt")
+        .withWatermark("ts", f"{WIDE_MS} milliseconds")
+        .groupBy("word")
+        .transformWithState(
+            LateWindows(width_ms, bound_ms, lateness_ms, first), LATE_SCHEMA, "Append", "EventTime"
+        )
+    )
