@@ -373,7 +373,6 @@ def stream_late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{folder}/in")
-        .withColumn("ts", F.timestamp_millis("ts_ms"))
     )
     tagged = stream_late_windows(arriving, WIDTH_MS, BOUND_MS, LATENESS_MS)
     sinks.run_to_end(tagged, sinks.side_outputs(f"{folder}/out"), f"{folder}/checkpoint")

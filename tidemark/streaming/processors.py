@@ -183,8 +183,9 @@ def stream_refund_alarm(
     )
 
 
-# Late rows never reach a processor, so the declared delay is wide and the watermark
-# wanted is worked out from it.
+# Rows behind the watermark never reach a processor. So event times are declared this
+# much ahead with this much delay: the watermark is then the largest event time itself,
+# the bound is taken off in the processor, and only rows a year old are withheld.
 WIDE_MS = 365 * 24 * 3_600_000
 
 LATE_SCHEMA = "kind string, word string, cnt bigint, start_ms bigint, end_ms bigint"
@@ -202,7 +203,6 @@ class LateWindows(StatefulProcessor):
         self.width_ms, self.bound_ms, self.lateness_ms = width_ms, bound_ms, lateness_ms
         self.first = first
         self.out = Row("kind", "word", "cnt", "start_ms", "end_ms")
-        self.shift = WIDE_MS - bound_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -218,22 +218,20 @@ class LateWindows(StatefulProcessor):
         return window[1] if self.first else window[0]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # The declared delay makes the watermark negative at the start: nothing is late yet.
-        watermark = timerValues.getCurrentWatermarkInMs()
-        wm = watermark + self.shift if watermark != 0 else None
+        wm = timerValues.getCurrentWatermarkInMs() - self.bound_ms
         windows = {k[0]: tuple(v) for k, v in self.windows.iterator()}
         touched = set()
         late = []
         # The watermark moves between batches only: windows it has passed fire before
         # this batch's rows are added.
         for end, window in windows.items():
-            if wm is not None and end <= wm and not window[3]:
+            if end <= wm and not window[3]:
                 windows[end] = (*window[:3], True)
                 touched.add(end)
                 yield self._row("main", key, end, self._result(window))
         for row in rows:
             end = row["ts_ms"] - row["ts_ms"] % self.width_ms + self.width_ms
-            if wm is not None and end <= wm:
+            if end <= wm:
                 late.append((row["seq"], end, row["cnt"]))
                 continue
             windows[end] = self._add(windows.get(end), row["seq"], row["cnt"], False)
@@ -248,8 +246,8 @@ class LateWindows(StatefulProcessor):
         for end in touched:
             self.windows.updateValue((end,), windows[end])
             if not windows[end][3]:
-                self.handle.registerTimer(end - self.shift)
-            self.handle.registerTimer(end + self.lateness_ms - self.shift)
+                self.handle.registerTimer(end + self.bound_ms)
+            self.handle.registerTimer(end + self.bound_ms + self.lateness_ms)
 
     @staticmethod
     def _add(window: tuple | None, seq: int, cnt: int, fired: bool) -> tuple:
@@ -261,7 +259,7 @@ class LateWindows(StatefulProcessor):
         return (total + cnt, first, first_seq, fired or was_fired)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs() + self.shift
+        wm = timerValues.getCurrentWatermarkInMs() - self.bound_ms
         for (end,), window in list(self.windows.iterator()):
             if end <= wm and not window[3]:
                 yield self._row("main", key, end, self._result(tuple(window)))
@@ -280,13 +278,15 @@ def stream_late_windows(
     lateness_ms: int = 2_000,
     first: bool = True,
 ) -> DataFrame:
-    """``df`` has ``seq, ts_ms, ts, word, cnt``; the result has ``LATE_SCHEMA``.
+    """``df`` has ``seq, ts_ms, word, cnt``; the result has ``LATE_SCHEMA``.
 
     Like all watermarks on a stream, this one moves once per micro-batch.
     """
     return (
-        df.select("seq", "ts_ms", F.col("ts").cast("timestamp").alias("ts"), "word", "cnt")
-        .withWatermark("ts", f"{WIDE_MS} milliseconds")
+        df.select(
+            "seq", "ts_ms", F.timestamp_millis(F.col("ts_ms") + WIDE_MS).alias("ahead"), "word", "cnt"
+        )
+        .withWatermark("ahead", f"{WIDE_MS} milliseconds")
         .groupBy("word")
         .transformWithState(
             LateWindows(width_ms, bound_ms, lateness_ms, first), LATE_SCHEMA, "Append", "EventTime"

@@ -110,7 +110,11 @@ def changelog_table(path: str, seq: str = "seq", amount: str = "amount", scale:
 def run_to_end(
     df: DataFrame, sink: Batch, checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
-    """Process everything available now, then stop; raises if the query failed."""
+    """Process everything available now, then stop; raises if the query failed.
+
+    Not for operators with processing-time timers, which never run out of work: start
+    those with a ``processingTime`` trigger.
+    """
     query = (
         df.writeStream.outputMode(mode)
         .foreachBatch(sink)
