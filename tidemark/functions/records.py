@@ -59,10 +59,9 @@ def clean_orders(df: DataFrame, line: str = "value", on_error: str = "fail") ->
     the fifth are ignored, malformed numbers follow ``on_error``.
     """
     others = [c for c in df.columns if c != line]
-    fields = df.where(F.col(line).rlike(r"\S")).select(
-        *others, split_commas(F.col(line)).alias("_fields")
-    )
-    complete = fields.where(F.size("_fields") >= 5)
+    # Blank lines and lines of separators only have one field here: they go as well.
+    fields = F.split(F.rtrim(F.col(line), F.lit(",")), ",")
+    complete = df.where(F.size(fields) >= 5).select(*others, fields.alias("_fields"))
     parsed = parse_numbers(
         complete,
         {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,28 +119,41 @@ def window_apply(
     """
     elements = df.withColumn("start_ms", floor_to(to_millis(F.col(ts)), width_ms))
     group = [*keys, "start_ms"]
-    key_schema = elements.select(*group).schema
-    state = T.StructType([*key_schema.fields, *T.StructType.fromDDL(schema).fields])
+    record = T.StructType.fromDDL(schema)
+    state = T.StructType([*elements.select(*group).schema.fields, *record.fields])
     salted = T.StructType([*state.fields, T.StructField("_salt", T.IntegerType())])
 
-    def one(names: tuple, function: Callable[[pd.DataFrame], dict], part: pd.DataFrame) -> dict:
-        return {**dict(zip(group, names)), **function(part.reset_index(drop=True))}
-
     def fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first_salt = TaskContext.get().partitionId()
         for i, batch in enumerate(batches):
             records = [
-                one(names, fold, part)
+                {**dict(zip(group, names)), **fold(part.reset_index(drop=True))}
                 for names, part in batch.groupby(group, dropna=False, sort=False)
             ]
             if records:
                 yield pd.DataFrame(records).assign(_salt=(first_salt + i) % salts)[salted.names]
 
-    def merge_records(names: tuple, records: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([one(names[: len(group)], merge, records)])[state.names]
-
-    folded = elements.mapInPandas(fold_batches, salted)
-    rounds = folded.groupBy(*group, "_salt").applyInPandas(merge_records, state)
-    merged = rounds.groupBy(*group).applyInPandas(merge_records, state)
-    names = [f.name for f in state.fields if f.name not in group]
-    return merged.select(*keys, "start_ms", (F.col("start_ms") + width_ms).alias("end_ms"), *names)
+    def merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *key_columns, lists = batch.columns
+            flat = pa.RecordBatch.from_struct_array(lists.flatten())
+            records, parts = flat.to_pylist(), flat.to_pandas(integer_object_nulls=True)
+            merged, start = [], 0
+            for length in lists.value_lengths().to_pylist():
+                end = start + length
+                if length == 1:
+                    merged.append(records[start])
+                else:
+                    merged.append(merge(parts.iloc[start:end].reset_index(drop=True)))
+                start = end
+            columns = pa.array(merged, type=lists.type.value_type).flatten()
+            yield pa.RecordBatch.from_arrays([*key_columns, *columns], names=state.names)
+
+    def merge_round(records: DataFrame, by: list[str]) -> DataFrame:
+        lists = records.groupBy(*by).agg(F.collect_list(F.struct(*record.names)).alias("_records"))
+        return lists.select(*group, "_records").mapInArrow(merge_batches, state)
+
+    merged = merge_round(merge_round(elements.mapInPandas(fold_batches, salted), [*group, "_salt"]), group)
+    return merged.select(
+        *keys, "start_ms", (F.col("start_ms") + width_ms).alias("end_ms"), *record.names
+    )

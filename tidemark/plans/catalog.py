@@ -36,7 +36,7 @@ from tidemark.operators.windows import (
     window_first,
     with_watermark,
 )
-from tidemark.plans.tables import table, table_stream
+from tidemark.plans.tables import spread, table, table_stream
 from tidemark.session import shared_dir
 from tidemark.sources.kafka import json_rows
 from tidemark.sources.tables import read_csv
@@ -77,7 +77,7 @@ def _millis_windows(df: DataFrame) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "documents")
+    texts = spread(table(spark, sf_dir, "documents").select("text"))
     lines = texts.select(F.explode(lines_of(F.col("text"))).alias("value"))
     return final_count(words(lines), "word")
 

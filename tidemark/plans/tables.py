@@ -32,3 +32,13 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         .option("maxFilesPerTrigger", 100)
         .parquet(sf_dir)
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More tasks for a scan with fewer splits than there are cores.
+
+    For work that takes far longer than moving its rows, like cutting texts into words.
+    A table with a split per core or more is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
