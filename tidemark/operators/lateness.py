@@ -144,7 +144,7 @@ def firing_rows(fired: DataFrame) -> DataFrame:
     # In blocks, spread out before the rows are made: one window may fire very often.
     blocks = fired.withColumn(
         "_block", F.explode(F.sequence(F.lit(0), ((F.col("firings") - 1) / _BLOCK).cast("int")))
-    ).repartition("end_ms", "_block")
+    ).repartition(*fired.columns, "_block")
     in_block = F.least(F.col("firings") - F.col("_block") * _BLOCK, F.lit(_BLOCK))
     return blocks.withColumn("_row", F.explode(F.sequence(F.lit(1), in_block.cast("int")))).drop(
         "firings", "_block", "_row"

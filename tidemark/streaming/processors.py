@@ -7,9 +7,11 @@ micro-batch, which the sources bound by ``maxFilesPerTrigger`` / ``maxOffsetsPer
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,6 +20,9 @@ from tidemark.functions.records import REFUNDED
 from tidemark.operators.alarm import WITHIN_MS
 from tidemark.operators.emit import FIRING_WORD, HORIZON_MS
 
+# Processors travel with the query, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class RunningSum(StatefulProcessor):
     """Adds the running sum of ``value`` to every record of the key."""

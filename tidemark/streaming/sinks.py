@@ -15,12 +15,14 @@ from tidemark.operators.changelog import sum_changelog
 Batch = Callable[[DataFrame, int], None]
 
 
-def print_labelled(df: DataFrame, label: str, mode: str = "append") -> DataStreamWriter:
-    """Print every micro-batch to the console under a label."""
+def print_labelled(
+    df: DataFrame, label: str, mode: str = "append", rows: int = 20
+) -> DataStreamWriter:
+    """Show the first ``rows`` rows of every micro-batch under a label."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
         print(f"{label} (batch {batch_id})")
-        batch.show(truncate=False)
+        batch.show(rows, truncate=False)
 
     return df.writeStream.outputMode(mode).foreachBatch(show).queryName(label.strip(" =>"))
 
@@ -42,11 +44,6 @@ def batch_table(path: str, partition_by: tuple[str, ...] = ()) -> Batch:
     return write
 
 
-def latest_table(path: str) -> Batch:
-    """``foreachBatch`` function for complete mode: ``read_latest`` gives the newest result."""
-    return batch_table(path)
-
-
 def side_outputs(path: str) -> Batch:
     """``foreachBatch`` function: rows tagged ``kind`` go to one table per kind.
 
@@ -67,6 +64,7 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, path: str, schema: str, last_batch: int) -> DataFrame:
+    """The whole result as of one batch, for a query in complete mode."""
     return spark.read.schema(schema).parquet(f"{path}/batch_id={last_batch}")
 
 
@@ -113,14 +111,21 @@ def run_to_end(
     """Process everything available now, then stop; raises if the query failed.
 
     Not for operators with processing-time timers, which never run out of work: start
-    those with a ``processingTime`` trigger.
+    those with a ``processingTime`` trigger. Keyed state is spread over one partition per
+    core, a number that stays with the checkpoint.
     """
-    query = (
-        df.writeStream.outputMode(mode)
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    spark = df.sparkSession
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    try:
+        query = (
+            df.writeStream.outputMode(mode)
+            .foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     query.awaitTermination()
     return query
