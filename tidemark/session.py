@@ -14,6 +14,8 @@ ROCKSDB_PROVIDER = (
 ROWS_PER_CHUNK = ("spark.tidemark.rowsPerChunk", 4_000_000)
 # Grid points of a window table that may be broadcast (about 24 bytes each).
 BROADCAST_PANES = ("spark.tidemark.broadcastPanes", 1_000_000)
+# Where a local session without spark.checkpoint.dir keeps its files.
+LOCAL_DIR = "spark.tidemark.localDir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -53,13 +55,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    folder = spark.conf.get(LOCAL_DIR, None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set(LOCAL_DIR, folder)
+    return folder
