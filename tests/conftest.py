@@ -8,7 +8,13 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, 8, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+        8,
+        4,
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            # Streams keep one state partition per unit of this.
+            "spark.default.parallelism": "2",
+        },
     )
     yield session
     session.stop()

@@ -67,6 +67,17 @@ def test_running_with_a_tied_first_order_column(spark, chunked):
     assert found.where(F.col("s") != F.col("seq") + 1).count() == 0
 
 
+def test_running_over_values_too_large_for_exact_cuts(spark, chunked):
+    chunked(50)
+    start = (1 << 60) + 1
+    df = spark.range(2000).select(
+        F.col("id").alias("seq"), (F.least(F.col("id"), F.lit(300)) + start).alias("at")
+    )
+    assert plan_cuts(df, [], ["at", "seq"]).tied == ()
+    found = running(df, [], ["at", "seq"], {"s": ("sum", F.lit(1))})
+    assert found.where(F.col("s") != F.col("seq") + 1).count() == 0
+
+
 def test_chunks_are_small_whatever_the_key(spark, chunked):
     """A key with a third of the rows, all late in the order, is still cut evenly."""
     chunked(1000)

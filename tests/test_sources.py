@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
@@ -55,3 +57,12 @@ def test_csv_fails_on_malformed_rows(spark, tmp_path):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_shared_dir_without_a_configured_one(spark):
+    context = SimpleNamespace(getConf=dict, master="local[8]")
+    unset = SimpleNamespace(sparkContext=context, conf=spark.conf)
+    assert shared_dir(unset) == shared_dir(unset) != shared_dir(spark)
+    context.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        shared_dir(unset)

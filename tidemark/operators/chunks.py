@@ -29,6 +29,8 @@ SAMPLES_PER_CHUNK = 100
 # A key is hot when it is estimated to hold more than this many chunks' worth of rows.
 HOT_KEY_CHUNKS = 2
 
+EXACT = 1 << 53
+
 CHUNK, SUBCHUNK, IS_HOT = "_chunk", "_subchunk", "_hot"
 
 
@@ -88,7 +90,9 @@ def plan_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Cuts
         second: list[int] = []
         tied: list[int] = []
         if len(order) > 1:
-            tied = sorted({a for a, b in zip(first, first[1:]) if a == b})
+            # Cut points are doubles: beyond their whole numbers no value can be singled out.
+            repeated = {a for a, b in zip(first, first[1:]) if a == b}
+            tied = sorted(v for v in repeated if abs(v) < EXACT)
             if tied:
                 first += [t + 1 for t in tied]
                 second = _quantiles(sample.where(F.col("o0").isin(*tied)), "o1", chunks)

@@ -160,12 +160,13 @@ def sales_totals(spark: SparkSession, source: str, sink: str) -> DataFrame:
 
 
 def unified_amounts(*sources: DataFrame) -> DataFrame:
-    """The amounts of bounded or streaming order sources in one column.
+    """The amounts of bounded or streaming order sources, with ``seq`` where all have it.
 
     On a stream read the bounded side as a file stream too: a stream and a bounded
     table cannot be unioned. ``changelog_table`` turns the result into a changelog.
     """
-    return union_sources(*[s.select("amount") for s in sources])
+    columns = ["seq", "amount"] if all("seq" in s.columns for s in sources) else ["amount"]
+    return union_sources(*[s.select(columns) for s in sources])
 
 
 def unified_changelog(numbered: DataFrame) -> DataFrame:

@@ -10,6 +10,12 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+# Commit the changes of a batch, not a whole snapshot of the state.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Rows one ordered group may hold before it is cut into chunks (see operators.chunks).
 ROWS_PER_CHUNK = ("spark.tidemark.rowsPerChunk", 4_000_000)
 # Grid points of a window table that may be broadcast (about 24 bytes each).
@@ -26,12 +32,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )
-    for key, value in conf.items():
+    for key, value in {**STATE_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,9 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the two SQL settings results depend on: UTC and the keyed state store."""
+    """Pin the SQL settings the queries need: UTC and the keyed state store."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     return spark
 
 
