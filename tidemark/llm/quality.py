@@ -70,14 +70,14 @@ def _repeat_words(words: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
     def places(grams: Column) -> Column:
-        ordered = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+        ordered = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
 
         def doubled(s: Column) -> Column:
             def marked(x: Column, at: Column) -> Column:
                 same = (F.get(s, at - 1)["g"] == x["g"]) | (F.get(s, at + 1)["g"] == x["g"])
                 return F.when(same, x["i"])
 
-            return F.array_sort(F.filter(F.transform(s, marked), lambda i: i.isNotNull()))
+            return F.sort_array(F.filter(F.transform(s, marked), lambda i: i.isNotNull()))
 
         return bind(ordered, doubled)
 
