@@ -5,7 +5,6 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,25 +47,14 @@ def as_row(docs: DataFrame, **columns: Column) -> DataFrame:
     ])
 
 
-def map_texts(
-    df: DataFrame, make: Callable[[], Callable[[list[str]], dict[str, list]]], schema: str, keep: list[str]
-) -> DataFrame:
-    """Arrow batches through ``make()(texts)``; its lists become columns after ``keep``.
-
-    ``make`` runs once per task. Missing texts arrive as empty ones.
-    """
-    out = df.sparkSession.createDataFrame([], schema).schema
-    names = [field.name for field in out]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow = to_arrow_schema(out)
-        work = make()
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            made = work(texts)
-            columns = [batch.column(n) if n in keep else pa.array(made[n], arrow.field(n).type) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    return df.mapInArrow(run, out)
+def groups(texts: list[bytes], size: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about ``size`` bytes together, with the place of the first."""
+    start, held, total = 0, [], 0
+    for at, text in enumerate(texts):
+        held.append(text)
+        total += len(text)
+        if total >= size:
+            yield start, held
+            start, held, total = at + 1, [], 0
+    if held:
+        yield start, held

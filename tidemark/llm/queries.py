@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, pii, quality, tokencount
+from tidemark.llm import bpe, chat, ctw, pii, quality, tokencount
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +65,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests_by_id(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op3_token_counts": op3_token_counts,
     "op4_chat": op4_chat,
+    "op7_ctw": op7_ctw,
     "op9_quality": op9_quality,
+    "op10_bpe": op10_bpe,
 }
