@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, ctw, pii, quality, tokencount
+from tidemark.llm import bpe, chat, ctw, pii, quality, tokencount, wrapper
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +22,13 @@ def _spans(spans: Column) -> Column:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(read(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    count = {
-        f"n_{kind}": F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint") for kind in pii.BASE
-    }
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
     return found.select(
         "doc_id",
-        *[column.alias(name) for name, column in count.items()],
+        *[of_kind(kind).alias(f"n_{kind}") for kind in pii.BASE],
         F.sha2(_spans(base), 256).alias("base_sha256"),
         _spans(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("bigint").alias("n_added"),
@@ -52,6 +53,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.examples(turns.unionByName(extra)))
 
 
+def op8_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = wrapper.extract(read(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"),
@@ -78,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op4_chat": op4_chat,
     "op7_ctw": op7_ctw,
+    "op8_wrapper": op8_wrapper,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
