@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, ctw, pii, quality, tokencount, wrapper
+from tidemark.llm import bpe, chat, ctw, icws, pii, quality, tokencount, wrapper
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_icws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return icws.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(
         read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048
@@ -81,6 +85,7 @@ def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_icws": op2_icws,
     "op3_token_counts": op3_token_counts,
     "op4_chat": op4_chat,
     "op7_ctw": op7_ctw,
