@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import as_row, text_of
+from tidemark.llm.common import as_row, groups, text_of
 from tidemark.llm.tokencount import byte_letters
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A chunk has 1,024 bytes on average; the hash sees the last 16 of them.
 CHUNK_BITS, WINDOW = 10, 16
 # Bytes of text and tokens a task keeps for reuse before it starts afresh.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 32 << 20
 # A firm place lies before the space: neither side is white space, and the first is one byte long.
 FIRM = re.compile(rb"(?<=[!-&(-~])\x20(?=[!-&(-~])")
 
@@ -97,8 +97,11 @@ class Codec:
         self.held = 0
 
     def _encode_plain(self, parts: list[bytes]) -> list[np.ndarray]:
-        made = self.library.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        return [np.array(e.ids, np.int32) for e in made]
+        made: list[np.ndarray] = []
+        for _, few in groups(parts, 1 << 19):
+            encoded = self.library.encode_batch_fast([p.decode() for p in few], add_special_tokens=False)
+            made += [np.array(e.ids, np.int32) for e in encoded]
+        return made
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Encode the chunks not yet known; keep identifiers and where each token ends."""
@@ -213,17 +216,18 @@ def encode(docs: DataFrame, path: str, digests: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         for batch in batches:
-            tokens = codec.encode(batch.column("text").to_pylist())
-            texts = [decoded_text(codec.decode(ids)) for ids in tokens]
-            if digests:
-                first = pa.array([hashlib.sha256(codec.join(ids).encode()).hexdigest() for ids in tokens], pa.string())
-                second = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
-            else:
-                first, second = pa.array([ids.tolist() for ids in tokens], pa.list_(pa.int32())), pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([len(ids) for ids in tokens], pa.int64()), first, second],
-                names=schema.names,
-            )
+            for at, group in groups(batch.column("text").to_pylist()):
+                tokens = codec.encode(group)
+                texts = [decoded_text(codec.decode(ids)) for ids in tokens]
+                if digests:
+                    first = pa.array([hashlib.sha256(codec.join(ids).encode()).hexdigest() for ids in tokens], pa.string())
+                    second = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+                else:
+                    first, second = pa.array(tokens, pa.list_(pa.int32())), pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(at, len(group)), pa.array([len(ids) for ids in tokens], pa.int64()), first, second],
+                    names=schema.names,
+                )
 
     return rows.mapInArrow(run, schema)
 

@@ -47,7 +47,7 @@ def as_row(docs: DataFrame, **columns: Column) -> DataFrame:
     ])
 
 
-def groups(texts: list[bytes], size: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def groups(texts: list, size: int = 2 << 20) -> Iterator[tuple[int, list]]:
     """Consecutive texts of about ``size`` bytes together, with the place of the first."""
     start, held, total = 0, [], 0
     for at, text in enumerate(texts):
