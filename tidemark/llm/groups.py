@@ -21,9 +21,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 STAR_ROUNDS = 3
+# Buckets of two or more that may be broadcast (8 bytes each).
+BROADCAST_BUCKETS = 1_000_000
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -63,9 +64,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """The rows ``bucket, node`` of buckets that hold two nodes or more."""
-    spans = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
-    return members.join(spans.select("bucket"), "bucket").distinct()
+    """The rows ``bucket, node`` of buckets that hold two nodes or more.
+
+    ``members`` must be cheap to make again. The buckets are aggregated before they are
+    shuffled; most hold one node, and the few others are broadcast if counted to be few.
+    """
+    spans = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = spans.filter("low != high").select("bucket").checkpoint()
+    if shared.count() <= BROADCAST_BUCKETS:
+        shared = F.broadcast(shared)
+    return members.join(shared, "bucket").distinct()
 
 
 def _place(column: Column, turn: int) -> Column:

@@ -26,52 +26,36 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.llm.common import as_row, bind, text_of
+from tidemark.llm.common import as_row
 from tidemark.llm.groups import group, shared_buckets
 
 MIN_WORDS = 5
 # The longer line's characters over this are the edits allowed.
 EDITS = 10
 BITS, BLOCKS, EQUAL = 64, 6, 3
-LANES = 4
+# Limits for which Spark works on a band of the table of distances.
+LIMITS = (8, 32, 128, 512, 2048, 8192)
 # Lines whose texts may be looked up by a broadcast of their hashes (16 bytes each).
 BROADCAST_LINES = 1_000_000
-_MASK = sum(1 << (16 * lane) for lane in range(LANES))
 
 
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def simhash(words: Column) -> Column:
-    """The majority of each bit of the words' hashes.
+def simhash(words: DataFrame, key: str, word: str) -> DataFrame:
+    """``key, bits``: the majority of each bit of the words' hashes, over a key's rows.
 
-    Counters are 16 bits wide, four to a number; a line of more than 65,535 words is
-    hashed by its first counts modulo that, which can only lose it as a candidate.
+    Summed per bit, so tasks add up what they have before anything is shuffled. A key's words
+    may be there any number of times, if each is there equally often.
     """
-    shifts = BITS // LANES
-    start = F.struct(*[F.lit(0).cast("bigint").alias(f"c{k}") for k in range(shifts)])
-
-    def add(total: Column, word: Column) -> Column:
-        return F.struct(
-            *[(total[f"c{k}"] + F.shiftrightunsigned(word, k).bitwiseAND(F.lit(_MASK))).alias(f"c{k}") for k in range(shifts)]
-        )
-
-    def majority(total: Column, n: Column) -> Column:
-        bits = [
-            F.when(
-                2 * F.shiftrightunsigned(total[f"c{k}"], 16 * lane).bitwiseAND(F.lit(0xFFFF)) > n,
-                F.shiftleft(F.lit(1).cast("bigint"), k + 16 * lane),
-            ).otherwise(F.lit(0).cast("bigint"))
-            for k in range(shifts)
-            for lane in range(LANES)
-        ]
-        return reduce(lambda a, b: a.bitwiseOR(b), bits)
-
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return bind(F.aggregate(hashes, start, add), lambda total: majority(total, F.size(words)))
+    hashed = words.select(key, F.xxhash64(word).alias("h"))
+    ones = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(1))).alias(f"b{k}") for k in range(BITS)]
+    summed = hashed.groupBy(key).agg(F.count("*").alias("n"), *ones)
+    none = F.lit(0).cast("bigint")
+    bits = [F.when(2 * F.col(f"b{k}") > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(none) for k in range(BITS)]
+    return summed.select(key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("bits"))
 
 
 def _block(bits: Column, at: int) -> Column:
@@ -90,68 +74,73 @@ def buckets(bits: Column) -> Column:
     return F.array(*keys)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, pos, node, norm`` of every line of five words or more."""
+def _split(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, pos, line, raw`` of every line; ``raw`` is the hash of its characters."""
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    normal = split.select("doc_id", "text_hash", "pos", normalised(F.col("line")).alias("norm"))
-    return normal.filter(F.size(F.split("norm", " ")) >= MIN_WORDS).withColumn("node", F.xxhash64("norm"))
+    return split.withColumn("raw", F.xxhash64("line"))
+
+
+def _edit_distance(x: str, y: str, allowed: Column) -> Column:
+    """The edit distance where it is at most ``allowed``; -1 if it is beyond the next limit."""
+    out = F.levenshtein(x, y)
+    for limit in reversed(LIMITS):
+        out = F.when(allowed <= limit, F.levenshtein(x, y, limit)).otherwise(out)
+    return out
 
 
 def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Occurrences ``doc_id, text_hash, pos, node``; and ``node, root`` of similar lines.
+    """Occurrences ``doc_id, text_hash, pos, raw``, and ``raw, root`` of all worded lines.
 
-    ``docs`` has ``doc_id`` and ``text``. Nodes without a similar other line are not in the second table.
+    ``docs`` has ``doc_id`` and ``text``. Lines of one root are similar or equal.
     """
-    lines = _lines(docs).withColumn("bits", simhash(F.split("norm", " "))).drop("norm").checkpoint()
-    nodes = lines.groupBy("node").agg(F.min("bits").alias("bits"))
-    members = nodes.select("node", F.explode(buckets(F.col("bits"))).alias("bucket"))
-    members = _in_company(members).checkpoint()
-    wanted = members.select("node").distinct()
-    if members.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    texts = _lines(docs).select("node", "norm").join(wanted, "node").groupBy("node").agg(F.min("norm").alias("norm")).checkpoint()
+    places = _split(docs).drop("line").checkpoint()
+    words = _split(docs).select("raw", F.split(normalised(F.col("line")), " ").alias("words")).filter(F.size("words") >= MIN_WORDS)
+    # One pass gives each distinct line its words' hash, the node, and its SimHash.
+    words = words.select("raw", F.xxhash64("words").alias("node"), F.explode("words").alias("word"))
+    hashed = simhash(words.select(F.struct("raw", "node").alias("line"), "word"), "line", "word")
+    known = hashed.select("line.raw", "line.node", "bits").checkpoint()
+    nodes = known.groupBy("node").agg(F.min("bits").alias("bits"), F.min("raw").alias("raw")).checkpoint()
+    members = shared_buckets(nodes.select("node", F.explode(buckets(F.col("bits"))).alias("bucket"))).checkpoint()
+    # One occurrence of each candidate gives its text; only the texts that hold one are cut.
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "raw")
+    first = places.join(wanted, "raw").groupBy("node").agg(F.min(F.struct("text_hash", "pos")).alias("at"))
+    wanted = first.select("node", "at.text_hash", "at.pos").checkpoint()
+    small = wanted.count() <= BROADCAST_LINES
+    holders = docs.select("text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(wanted) if small else wanted, "text_hash")
+    texts = (
+        holders.select("node", normalised(F.get(F.split("text", "\n"), F.col("pos"))).alias("norm"))
+        .groupBy("node").agg(F.min("norm").alias("norm")).checkpoint()
+    )
 
     def verify(pairs: DataFrame) -> DataFrame:
-        first = texts.select(F.col("node").alias("a"), F.col("norm").alias("x"))
-        second = texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
-        longest = F.greatest(F.length("x"), F.length("y"))
-        allowed = F.floor(longest / EDITS).cast("int")
-        # A lower bound first, then the distance itself; -1 says it is beyond the largest limit.
-        near = F.abs(F.length("x") - F.length("y")) <= allowed
-        return (
-            pairs.join(first, "a").join(second, "b").filter(near)
-            .filter((F.levenshtein("x", "y") <= allowed))
-            .select("a", "b")
-        )
+        a = texts.select(F.col("node").alias("a"), F.col("norm").alias("x"))
+        b = texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
+        allowed = F.floor(F.greatest(F.length("x"), F.length("y")) / EDITS).cast("int")
+        both = pairs.join(a, "a").join(b, "b").withColumn("allowed", allowed)
+        # The difference of lengths is a lower bound of the distance.
+        near = both.filter(F.abs(F.length("x") - F.length("y")) <= F.col("allowed"))
+        return near.filter(_edit_distance("x", "y", F.col("allowed")).between(F.lit(0), F.col("allowed"))).select("a", "b")
 
-    return lines.select("doc_id", "text_hash", "pos", "node"), group(members, verify)
-
-
-def _in_company(members: DataFrame) -> DataFrame:
-    """Rows whose bucket holds another node, found in one sorted pass over the buckets."""
-    near = Window.partitionBy("bucket").orderBy("node")
-    marked = members.withColumn("before", F.lag("node").over(near)).withColumn("after", F.lead("node").over(near))
-    return marked.filter("before IS NOT NULL OR after IS NOT NULL").select("bucket", "node")
+    roots = known.select("raw", "node").join(group(members, verify), "node", "left")
+    return places, roots.select("raw", F.coalesce("root", "node").alias("root"))
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, places``: the lines of each document that repeat an earlier one."""
-    lines, roots = line_groups(docs)
-    late = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
-    counted = lines.groupBy("node").agg(F.count("*").alias("n"), F.min(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))).alias("first"))
-    labelled = counted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    places, roots = line_groups(docs)
+    places = places.withColumn("order", F.coalesce("doc_id", F.lit(2**63 - 1)))
+    counted = places.groupBy("raw").agg(F.count("*").alias("n"), F.min("order").alias("first"))
+    labelled = counted.join(roots, "raw")
     classes = labelled.groupBy("root").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
-    several = labelled.select("node", "root").join(classes.select("root", "first"), "root")
-    found = lines.join(several, "node")
-    # Lines of the class's first document: all but the first of them repeat.
-    inside = found.filter(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)) == F.col("first"))
-    kept = inside.groupBy("root").agg(F.min(F.struct("text_hash", "pos")).alias("k"))
-    kept = kept.select("root", F.col("k.text_hash").alias("kept_hash"), F.col("k.pos").alias("kept_pos"))
-    marked = found.join(kept, "root").filter(
-        (F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)) != F.col("first"))
-        | (F.col("text_hash") != F.col("kept_hash"))
-        | (F.col("pos") != F.col("kept_pos"))
-    )
+    several = labelled.select("raw", "root").join(classes.select("root", "first"), "root")
+    found = places.join(several, "raw")
+    # In the group's first document all but the first of its lines repeat.
+    inside = found.filter(F.col("order") == F.col("first"))
+    kept = inside.groupBy("root").agg(F.min(F.struct("pos", "text_hash")).alias("k"))
+    kept = kept.select(F.col("root").alias("of"), F.col("k.text_hash").alias("kept_hash"), F.col("k.pos").alias("kept_pos"))
+    late = inside.join(kept, F.col("root") == F.col("of")).filter("text_hash != kept_hash or pos != kept_pos")
+    columns = ("doc_id", "text_hash", "pos")
+    marked = found.filter(F.col("order") != F.col("first")).select(*columns).union(late.select(*columns))
     return marked.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("places"))
 
 
@@ -161,11 +150,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     drop = repeated_lines(plain).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "places")
     rows = as_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), text_hash=F.xxhash64("text"))
     joined = rows.join(drop, rows["doc_id"].eqNullSafe(drop["id"]) & (rows["text_hash"] == drop["hash"]), "left")
-    lines = F.split("text", "\n")
-    # Places are looked up in a sorted walk: both lists are in order of place.
-    kept = F.when(F.col("places").isNull(), F.col("text")).otherwise(
-        F.array_join(F.filter(lines, lambda line, at: ~F.array_contains(F.col("places"), at)), "\n")
-    )
+    lines = F.col("lines")
+    joined = joined.withColumn("lines", F.split("text", "\n"))
+    # Dropped lines become missing ones, by one walk over the sorted places: a long text may
+    # hold many, so looking each line up in a list would be quadratic.
+    gaps = F.transform(F.concat(F.array(F.lit(-1)), F.sort_array("places")), lambda p: p + 1)
+    ends = F.concat(F.sort_array("places"), F.array(F.size(lines)))
+    stretches = F.zip_with(gaps, ends, lambda start, end: F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))))
+    kept = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(stretches), "\n"))
     return joined.select(
         "row",
         kept.alias("kept_text"),
