@@ -237,3 +237,10 @@ def digests_by_id(docs: DataFrame, path: str) -> DataFrame:
     return encode(docs.select("doc_id", "text").withColumn("text", text_of()), path).select(
         F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256"
     )
+
+
+def with_tokens(docs: DataFrame, path: str) -> DataFrame:
+    """The documents with ``n_tokens``, ``ids`` and ``round_trip``; columns of these names are replaced."""
+    made = encode(docs, path, digests=False)
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("n_tokens", "ids", "round_trip")]
+    return made.select(*own, "n_tokens", "ids", (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, ctw, icws, lines, pii, quality, tokencount, wrapper
+from tidemark.llm import bpe, chat, ctw, decontam, icws, lines, pii, quality, tokencount, wrapper
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests_by_id(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), F.col("kept_text").alias("text"), "n_lines", "n_dropped"
@@ -94,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op2_icws": op2_icws,
     "op3_token_counts": op3_token_counts,
     "op4_chat": op4_chat,
+    "op5_decontam": op5_decontam,
     "op6_lines": op6_lines,
     "op7_ctw": op7_ctw,
     "op8_wrapper": op8_wrapper,
