@@ -50,11 +50,11 @@ def simhash(words: DataFrame, key: str, word: str) -> DataFrame:
     Summed per bit, so tasks add up what they have before anything is shuffled. A key's words
     may be there any number of times, if each is there equally often.
     """
-    hashed = words.select(key, F.xxhash64(word).alias("h"))
-    ones = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(1))).alias(f"b{k}") for k in range(BITS)]
-    summed = hashed.groupBy(key).agg(F.count("*").alias("n"), *ones)
+    hashed = words.select(key, F.xxhash64(word).alias("_hash"))
+    ones = [F.sum(F.shiftrightunsigned("_hash", k).bitwiseAND(F.lit(1))).alias(f"_bit{k}") for k in range(BITS)]
+    summed = hashed.groupBy(key).agg(F.count("*").alias("_words"), *ones)
     none = F.lit(0).cast("bigint")
-    bits = [F.when(2 * F.col(f"b{k}") > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(none) for k in range(BITS)]
+    bits = [F.when(2 * F.col(f"_bit{k}") > F.col("_words"), F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(none) for k in range(BITS)]
     return summed.select(key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("bits"))
 
 
