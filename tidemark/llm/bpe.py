@@ -26,10 +26,13 @@ import json
 import os
 import re
 import sys
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,13 @@ CACHE_BYTES = 32 << 20
 FIRM = re.compile(rb"(?<=[!-&(-~])\x20(?=[!-&(-~])")
 
 
+# How this kind of vocabulary splits a text into words, and the characters
+# for which every table of letters says the same.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+COMMON = r"[\t-\r\x20-\x7e¡-¬®-ſ‐-‧‰-⁞€]*+"
+CACHED_WORDS = 500_000
+
+
 def _gear() -> np.ndarray:
     """One fixed 32-bit number per byte value, from a mixing rule."""
     x = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -70,6 +80,30 @@ def cuts(data: bytes) -> list[int]:
     return hit[(raw[hit] & 0xC0) != 0x80].tolist()
 
 
+def _firm_from_end(data: bytes, start: int, end: int) -> Iterator[int]:
+    """The firm places of a stretch, the last first, looking no further back than asked for."""
+    seen = end
+    while start < end:
+        low = max(start, end - 200)
+        yield from reversed([m.start() for m in FIRM.finditer(data, low, seen)])
+        # The next place must show the character after its space, which may be at ``low``.
+        end, seen = low, low + 1
+
+
+class Words(dict):
+    """The identifiers of single words as bytes, each encoded by the library's model when first met."""
+
+    def __init__(self, library) -> None:
+        super().__init__()
+        self.model = library.model
+        self.letters = dict(enumerate(byte_letters()))
+
+    def __missing__(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        ids = self[word] = array("i", [t.id for t in tokens]).tobytes()
+        return ids
+
+
 class Codec:
     """Encodes and decodes with one vocabulary, reusing chunks."""
 
@@ -93,14 +127,26 @@ class Codec:
             self.pieces[number] = piece.encode()
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.decimal = [str(n) for n in range(size)]
+        self.split, self.common = regex.compile(WORDS), regex.compile(COMMON)
+        self.words = Words(self.library)
         self.cache: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         self.held = 0
 
     def _encode_plain(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Chunks that are encoded for the first time: by the vocabulary's own splitting into
+        words, each distinct word by the library. Chunks with characters beyond the Latin and
+        common punctuation blocks go to the library whole, since tables of letters differ."""
         made: list[np.ndarray] = []
         for _, few in groups(parts, 1 << 19):
-            encoded = self.library.encode_batch_fast([p.decode() for p in few], add_special_tokens=False)
-            made += [np.array(e.ids, np.int32) for e in encoded]
+            texts = [p.decode() for p in few]
+            if len(self.words) > CACHED_WORDS:
+                self.words.clear()
+            for text in texts:
+                if self.common.fullmatch(text):
+                    joined = b"".join(map(self.words.__getitem__, self.split.findall(text)))
+                    made.append(np.frombuffer(joined, np.int32))
+                else:
+                    made.append(np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32))
         return made
 
     def _learn(self, chunks: set[bytes]) -> None:
@@ -149,23 +195,14 @@ class Codec:
         A stretch runs from where the repair before it ends to where the next one begins,
         and is kept only if the chunk has token boundaries at both.
         """
-        firm = [m.start() for m in FIRM.finditer(data)] if len(at) > 2 else []
         plan: list[np.ndarray | bytes] = []
         open_from = 0  # where the text not yet planned begins
-        f = 0
         for a, b in zip(at, at[1:], strict=False):
             ids, ends = self.cache[data[a:b]]
-            # Firm by what the chunk itself shows: one character before and two after the place.
-            while f < len(firm) and firm[f] < a + 1:
-                f += 1
-            g = f
-            while g < len(firm) and firm[g] + 1 < b:
-                g += 1
-            inside = firm[f:g]
-            f = g
-            starts, stops = ([a] if a == 0 else []) + inside, inside + ([b] if b == len(data) else [])
+            starts = chain([a] if a == 0 else [], (m.start() for m in FIRM.finditer(data, a + 1, b)))
+            stops = chain([b] if b == len(data) else [], _firm_from_end(data, a + 1, b))
             first = next((p for p in starts if self._boundary(ends, p - a)), None)
-            last = next((p for p in reversed(stops) if self._boundary(ends, p - a)), None)
+            last = next((p for p in stops if self._boundary(ends, p - a)), None)
             if first is None or last is None or first >= last:
                 continue
             if first > open_from:
