@@ -5,8 +5,8 @@ items, so pairs are never enumerated within it. Instead:
 
 1. each bucket's first item is paired with the others (a star), which is linear in the
    bucket; verified pairs are links, and links make components;
-2. this is repeated with other pivots, only for items that are still in another component
-   than their pivot;
+2. buckets are dealt into small random parts, several times anew, and each part's first item
+   is paired with those of its part that are still in another component;
 3. what remains is settled exactly: in each bucket, the items outside its largest component
    are paired with all items of other components. Items already connected need no pair.
 
@@ -22,7 +22,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
+# Nodes of a part of a bucket, after the first turn.
+PART = 8
 # Buckets of two or more that may be broadcast (8 bytes each).
 BROADCAST_BUCKETS = 1_000_000
 
@@ -76,43 +78,52 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return members.join(shared, "bucket").distinct()
 
 
-def _place(column: Column, turn: int) -> Column:
-    return column if turn == 0 else F.xxhash64(column, F.lit(turn))
-
-
-def group(members: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = STAR_ROUNDS) -> DataFrame:
+def group(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    rounds: int = STAR_ROUNDS,
+    bound: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """``node, root`` of every node that has a verified link.
 
-    ``members`` (``bucket, node``) holds buckets of two nodes or more, already
-    materialised; ``verify`` keeps of pairs (``a, b``) those that are similar.
+    ``members`` (``bucket, node`` and, with ``bound``, ``info``) holds buckets of two nodes or
+    more, already materialised. ``verify`` keeps of pairs (``a, b``) those that are similar;
+    ``bound`` says of two nodes' ``info`` whether they can be, and must not be false for similar nodes.
     """
+    members = members if bound else members.withColumn("info", F.lit(0))
     links = tested = roots = None
+    shared = members.groupBy("node").agg(F.collect_set("bucket").alias("all"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).checkpoint()
     for turn in range(rounds + 1):
         labelled = members if roots is None else members.join(roots, "node", "left")
-        labelled = labelled.select(
-            "bucket", "node", F.col("node").alias("root") if roots is None else F.coalesce("root", "node").alias("root")
-        )
+        root = F.col("node") if roots is None else F.coalesce("root", "node")
+        labelled = labelled.select("bucket", "node", root.alias("root"), "info")
+        other = F.struct("node", "root", "info")
         if turn < rounds:
-            order = F.struct(_place(F.col("node"), turn).alias("place"), F.col("node"), F.col("root"))
-            pivots = labelled.groupBy("bucket").agg(F.min(order).alias("p"))
-            pivots = pivots.select("bucket", F.col("p.node").alias("p"), F.col("p.root").alias("proot"))
-            found = labelled.join(pivots, "bucket").filter("root != proot").select(F.col("p").alias("x"), F.col("node").alias("y"))
+            # From the second turn on a bucket is dealt into small parts, anew each turn.
+            part = F.lit(0) if turn == 0 else F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / PART))
+            rows = labelled.join(sizes, "bucket").withColumn("part", part.cast("bigint"))
+            others = rows.groupBy("bucket", "part").agg(F.min(other).alias("o"))
+            wanted, on = F.lit(True), ["bucket", "part"]
         else:
-            sizes = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-            major = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("parts"))
-            major = major.filter("parts > 1").select("bucket", F.col("m.root").alias("major"))
-            mixed = labelled.join(major, "bucket")
-            rest = mixed.filter("root != major").select("bucket", F.col("node").alias("x"), F.col("root").alias("xroot"))
-            # Two nodes that are both outside the largest part meet once, the smaller first.
-            found = rest.join(mixed, "bucket").filter("root != xroot and (root = major or x < node)").select("x", F.col("node").alias("y"))
-        pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            parts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+            major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("parts"))
+            rows = labelled.join(major.filter("parts > 1").select("bucket", F.col("m.root").alias("major")), "bucket")
+            others = rows.filter("root != major").select("bucket", other.alias("o"))
+            # Two nodes that are both outside the largest part meet once, the smaller first; and
+            # two that share several buckets meet in the smallest of these.
+            rows = rows.join(shared, "node")
+            others = others.join(shared, F.col("o.node") == shared["node"]).select("bucket", "o", F.col("all").alias("o_all"))
+            once = F.array_min(F.array_intersect("all", "o_all")) == F.col("bucket")
+            wanted, on = F.expr("root = major or o.node < node") & once, ["bucket"]
+        can = bound(F.col("info"), F.col("o.info")) if bound else F.lit(True)
+        found = rows.join(others, on).filter((F.col("root") != F.col("o.root")) & wanted & can)
+        pairs = found.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.checkpoint()
         if pairs.isEmpty():
-            if turn >= 1 and turn < rounds:
-                continue
-            break
+            continue
         tested = pairs if tested is None else tested.union(pairs)
         new = verify(pairs).select("a", "b").checkpoint()
         links = new if links is None else links.union(new)
