@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, icws, lines
 from tidemark.llm.groups import components, group, shared_buckets
@@ -190,8 +191,9 @@ def test_fuzzy_lines(spark):
             if len(norm(line).split(" ")) >= 5:
                 at[norm(line)].append((i, place))
     known = list(at)
-    pairs = spark.createDataFrame([(n, w) for n, line in enumerate(known) for w in line.split(" ")], "n bigint, w string")
-    bits = {r.n: r.bits & (1 << 64) - 1 for r in lines.simhash(pairs, "n", "w").collect()}
+    split = spark.createDataFrame(list(enumerate(known)), "n bigint, line string")
+    made_of = split.select("n", F.explode(lines.features(F.split("line", " "))).alias("feature"))
+    bits = {r.n: r.bits & (1 << 64) - 1 for r in lines.simhash(made_of, "n", "feature").collect()}
 
     def blocks(value):
         return [value >> (k * 64 // 6) & (1 << ((k + 1) * 64 // 6 - k * 64 // 6)) - 1 for k in range(6)]

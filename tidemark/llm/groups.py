@@ -22,9 +22,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAR_ROUNDS = 6
+STAR_ROUNDS = 3
 # Nodes of a part of a bucket, after the first turn.
 PART = 8
+# Rows a task of the steps on pairs and links takes.
+ROWS_PER_TASK = 200_000
 # Buckets of two or more that may be broadcast (8 bytes each).
 BROADCAST_BUCKETS = 1_000_000
 
@@ -33,6 +35,12 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+def _tasks(rows: int) -> int:
+    """Tasks that a step on so many small rows needs; steps on few rows must not each leave a
+    file for every shuffle partition."""
+    return 1 + rows // ROWS_PER_TASK
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a, b``); the root is the smallest node.
 
@@ -40,22 +48,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
     before = _mark(edges)
+    few = _tasks(2 * before[0])
     while True:
         # Large star: every larger neighbour goes to the smallest of the neighbourhood.
-        both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        edges = edges.coalesce(few)
+        both = edges.union(edges.select("b", "a")).toDF("u", "v").coalesce(few)
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(few)
+        edges = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).coalesce(few)
+        edges = edges.distinct().coalesce(few)
         # Small star: every smaller neighbour and the node itself go to the smallest.
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        edges = (
-            down.join(least, "u")
-            .select(F.col("m").alias("a"), F.col("v").alias("b"))
-            .filter("a != b")
-            .union(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
-            .distinct()
-            .checkpoint()
-        )
+        least = down.groupBy("u").agg(F.min("v").alias("m")).coalesce(few)
+        moved = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a != b")
+        edges = moved.union(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).coalesce(few).distinct().coalesce(few).checkpoint()
         after = _mark(edges)
         if after == before:
             break
@@ -68,14 +73,13 @@ def components(links: DataFrame) -> DataFrame:
 def shared_buckets(members: DataFrame) -> DataFrame:
     """The rows ``bucket, node`` of buckets that hold two nodes or more.
 
-    ``members`` must be cheap to make again. The buckets are aggregated before they are
+    ``members`` holds no row twice and must be cheap to make again. The buckets are aggregated before they are
     shuffled; most hold one node, and the few others are broadcast if counted to be few.
     """
-    spans = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = spans.filter("low != high").select("bucket").checkpoint()
+    shared = members.groupBy("bucket").count().filter("count > 1").select("bucket").checkpoint()
     if shared.count() <= BROADCAST_BUCKETS:
         shared = F.broadcast(shared)
-    return members.join(shared, "bucket").distinct()
+    return members.join(shared, "bucket")
 
 
 def group(
@@ -92,17 +96,19 @@ def group(
     """
     members = members if bound else members.withColumn("info", F.lit(0))
     links = tested = roots = None
-    shared = members.groupBy("node").agg(F.collect_set("bucket").alias("all"))
+    few = _tasks(members.count())
+    members = members.coalesce(few)
+    shared = members.groupBy("node").agg(F.collect_set("bucket").alias("all")).coalesce(few)
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).checkpoint()
     for turn in range(rounds + 1):
         labelled = members if roots is None else members.join(roots, "node", "left")
         root = F.col("node") if roots is None else F.coalesce("root", "node")
-        labelled = labelled.select("bucket", "node", root.alias("root"), "info")
+        labelled = labelled.select("bucket", "node", root.alias("root"), "info").coalesce(few)
         other = F.struct("node", "root", "info")
         if turn < rounds:
             # From the second turn on a bucket is dealt into small parts, anew each turn.
             part = F.lit(0) if turn == 0 else F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / PART))
-            rows = labelled.join(sizes, "bucket").withColumn("part", part.cast("bigint"))
+            rows = labelled.join(sizes, "bucket").withColumn("part", part.cast("bigint")).coalesce(few)
             others = rows.groupBy("bucket", "part").agg(F.min(other).alias("o"))
             wanted, on = F.lit(True), ["bucket", "part"]
         else:
@@ -118,14 +124,14 @@ def group(
             wanted, on = F.expr("root = major or o.node < node") & once, ["bucket"]
         can = bound(F.col("info"), F.col("o.info")) if bound else F.lit(True)
         found = rows.join(others, on).filter((F.col("root") != F.col("o.root")) & wanted & can)
-        pairs = found.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
+        pairs = found.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).coalesce(few).distinct().coalesce(few)
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested, ["a", "b"], "left_anti").coalesce(few)
         pairs = pairs.checkpoint()
         if pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.union(pairs)
         new = verify(pairs).select("a", "b").checkpoint()
         links = new if links is None else links.union(new)
-        roots = components(links).checkpoint()
+        roots = components(links.coalesce(few)).coalesce(few).checkpoint()
     return members.select("node", F.col("node").alias("root")).limit(0) if roots is None else roots

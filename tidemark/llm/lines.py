@@ -1,8 +1,8 @@
 """Fuzzy line dedup: one occurrence of each group of similar lines stays.
 
 A line is normalised (lower case; everything but letters and digits is one space). Lines
-of fewer than five words are left alone. A line's SimHash sums the hashed words' bits and
-keeps the majority of each of 64. Two of distance 3 or less agree in three of six blocks of bits at
+of fewer than five words are left alone. A line's SimHash sums the bits of its hashed word
+pairs and keeps the majority of each of 64. Two of distance 3 or less agree in three of six blocks of bits at
 least, so each line is put in the 20 buckets of three blocks each, and candidates are
 verified by edit distance: at most a tenth of the longer line's characters. Lines joined by
 such links are one group, and of all its occurrences only the first stays: the one in the
@@ -44,17 +44,22 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def simhash(words: DataFrame, key: str, word: str) -> DataFrame:
-    """``key, bits``: the majority of each bit of the words' hashes, over a key's rows.
+def features(words: Column) -> Column:
+    """The hashes of each word with the next. Single words would make all lines of a language
+    alike, since its commonest words outweigh the others."""
+    return F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.xxhash64(a, b))
 
-    Summed per bit, so tasks add up what they have before anything is shuffled. A key's words
-    may be there any number of times, if each is there equally often.
+
+def simhash(hashed: DataFrame, key: str, feature: str) -> DataFrame:
+    """``key, bits``: the majority of each bit of the features, over a key's rows.
+
+    Summed per bit, so tasks add up what they have before anything is shuffled. A key's
+    features may be there any number of times, if each is there equally often.
     """
-    hashed = words.select(key, F.xxhash64(word).alias("_hash"))
-    ones = [F.sum(F.shiftrightunsigned("_hash", k).bitwiseAND(F.lit(1))).alias(f"_bit{k}") for k in range(BITS)]
-    summed = hashed.groupBy(key).agg(F.count("*").alias("_words"), *ones)
+    ones = [F.sum(F.shiftrightunsigned(feature, k).bitwiseAND(F.lit(1))).alias(f"_bit{k}") for k in range(BITS)]
+    summed = hashed.groupBy(key).agg(F.count("*").alias("_features"), *ones)
     none = F.lit(0).cast("bigint")
-    bits = [F.when(2 * F.col(f"_bit{k}") > F.col("_words"), F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(none) for k in range(BITS)]
+    bits = [F.when(2 * F.col(f"_bit{k}") > F.col("_features"), F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(none) for k in range(BITS)]
     return summed.select(key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("bits"))
 
 
@@ -94,10 +99,12 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``docs`` has ``doc_id`` and ``text``. Lines of one root are similar or equal.
     """
     places = _split(docs).drop("line").checkpoint()
-    words = _split(docs).select("raw", F.split(normalised(F.col("line")), " ").alias("words")).filter(F.size("words") >= MIN_WORDS)
-    # One pass gives each distinct line its words' hash, the node, and its SimHash.
-    words = words.select("raw", F.xxhash64("words").alias("node"), F.explode("words").alias("word"))
-    hashed = simhash(words.select(F.struct("raw", "node").alias("line"), "word"), "line", "word")
+    # An exploded array of one: what follows uses the normalised line, not its expression.
+    norm = _split(docs).select("raw", F.explode(F.array(normalised(F.col("line")))).alias("norm"))
+    worded = norm.filter(F.substring_index("norm", " ", MIN_WORDS - 1) != F.col("norm"))
+    # One pass gives each distinct line the hash of its words, the node, and its SimHash.
+    words = worded.select("raw", F.xxhash64("norm").alias("node"), F.explode(features(F.split("norm", " "))).alias("feature"))
+    hashed = simhash(words.select(F.struct("raw", "node").alias("line"), "feature"), "line", "feature")
     known = hashed.select("line.raw", "line.node", "bits").checkpoint()
     nodes = known.groupBy("node").agg(F.min("bits").alias("bits"), F.min("raw").alias("raw")).checkpoint()
     members = shared_buckets(nodes.select("node", F.explode(buckets(F.col("bits"))).alias("bucket"))).checkpoint()
@@ -119,7 +126,9 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         both = pairs.join(a, "a").join(b, "b").withColumn("allowed", allowed)
         # The difference of lengths is a lower bound of the distance.
         near = both.filter(F.abs(F.length("x") - F.length("y")) <= F.col("allowed"))
-        return near.filter(_edit_distance("x", "y", F.col("allowed")).between(F.lit(0), F.col("allowed"))).select("a", "b")
+        # A distance of 0 to ``allowed``, with the distance named once: it is computed once.
+        distance = _edit_distance("x", "y", F.col("allowed"))
+        return near.filter(F.abs(2 * distance - F.col("allowed")) <= F.col("allowed")).select("a", "b")
 
     roots = known.select("raw", "node").join(group(members, verify), "node", "left")
     return places, roots.select("raw", F.coalesce("root", "node").alias("root"))
