@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.session import BROADCAST_PANES, ROWS_PER_CHUNK, local_session
+from tidemark.session import ROWS_PER_CHUNK, local_session
 
 SF = "/root/testdata/sf0.01"
 
@@ -12,8 +12,6 @@ def spark(tmp_path_factory):
         4,
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-            # Streams keep one state partition per unit of this.
-            "spark.default.parallelism": "2",
         },
     )
     yield session
@@ -22,15 +20,13 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def chunked(spark):
-    """Set how small chunks and broadcast tables must be, and put it back afterwards."""
+    """Set how small chunks must be, and put it back afterwards."""
 
-    def set_sizes(rows_per_chunk: int, panes: int = BROADCAST_PANES[1]) -> None:
+    def set_sizes(rows_per_chunk: int) -> None:
         spark.conf.set(ROWS_PER_CHUNK[0], rows_per_chunk)
-        spark.conf.set(BROADCAST_PANES[0], panes)
 
     yield set_sizes
     spark.conf.unset(ROWS_PER_CHUNK[0])
-    spark.conf.unset(BROADCAST_PANES[0])
 
 
 def rows(df, *columns):

@@ -12,7 +12,7 @@ from tidemark.operators.changelog import sum_changelog
 from tidemark.operators.chunks import CHUNK, SUBCHUNK, add_chunks, plan_cuts
 from tidemark.operators.emit import conditional_emit
 from tidemark.operators.lateness import classify_late, firing_rows, firings
-from tidemark.operators.running import final_count, running
+from tidemark.operators.running import final_count, running, running_sum
 from tidemark.operators.windows import sliding_sum, window_apply
 
 # One key holds about a third of all rows.
@@ -130,10 +130,10 @@ def test_conditional_emit_documented_rows(spark):
     assert rows(found, "ts_ms", "cnt") == [(10000, 2), (30000, 2), (70000, 1)]
 
 
-@pytest.mark.parametrize("panes", [1_000_000, 3])
+@pytest.mark.parametrize("size", [10_000_000, 3])
 @pytest.mark.parametrize("width, bound, late", [(50, 20, 20), (50, 0, 0), (10, 35, 17), (50, 20, 120)])
-def test_lateness(spark, chunked, panes, width, bound, late):
-    chunked(10_000_000, panes)
+def test_lateness(spark, chunked, size, width, bound, late):
+    chunked(size)
     rnd = random.Random(width + late)
     records = [(seq, max(0, seq * 2 - rnd.choice([0, 0, 5, 40, 90, 200]))) for seq in range(800)]
     df = spark.createDataFrame(records, "seq bigint, ts_ms bigint").repartition(4)
@@ -232,3 +232,22 @@ def test_window_apply_merges_many_batches(spark):
         ("x", 5000, 10000, 167, 999),
         (None, 5000, 10000, 333, 998),
     }
+
+
+def test_order_columns_are_checked_at_every_size(spark):
+    df = spark.createDataFrame([("a", "x", 1)], "key string, seq string, v int")
+    with pytest.raises(TypeError, match="whole number"):
+        running_sum(df, "key", "seq", "v")
+
+
+def test_more_chunks_than_ten_thousand_are_not_capped(spark, chunked):
+    chunked(1)
+    df = spark.range(300).select(F.lit("k").alias("key"), F.col("id").alias("seq"))
+    assert len(plan_cuts(df, ["key"], ["seq"]).first) > 200
+
+
+def test_amounts_are_never_rounded(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, 1e-7), (2, 4e-7)], "seq bigint, amount double")
+    with pytest.raises(Exception, match="more than 6 decimal places"):
+        sum_changelog(df).collect()
+    assert sum_changelog(df, scale=8).count() == 5

@@ -6,12 +6,14 @@ from oracle import differences, duck
 
 import __spark_entry__ as driver
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracles import ORACLES
+
 SMALL = "/root/testdata/sf0.001"
 ORDERED = [
     "running_count", "running_sum", "late_classify", "late_side_output", "late_firings",
     "late_main_output", "late_drop_count", "conditional_emit", "conditional_emit_by_user",
-    "refund_alarm", "sum_changelog", "stream_sum_changelog",
+    "refund_alarm", "sum_changelog", "stream_sum_changelog", "stream_running_count", "stream_refund_alarm",
 ]
 
 
@@ -31,7 +33,7 @@ def test_query(spark, con, name):
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_query_in_chunks(spark, chunked, con, name):
-    chunked(20, panes=10)
+    chunked(20)
     assert differences(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 

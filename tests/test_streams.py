@@ -2,7 +2,6 @@
 
 import os
 import random
-import time
 
 import models
 import pytest
@@ -16,12 +15,16 @@ from tidemark.plans import jobs
 from tidemark.sources.lines import stream_lines
 from tidemark.sources.tables import read_csv, register_table
 from tidemark.streaming import sinks
-from tidemark.streaming.processors import (
-    LATE_SCHEMA,
-    stream_conditional_emit,
-    stream_late_windows,
-    stream_refund_alarm,
-    stream_running_sum,
+from tidemark.streaming.carried import (
+    alarm_table,
+    changelog_table,
+    emit_table,
+    late_table,
+    open_windows,
+    read_kind,
+    read_rows,
+    running_sum_table,
+    running_table,
 )
 
 
@@ -51,16 +54,23 @@ def run(df, tmp_path, mode="append", sink=None):
     return out
 
 
+def carried(spark, df, tmp_path, table):
+    """Run an ordered operator over a stream and read what it wrote."""
+    run(df, tmp_path, sink=table)
+    return read_rows(spark, str(tmp_path / "out"))
+
+
 def test_word_totals_in_complete_mode(spark, tmp_path):
     for i, lines in enumerate([["a b", "a"], ["b b"], ["c "]]):
         put(tmp_path / "in", f"{i}.txt", lines, i)
     counts = jobs.word_totals(stream_lines(spark, str(tmp_path / "in"), max_files=1), by="space")
-    out = str(tmp_path / "out")
-    query = sinks.run_to_end(counts, sinks.batch_table(out), str(tmp_path / "c"), "complete")
-    last = query.lastProgress["batchId"]
-    assert rows(sinks.read_latest(spark, out, "word string, cnt bigint", last)) == [
-        ("a", 2), ("b", 3), ("c", 1),
-    ]
+    for mode in ("complete", "update"):
+        folder = tmp_path / mode
+        folder.mkdir()
+        out = run(counts, folder, mode)
+        assert rows(sinks.read_updates(spark, out, "word string, cnt bigint", ["word"])) == [
+            ("a", 2), ("b", 3), ("c", 1),
+        ]
 
 
 def test_word_totals_in_update_mode(spark, tmp_path):
@@ -73,102 +83,102 @@ def test_word_totals_in_update_mode(spark, tmp_path):
     ]
 
 
-def test_running_sum(spark, tmp_path):
+def test_running_sum(spark, tmp_path, chunked):
+    """One key holds a third of the rows and is cut into chunks."""
+    chunked(10)
     rnd = random.Random(1)
-    records = [(rnd.choice("abc"), seq, rnd.randint(-5, 5)) for seq in range(60)]
-    arriving = feed(spark, tmp_path / "in", "key string, seq bigint, v int", sliced(records, 4))
-    out = run(stream_running_sum(arriving, "key", "v"), tmp_path)
-    found = sinks.read_batches(spark, out, "key string, seq bigint, v int, total bigint")
+    records = [(rnd.choice("aabc"), seq, rnd.randint(-5, 5)) for seq in range(120)]
+    arriving = feed(spark, tmp_path / "in", "key string, seq bigint, v int", sliced(records, 8))
+    found = carried(spark, arriving, tmp_path, running_sum_table(str(tmp_path / "out"), "key", "v"))
     expected = [(k, s, total) for k, s, total, _ in models.running(records)]
     assert rows(found, "key", "seq", "total") == sorted(expected)
 
 
+def test_running_aggregates_of_missing_values(spark, tmp_path):
+    batches = [[("a", 0, ""), ("b", 1, "2.5")], [("a", 2, ""), ("b", 3, ""), ("", 4, "1")], [("a", 5, "4"), ("b", 6, "-3"), ("", 7, "1")]]
+    arriving = feed(spark, tmp_path / "in", "key string, seq bigint, v decimal(10,2)", batches)
+    aggregates = {n: (n, F.col("v")) for n in ("sum", "max", "min")}
+    found = carried(spark, arriving, tmp_path, running_table(str(tmp_path / "out"), ["key"], aggregates))
+    got = {r.seq: tuple(None if x is None else float(x) for x in (r["sum"], r["max"], r["min"])) for r in found.collect()}
+    none = (None, None, None)
+    assert got == {
+        0: none, 1: (2.5, 2.5, 2.5), 2: none, 3: (2.5, 2.5, 2.5), 4: (1, 1, 1), 5: (4, 4, 4), 6: (-0.5, 2.5, -3), 7: (2, 1, 1),
+    }
+
+
 def test_restart_continues_and_a_replayed_batch_leaves_no_duplicates(spark, tmp_path):
-    schema, out_schema = "key string, seq bigint, v int", "key string, seq bigint, v int, total bigint"
-    first = [("a", 0, 1), ("b", 1, 2)]
-    out = run(stream_running_sum(feed(spark, tmp_path / "in", schema, [first]), "key", "v"), tmp_path)
+    schema = "key string, seq bigint, v int"
+    table = running_sum_table(str(tmp_path / "out"), "key", "v")
+    first, second = [("a", 0, 1), ("b", 1, 2)], [("a", 2, 10)]
+    run(feed(spark, tmp_path / "in", schema, [first]), tmp_path, sink=table)
     # Forget that the first batch was committed: it is run again.
     (tmp_path / "checkpoint" / "commits" / "0").unlink()
-    crc = tmp_path / "checkpoint" / "commits" / ".0.crc"
-    crc.unlink(missing_ok=True)
-    second = [("a", 2, 10)]
-    run(stream_running_sum(feed(spark, tmp_path / "in", schema, [first, second]), "key", "v"), tmp_path)
-    assert rows(sinks.read_batches(spark, out, out_schema)) == [
-        ("a", 0, 1, 1), ("a", 2, 10, 11), ("b", 1, 2, 2),
+    (tmp_path / "checkpoint" / "commits" / ".0.crc").unlink(missing_ok=True)
+    found = carried(spark, feed(spark, tmp_path / "in", schema, [first, second]), tmp_path, table)
+    assert rows(found) == [("a", 0, 1, 1), ("a", 2, 10, 11), ("b", 1, 2, 2)]
+
+
+def test_running_word_count_of_plain_files(spark, tmp_path):
+    from test_jobs import CSV_LINES
+
+    for i, line in enumerate(CSV_LINES):
+        put(tmp_path / "in", f"{i}.txt", [line], i)
+    job = jobs.stream_running_word_count(stream_lines(spark, str(tmp_path / "in"), 1), str(tmp_path / "out"))
+    found = carried(spark, job[0], tmp_path, job[1])
+    assert [tuple(r) for r in found.orderBy("seq", "pos").select("word", "total").collect()] == [
+        ("java", 1), ("c++", 1), ("php", 1), ("java", 2), ("spring", 1), ("hadoop", 1),
+        ("scala", 1), ("c++", 2), ("jvm", 1), ("html", 1), ("php", 2),
     ]
 
 
 def test_student_scores_to_the_alert_table(spark, tmp_path):
     records = [(0, "name-0", 5), (1, "name-1", 0), (2, "name-0", 19)]
     arriving = feed(spark, tmp_path / "in", "seq bigint, name string, score int", sliced(records, 2))
-    out = run(jobs.stream_student_scores(arriving), tmp_path)
-    found = sinks.read_batches(spark, out, "seq bigint, name string, score int, total bigint")
-    assert rows(found, "seq", "total") == [(0, 5), (1, 0), (2, 24)]
+    job = jobs.stream_student_scores(arriving, str(tmp_path / "out"))
+    assert rows(carried(spark, job[0], tmp_path, job[1]), "seq", "total") == [(0, 5), (1, 0), (2, 24)]
 
 
-def test_conditional_emit(spark, tmp_path):
+def test_conditional_emit(spark, tmp_path, chunked):
+    chunked(10)
     rnd = random.Random(2)
     ts, records = 0, []
-    for seq in range(80):
+    for seq in range(120):
         ts += rnd.choice([0, 1, 7])
         records.append((rnd.choice(["1", "2"]), seq, ts))
-    arriving = feed(spark, tmp_path / "in", "word string, seq bigint, ts_ms bigint", sliced(records, 4))
-    out = run(stream_conditional_emit(arriving, "word", horizon_ms=20), tmp_path)
-    found = sinks.read_batches(spark, out, "word string, seq bigint, ts_ms bigint, cnt bigint")
+    arriving = feed(spark, tmp_path / "in", "word string, seq bigint, ts_ms bigint", sliced(records, 8))
+    table = emit_table(str(tmp_path / "out"), "word", horizon_ms=20)
     expected = models.emitted(records, 20, lambda key, seq: key == "1")
-    assert rows(found, "word", "seq", "cnt") == sorted(expected)
+    assert rows(carried(spark, arriving, tmp_path, table), "word", "seq", "cnt") == sorted(expected)
 
 
 def test_triggered_words(spark, tmp_path):
     lines = [(0, 0, "1"), (1, 10000, "1 x"), (2, 20000, "2"), (3, 30000, "1"), (4, 70000, "1")]
     arriving = feed(spark, tmp_path / "in", "seq bigint, ts_ms bigint, value string", sliced(lines, 3))
-    out = run(jobs.stream_triggered_words(arriving), tmp_path)
-    found = sinks.read_batches(spark, out, "seq bigint, ts_ms bigint, word string, cnt bigint")
-    assert rows(found, "ts_ms", "cnt") == [(10000, 2), (30000, 2), (70000, 1)]
+    job = jobs.stream_triggered_words(arriving, str(tmp_path / "out"))
+    assert rows(carried(spark, job[0], tmp_path, job[1]), "ts_ms", "cnt") == [(10000, 2), (30000, 2), (70000, 1)]
 
 
-def test_refund_alarm_by_event_time(spark, tmp_path):
+def test_refund_alarm_by_event_time(spark, tmp_path, chunked):
+    chunked(10)
     rnd = random.Random(3)
     ts, orders = 0, []
-    for seq in range(80):
+    for seq in range(120):
         ts += rnd.choice([0, 20_000, 50_000])
-        orders.append((rnd.choice("ab"), seq, ts, rnd.choice([1, 2, 2])))
+        orders.append((rnd.choice("aab"), seq, ts, rnd.choice([1, 2, 2])))
     arriving = feed(
-        spark, tmp_path / "in", "user_id string, seq bigint, ts_ms bigint, state int", sliced(orders, 4)
-    )
-    timed = arriving.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", "10 seconds")
-    alarms = stream_refund_alarm(timed, ts_ms="ts_ms").select("user_id", "seq")
-    out = run(alarms, tmp_path)
-    found = sinks.read_batches(spark, out, "user_id string, seq bigint")
-    assert rows(found) == sorted(models.alarms(orders, 60_000))
-
-
-def run_until(df, tmp_path, batches):
-    """Processing-time timers keep a stream going for ever: stop it after some batches."""
-    out = str(tmp_path / "out")
-    query = (
-        df.writeStream.foreachBatch(sinks.batch_table(out))
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(processingTime="100 milliseconds")
-        .start()
+        spark, tmp_path / "in", "user_id string, seq bigint, ts_ms bigint, state int", sliced(orders, 8)
     )
-    deadline = time.time() + 60
-    while time.time() < deadline and (query.lastProgress or {}).get("batchId", -1) < batches:
-        assert query.exception() is None
-        time.sleep(0.2)
-    query.stop()
-    return out
+    found = carried(spark, arriving, tmp_path, alarm_table(str(tmp_path / "out"), ts_ms="ts_ms"))
+    assert rows(found, "user_id", "seq") == sorted(models.alarms(orders, 60_000))
 
 
-def test_order_alarms_by_processing_time(spark, tmp_path):
+def test_order_alarms_of_plain_files(spark, tmp_path):
     from test_jobs import ORDERS
 
-    put(tmp_path / "in", "0.csv", [f'{i};"{line}"' for i, line in enumerate(ORDERS)], 0)
-    arriving = (
-        spark.readStream.schema("seq bigint, value string").option("sep", ";").csv(str(tmp_path / "in"))
-    )
-    out = run_until(jobs.stream_order_alarms(arriving).select("id"), tmp_path, 1)
-    assert rows(sinks.read_batches(spark, out, "id int")) == [(4,), (7,)]
+    put(tmp_path / "in", "0.txt", ORDERS[:3], 0)
+    put(tmp_path / "in", "1.txt", ORDERS[3:], 1)
+    job = jobs.stream_order_alarms(stream_lines(spark, str(tmp_path / "in"), 1), str(tmp_path / "out"))
+    assert rows(carried(spark, job[0], tmp_path, job[1]), "id") == [(4,), (7,)]
 
 
 def test_refunds_of_two_batches_by_processing_time(spark, tmp_path):
@@ -178,9 +188,8 @@ def test_refunds_of_two_batches_by_processing_time(spark, tmp_path):
         folder.mkdir()
         orders = [[("u", 0, 2)], [("u", 1, 2)]]
         arriving = feed(spark, folder / "in", "user_id string, seq bigint, state int", orders)
-        alarms = stream_refund_alarm(arriving, within_ms=within_ms).select("seq")
-        out = run_until(alarms, folder, 2)
-        assert rows(sinks.read_batches(spark, out, "seq bigint")) == expected
+        found = carried(spark, arriving, folder, alarm_table(str(folder / "out"), within_ms=within_ms))
+        assert rows(found, "seq") == expected
 
 
 LATE_BATCHES = [
@@ -195,19 +204,25 @@ LATE_BATCHES = [
 def run_late(spark, tmp_path, batches, **options):
     arriving = feed(spark, tmp_path / "in", "seq bigint, ts_ms bigint, word string, cnt bigint", batches)
     out = str(tmp_path / "out")
-    run(stream_late_windows(arriving, **options), tmp_path, sink=sinks.side_outputs(out))
-    schema = LATE_SCHEMA.removeprefix("kind string, ")
-    return [
-        rows(sinks.read_side(spark, out, schema, kind), "word", "cnt", "end_ms")
-        for kind in ("main", "late")
-    ]
+    run(arriving, tmp_path, sink=late_table(out, **options))
+    return [rows(read_kind(spark, out, kind), "word", "cnt", "end_ms") for kind in ("main", "late")]
 
 
 def test_late_windows_documented_sample(spark, tmp_path):
     main, late = run_late(spark, tmp_path, LATE_BATCHES)
     assert late == [("b", 1, 5000)]
-    # The window that ends at 10000 is still open when the input ends.
     assert main == [("a", 1, 5000), ("a", 1, 5000), ("b", 1, 5000)]
+    # The window that ends at 10000 is still open when the input ends.
+    assert rows(open_windows(spark, str(tmp_path / "out"), 4)) == [("a", 1, 10000)]
+
+
+def test_records_years_behind_reach_the_side_output(spark, tmp_path):
+    year = 365 * 24 * 3_600_000
+    batches = [[(0, 60 * year, "a", 1)], [(1, 60 * year + 60_000, "a", 2), (2, 0, "a", 3), (3, -60_000, "b", 4)], [(4, 5, "a", 5)]]
+    main, late = run_late(spark, tmp_path, batches, first=False)
+    assert late == [("a", 3, 5000), ("a", 5, 5000), ("b", 4, -55_000)]
+    left = rows(open_windows(spark, str(tmp_path / "out"), 2, first=False), "cnt")
+    assert sum(c for _, c, _ in main + late) + sum(c for (c,) in left) == 15
 
 
 @pytest.mark.parametrize("first", [True, False])
@@ -230,10 +245,8 @@ def test_changelog_across_batches(spark, tmp_path):
     amounts[0] = (0, None)
     text = [(s, "" if a is None else a) for s, a in amounts]
     arriving = feed(spark, tmp_path / "in", "seq bigint, amount double", sliced(text, 5))
-    run(arriving, tmp_path, sink=sinks.changelog_table(str(tmp_path / "out")))
-    found = sinks.read_batches(
-        spark, str(tmp_path / "out" / "rows"), "seq bigint, ord int, op string, total double"
-    )
+    run(arriving, tmp_path, sink=changelog_table(str(tmp_path / "out")))
+    found = read_rows(spark, str(tmp_path / "out"))
     exact = [(s, None if a is None else round(a * 10)) for s, a in amounts]
     tenths = F.round(F.col("total") * 10).cast("bigint").alias("total")
     got = sorted(
@@ -242,6 +255,25 @@ def test_changelog_across_batches(spark, tmp_path):
     assert got == models.changelog(exact)
 
 
+@pytest.mark.parametrize("kind, amount", [("int", 2_000_000_000), ("decimal(10,2)", "99999999.99")])
+def test_totals_beyond_the_range_of_their_input(spark, tmp_path, kind, amount):
+    arriving = feed(spark, tmp_path / "in", f"seq bigint, amount {kind}", [[(i, amount)] for i in range(4)])
+    found = carried(spark, arriving, tmp_path, changelog_table(str(tmp_path / "out")))
+    assert found.agg(F.max("total")).first()[0] == 4 * __import__("decimal").Decimal(str(amount))
+
+
+def test_changelog_of_a_sql_union_of_registered_tables(spark, tmp_path):
+    """The declared tables have no number of their own: files give the order of arrival."""
+    put(tmp_path / "bounded", "o.csv", ["o1,10"], 0)
+    put(tmp_path / "arriving", "o.csv", ["o2,5.5"], 1)
+    for side in ("bounded", "arriving"):
+        register_table(spark, f"j14_{side}", jobs.AMOUNT_SCHEMA, "csv", streaming=True, path=str(tmp_path / side))
+    union = spark.sql("SELECT seq, amount FROM j14_bounded UNION ALL SELECT seq, amount FROM j14_arriving")
+    job = jobs.stream_unified_changelog(union, str(tmp_path / "out"))
+    found = carried(spark, job[0], tmp_path, job[1])
+    assert [tuple(r) for r in found.orderBy("seq", "ord").select("op", "total").collect()] == [("+I", 10.0), ("-U", 10.0), ("+U", 15.5)]
+
+
 def test_unified_stream_total(spark, tmp_path):
     """A stream and a bounded side, the bounded side read as a file stream."""
     put(tmp_path / "bounded", "o.csv", ["o1,10"], 0)
@@ -318,20 +350,26 @@ def test_timed_word_sums(spark, tmp_path):
     ]
 
 
-def test_late_word_windows_job(spark, tmp_path):
-    lines = [[(s, f"{ts}|{w}") for s, ts, w, _ in batch] for batch in LATE_BATCHES]
-    arriving = feed(spark, tmp_path / "in", "seq bigint, value string", lines)
-    arriving = arriving.withColumn("value", F.translate("value", "|", ","))
+def test_late_word_windows_of_plain_files(spark, tmp_path):
+    for i, batch in enumerate(LATE_BATCHES):
+        put(tmp_path / "in", f"{i}.txt", [f"{ts},{w}" for _, ts, w, _ in batch], i)
     out = str(tmp_path / "out")
-    run(jobs.stream_late_word_windows(arriving), tmp_path, sink=sinks.side_outputs(out))
-    late = sinks.read_side(spark, out, LATE_SCHEMA.removeprefix("kind string, "), "late")
-    assert rows(late, "word", "cnt") == [("b", 1)]
+    job = jobs.stream_late_word_windows(stream_lines(spark, str(tmp_path / "in"), 1), out)
+    run(job[0], tmp_path, sink=job[1])
+    assert rows(read_kind(spark, out, "late"), "word", "cnt") == [("b", 1)]
+
+
+def test_labelled_lines_hold_every_row(spark, tmp_path):
+    put(tmp_path / "in", "0.txt", [f"w{i}" for i in range(50)], 0)
+    counts = final_count(words(stream_lines(spark, str(tmp_path / "in"))), "word")
+    out = run(counts, tmp_path, "complete", sinks.labelled_lines(str(tmp_path / "out"), "counts ======= "))
+    assert rows(spark.read.text(out).select("value")) == sorted((f"counts ======= w{i},1",) for i in range(50))
 
 
-def test_print_labelled(spark, tmp_path, capsys):
+def test_preview_labelled(spark, tmp_path, capsys):
     put(tmp_path / "in", "0.txt", ["a"], 0)
     counts = final_count(words(stream_lines(spark, str(tmp_path / "in"))), "word")
-    writer = sinks.print_labelled(counts, "counts ======= ", "complete")
+    writer = sinks.preview_labelled(counts, "counts ======= ", "complete")
     query = writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert query.name == "counts"

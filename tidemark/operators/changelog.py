@@ -23,36 +23,51 @@ def total(df: DataFrame, amount: str = "amount", name: str = "total") -> DataFra
     return df.agg(F.sum(amount).alias(name))
 
 
+def sum_type(kind: str, scale: int) -> str:
+    """The exact type of a sum over values of type ``kind``."""
+    if kind in ("double", "float"):
+        return f"decimal(38,{scale})"
+    if kind.startswith("decimal"):
+        return f"decimal(38,{kind.rstrip(')').split(',')[1]})"
+    return "bigint"
+
+
+def exact_amount(value: Column, kind: str, scale: int) -> Column:
+    """``value`` as a number that sums exactly; never rounded."""
+    exact = value.cast(sum_type(kind, scale))
+    if kind not in ("double", "float"):
+        return exact
+    message = F.concat(F.lit(f"more than {scale} decimal places: "), value.cast("string"))
+    return F.when(value.isNull() | (exact.cast(kind) == value), exact).otherwise(F.raise_error(message).cast(sum_type(kind, scale)))
+
+
 def sum_changelog(
     df: DataFrame,
     seq: str = "seq",
     amount: str = "amount",
     scale: int = 6,
     carry: tuple[int, int, object] = (0, 0, None),
+    label: str | None = None,
 ) -> DataFrame:
     """How ``SUM(amount)`` over all rows changes record by record.
 
     Gives ``(seq, ord, op, total)``: ``+I`` for the first record, then ``-U old`` and
     ``+U new`` (``ord`` 0 and 1) for each record that changes the total. Doubles are
     summed as decimals of ``scale`` places, so that ``-U`` repeats the ``+U`` before
-    it exactly. ``carry`` is (records, non-NULL values, total) seen before ``df``.
+    it exactly; a double that has more places fails the job. ``carry`` is (records,
+    non-NULL values, total) seen before ``df``. ``label`` names another column to give as
+    ``seq``.
     """
     kind = df.schema[amount].dataType.simpleString()
-    value = F.col(amount)
-    if kind in ("double", "float"):
-        value = value.cast(f"decimal(38,{scale})")
-        total_type = kind
-    elif kind.startswith("decimal"):
-        total_type = f"decimal(38,{kind.rstrip(')').split(',')[1]})"
-    else:
-        total_type = "bigint"
+    value = exact_amount(F.col(amount), kind, scale)
+    total_type = kind if kind in ("double", "float") else sum_type(kind, scale)
     records, values, so_far = carry
     zero = F.lit(so_far if so_far is not None else 0)
 
     steps = running(
-        df.select(F.col(seq).alias("seq"), value.alias("_amount")),
+        df.select(F.col(seq).alias("_order"), F.col(label or seq).alias("seq"), value.alias("_amount")),
         [],
-        ["seq"],
+        ["_order"],
         {
             "_n": ("sum", F.lit(1).cast("bigint")),
             "_k": ("sum", F.col("_amount").isNotNull().cast("bigint")),

@@ -21,10 +21,12 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import ROWS_PER_CHUNK, setting
 
-MAX_CHUNKS = 10_000
+# Accuracy asked of the quantiles at most; beyond it chunks are only less even.
+MOST_ACCURATE = 1_000_000
 SAMPLES_PER_CHUNK = 100
 # A key is hot when it is estimated to hold more than this many chunks' worth of rows.
 HOT_KEY_CHUNKS = 2
@@ -54,7 +56,7 @@ def _quantiles(sample: DataFrame, column: str, parts: int) -> list[int]:
     points = [i / parts for i in range(1, parts)]
     if not points:
         return []
-    row = sample.agg(F.percentile_approx(column, points, 20 * parts).alias("q")).first()
+    row = sample.agg(F.percentile_approx(column, points, min(20 * parts, MOST_ACCURATE)).alias("q")).first()
     return list(row["q"] or [])
 
 
@@ -64,11 +66,15 @@ def plan_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Cuts
     ``order`` is one or two non-null integer columns. With one, its values must be
     unique; with two, many rows may share the first, and the pair must be unique.
     """
+    for column in order:
+        # At every size, so that a table does not fail only once it has grown.
+        if not isinstance(df.schema[column].dataType, T.IntegralType):
+            raise TypeError(f"order column {column} must be a whole number, such as unix_micros of a timestamp")
     per_chunk = setting(df.sparkSession, ROWS_PER_CHUNK)
     total = df.count()
     if total <= per_chunk:
         return None
-    chunks = min(MAX_CHUNKS, math.ceil(total / per_chunk))
+    chunks = math.ceil(total / per_chunk)
     fraction = min(1.0, SAMPLES_PER_CHUNK * chunks / total)
     sample = (
         df.select(_hash(keys).alias("h"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])

@@ -15,13 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import floor_to
-from tidemark.operators.chunks import MAX_CHUNKS, Cuts
 from tidemark.operators.running import running
-from tidemark.session import BROADCAST_PANES, setting
 
 ON_TIME, ALLOWED_LATE, TOO_LATE = "on_time", "allowed_late", "too_late"
 
-_SALTS = 64
 _BLOCK = 10_000
 
 
@@ -31,11 +28,8 @@ def window_end(ts_ms: str, width_ms: int) -> Column:
 
 def _passings(
     df: DataFrame, ts_ms: str, seq: str, width_ms: int, bound_ms: int, lateness_ms: int
-) -> tuple[DataFrame, int]:
-    """Per window end: arrival number from which it is closed, and from which it is gone.
-
-    Also returns a proven upper bound of the number of rows.
-    """
+) -> DataFrame:
+    """Per window end: arrival number from which it is closed, and from which it is gone."""
     number = F.col(seq)
     nothing = F.lit(None).cast("bigint")
 
@@ -61,28 +55,14 @@ def _passings(
         .agg(F.min("closed").alias("_closed"), F.min("gone").alias("_gone"), F.max("used").alias("_used"))
         .withColumn("_later_first", -F.col("end_ms"))
     )
-    low, high = df.agg(F.min(ts_ms), F.max(ts_ms)).first()
-    if low is None:
-        low = high = 0
-    low -= bound_ms + lateness_ms + width_ms
-    high += width_ms
-    most = (high - low) // width_ms + 2
-
     # Passing a window end passes all earlier ones: minimum over this end and later ones.
-    # Ends are whole multiples of the width, so equal steps bound the size of a chunk.
-    few = setting(df.sparkSession, BROADCAST_PANES)
-    cuts = None
-    if most > few:
-        step = max(few, most // MAX_CHUNKS + 1) * width_ms
-        cuts = Cuts(None, tuple(float(-v) for v in range(high - step, low - step, -step)))
     ends = running(
         points,
         [],
         ["_later_first"],
         {"closed": ("min", F.col("_closed")), "gone": ("min", F.col("_gone"))},
-        cuts=cuts,
     )
-    return ends.where("_used").select("end_ms", "closed", "gone"), most
+    return ends.where("_used").select("end_ms", "closed", "gone")
 
 
 def classify_late(
@@ -94,17 +74,9 @@ def classify_late(
     lateness_ms: int = 0,
 ) -> DataFrame:
     """Add ``end_ms`` (of the record's tumbling window) and ``late_class`` to every record."""
-    ends, most = _passings(df, ts_ms, seq, width_ms, bound_ms, lateness_ms)
-    rows = df.withColumn("end_ms", window_end(ts_ms, width_ms))
-    if most <= setting(df.sparkSession, BROADCAST_PANES):
-        joined = rows.join(F.broadcast(ends), "end_ms", "left")
-    else:
-        # Too many windows to broadcast; one of them may still hold most records.
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(seq), F.lit(_SALTS)))
-        copies = ends.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))
-        )
-        joined = salted.join(copies, ["end_ms", "_salt"], "left")
+    ends = _passings(df, ts_ms, seq, width_ms, bound_ms, lateness_ms)
+    # One row per window: Spark broadcasts it if it is small, else splits hot windows itself.
+    joined = df.withColumn("end_ms", window_end(ts_ms, width_ms)).join(ends, "end_ms", "left")
     late_class = (
         F.when(F.col(seq) > F.col("gone"), TOO_LATE)
         .when(F.col(seq) > F.col("closed"), ALLOWED_LATE if lateness_ms else TOO_LATE)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import to_cents, to_millis
-from tidemark.functions.records import clean_orders, words
+from tidemark.functions.records import clean_orders, timed_words, words
 from tidemark.functions.text import lines_of
 from tidemark.operators.alarm import refund_alarm
 from tidemark.operators.changelog import sum_changelog, total, union_sources
@@ -36,17 +36,22 @@ from tidemark.operators.windows import (
     window_first,
     with_watermark,
 )
-from tidemark.plans.tables import spread, table, table_stream
+from tidemark.plans.tables import spread, table
 from tidemark.session import shared_dir
 from tidemark.sources.kafka import json_rows
-from tidemark.sources.tables import read_csv
+from tidemark.sources.lines import stream_lines
+from tidemark.sources.tables import declare_sink, read_csv, register_table
 from tidemark.streaming import sinks
-from tidemark.streaming.processors import (
-    LATE_SCHEMA,
-    stream_conditional_emit,
-    stream_late_windows,
-    stream_refund_alarm,
-    stream_running_sum,
+from tidemark.streaming.carried import (
+    Batch,
+    alarm_table,
+    changelog_table,
+    emit_table,
+    late_table,
+    read_kind,
+    read_rows,
+    running_count_table,
+    running_sum_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,8 +61,9 @@ WIDTH, WIDTH_MS = "6 hours", 6 * HOUR_MS
 DAY_MS = 24 * HOUR_MS
 # Lateness queries: windows of 6 h, a watermark 2 h behind, 2 h allowed lateness.
 BOUND_MS = LATENESS_MS = 2 * HOUR_MS
-# Slices a stream of late events is read in.
-SLICES = 4
+# Slices of the order of arrival, each a micro-batch of a registered stream, in so many files.
+SLICES, FILES = 8, 2
+LATE_SLICES = 4
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -296,100 +302,168 @@ def query_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------
 
 
-def _through_stream(
-    spark: SparkSession, name: str, df: DataFrame, schema: str, mode: str = "append"
+def _arriving(
+    spark: SparkSession, name: str, df: DataFrame, seq: str, slices: int = SLICES
+) -> tuple[DataFrame, str]:
+    """``df`` as a stream of several micro-batches along ``seq``, and a folder for its results.
+
+    Every row is in one slice, whatever its number.
+    """
+    folder = _scratch(spark, name)
+    low, high = df.agg(F.min(seq), F.max(seq)).first()
+    place = F.floor((F.col(seq) - F.lit(low)) * slices / F.lit(high - low + 1)) if low is not None else F.lit(0)
+    df = df.persist()
+    for i in range(slices):
+        df.where(place == i).repartition(FILES).write.mode("append").parquet(f"{folder}/in")
+    df.unpersist()
+    arriving = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/in")
+    return arriving, f"{folder}/out"
+
+
+def _carried_rows(
+    spark: SparkSession, name: str, df: DataFrame, seq: str, sink: Callable[[str], Batch]
 ) -> DataFrame:
-    """Run a stream over all its input and read the table it wrote."""
+    """Run an ordered operator over ``df`` as a stream and read what it wrote."""
+    arriving, out = _arriving(spark, name, df, seq)
+    sinks.run_to_end(arriving, sink(out), f"{out}/checkpoint")
+    return read_rows(spark, out)
+
+
+def _updates(spark: SparkSession, name: str, df: DataFrame, schema: str, keys: list[str]) -> DataFrame:
+    """Run an aggregation in update mode over all its input and read its last state."""
     folder = _scratch(spark, name)
-    query = sinks.run_to_end(df, sinks.batch_table(f"{folder}/rows"), f"{folder}/checkpoint", mode)
-    if mode == "complete":
-        return sinks.read_latest(spark, f"{folder}/rows", schema, query.lastProgress["batchId"])
-    return sinks.read_batches(spark, f"{folder}/rows", schema)
+    sinks.run_to_end(df, sinks.batch_table(f"{folder}/rows"), f"{folder}/checkpoint", "update")
+    return sinks.read_updates(spark, f"{folder}/rows", schema, keys)
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table_stream(spark, sf_dir, "documents")
-    lines = texts.select(F.explode(lines_of(F.col("text"))).alias("value"))
-    counts = final_count(words(lines), "word")
-    return _through_stream(
-        spark, "stream_word_count", counts, "word string, cnt bigint", "complete"
+    texts, _ = _arriving(
+        spark, "stream_word_count", table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"
     )
+    lines = texts.select(F.explode(lines_of(F.col("text"))).alias("value"))
+    return _updates(spark, "words", final_count(words(lines), "word"), "word string, cnt bigint", ["word"])
 
 
 def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the watermark has passed by the end of the input."""
-    events = with_watermark(table_stream(spark, sf_dir, "events"), "ts", "0 seconds")
-    counts = _millis_windows(tumbling_count(events, "ts", WIDTH, ["event_type"]))
-    return _through_stream(
-        spark,
-        "stream_tumbling_count",
-        counts,
-        "event_type string, start_ms bigint, end_ms bigint, cnt bigint",
+    """All windows, those still open at the end of the input as well."""
+    events, _ = _arriving(
+        spark, "stream_tumbling_count", table(spark, sf_dir, "events").select("event_id", "ts", "event_type"), "event_id"
     )
+    timed = with_watermark(events, "ts", "1 day")
+    counts = _millis_windows(tumbling_count(timed, "ts", WIDTH, ["event_type"]))
+    schema = "event_type string, start_ms bigint, end_ms bigint, cnt bigint"
+    return _updates(spark, "windows", counts, schema, ["event_type", "start_ms", "end_ms"])
 
 
 def query_stream_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _cents_events(table_stream(spark, sf_dir, "events"))
-    sums = stream_running_sum(events, "user_id", "cents", "event_id").drop("cents")
-    return _through_stream(
-        spark, "stream_running_sum", sums, "event_id bigint, user_id bigint, total bigint"
-    )
+    events = _cents_events(table(spark, sf_dir, "events"))
+    return _carried_rows(
+        spark, "stream_running_sum", events, "event_id",
+        lambda out: running_sum_table(out, "user_id", "cents", order=("event_id",)),
+    ).drop("cents")
+
+
+def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return _carried_rows(
+        spark, "stream_running_count", events, "event_id",
+        lambda out: running_count_table(out, "event_type", order=("event_id",)),
+    )
 
 
 def query_stream_conditional_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _timed_events(table_stream(spark, sf_dir, "events"), "event_type")
-    firing = events.where(F.col("event_type") == "error")
-    emitted = stream_conditional_emit(
-        firing, "event_type", lambda row: True, horizon_ms=WIDTH_MS
-    )
-    return _through_stream(
-        spark,
-        "stream_conditional_emit",
-        emitted,
-        "seq bigint, ts_ms bigint, event_type string, cnt bigint",
-    )
+    events = _timed_events(table(spark, sf_dir, "events"), "event_type")
+    return _carried_rows(
+        spark, "stream_conditional_emit", events.where(F.col("event_type") == "error"), "seq",
+        lambda out: emit_table(out, "event_type", F.lit(True), order=("ts_ms", "seq"), horizon_ms=WIDTH_MS),
+    )
+
+
+def stream_conditional_emit_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _timed_events(table(spark, sf_dir, "events"), "user_id", "event_type")
+    fires = F.col("event_type") == "error"
+    return _carried_rows(
+        spark, "stream_conditional_emit_by_user", events, "seq",
+        lambda out: emit_table(out, "user_id", fires, order=("ts_ms", "seq"), horizon_ms=DAY_MS),
+    ).drop("event_type")
 
 
 def query_stream_refund_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refunds = _refund_events(table_stream(spark, sf_dir, "events"))
-    refunds = refunds.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", "1 day")
-    alarms = stream_refund_alarm(refunds, ts_ms="ts_ms", within_ms=DAY_MS)
-    return _through_stream(
-        spark, "stream_refund_alarm", alarms.select("seq", "user_id", "ts_ms"),
-        "seq bigint, user_id bigint, ts_ms bigint",
+    refunds = _refund_events(table(spark, sf_dir, "events"))
+    alarms = _carried_rows(
+        spark, "stream_refund_alarm", refunds, "seq", lambda out: alarm_table(out, ts_ms="ts_ms", within_ms=DAY_MS)
     )
+    return alarms.select("seq", "user_id", "ts_ms")
+
+
+def _late_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Late events of a stream whose numbers have gaps and begin below 0."""
+    events = _jittered(table(spark, sf_dir, "events")).withColumn("seq", F.col("seq") * 3 - 1000)
+    arriving, out = _arriving(spark, "stream_late", events, "seq", LATE_SLICES)
+    sinks.run_to_end(arriving, late_table(out, WIDTH_MS, BOUND_MS, LATENESS_MS), f"{out}/checkpoint")
+    return read_kind(spark, out, kind).select("word", "end_ms", "cnt")
 
 
 def stream_late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Late events of a stream that arrives in slices, one per micro-batch."""
-    folder = _scratch(spark, "stream_late")
-    events = _jittered(table(spark, sf_dir, "events"))
-    count = events.count()
-    for i in range(SLICES):
-        # Slices of equal size along the arrival order, which counts up from 0.
-        in_slice = F.floor(F.col("seq") * SLICES / count) == i
-        events.where(in_slice).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    arriving = (
-        spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{folder}/in")
-    )
-    tagged = stream_late_windows(arriving, WIDTH_MS, BOUND_MS, LATENESS_MS)
-    sinks.run_to_end(tagged, sinks.side_outputs(f"{folder}/out"), f"{folder}/checkpoint")
-    schema = LATE_SCHEMA.removeprefix("kind string, ")
-    return sinks.read_side(spark, f"{folder}/out", schema, "late").select("word", "end_ms", "cnt")
+    return _late_stream(spark, sf_dir, "late")
+
+
+def stream_late_main_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_stream(spark, sf_dir, "main")
 
 
 def stream_sum_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changelog of the total over the union of two streams."""
-    sides = _order_sides(table_stream(spark, sf_dir, "orders"))
-    folder = _scratch(spark, "stream_sum_changelog")
-    sinks.run_to_end(
-        union_sources(*sides), sinks.changelog_table(folder), f"{folder}/checkpoint"
-    )
-    return sinks.read_batches(
-        spark, f"{folder}/rows", "seq bigint, ord int, op string, total bigint"
+    amounts = _order_amounts(table(spark, sf_dir, "orders")).select("seq", "amount")
+    arriving, out = _arriving(spark, "stream_sum_changelog", amounts, "seq")
+    sides = [arriving.where(F.col("seq") % 2 == parity) for parity in (0, 1)]
+    sinks.run_to_end(union_sources(*sides), changelog_table(out), f"{out}/checkpoint")
+    return read_rows(spark, out)
+
+
+# --- the documented forms: lines, declared tables, SQL -------------------------------------
+
+
+def timed_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines ``"<ms>,<word>"`` made from events, parsed again and counted per word and day."""
+    events = table(spark, sf_dir, "events")
+    lines = events.select(F.concat_ws(",", to_millis(F.col("ts")).cast("string"), "event_type").alias("value"))
+    parsed = timed_words(lines)
+    day = (F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(DAY_MS))).alias("day_ms")
+    return parsed.groupBy("word", day).agg(F.sum("cnt").alias("cnt"))
+
+
+def sql_insert_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``INSERT INTO`` a declared CSV table from a declared CSV table, in SQL alone."""
+    folder = _scratch(spark, "sql_insert")
+    sinks.write_csv(_order_amounts(table(spark, sf_dir, "orders")).select("o_custkey", "amount"), f"{folder}/in")
+    name = f"t{uuid.uuid4().hex}"
+    register_table(spark, f"{name}_in", "o_custkey bigint, amount bigint", "csv", path=f"{folder}/in")
+    declare_sink(spark, f"{name}_out", "o_custkey bigint, total bigint", f"{folder}/out")
+    spark.sql(f"INSERT INTO {name}_out SELECT o_custkey, SUM(amount) FROM {name}_in GROUP BY o_custkey")
+    return read_csv(spark, f"{folder}/out", "o_custkey bigint, total bigint")
+
+
+def stream_sql_union_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over two streaming CSV tables, a union, and the total of what has arrived."""
+    folder = _scratch(spark, "sql_union")
+    name = f"t{uuid.uuid4().hex}"
+    for side, rows in zip("ab", _order_sides(table(spark, sf_dir, "orders")), strict=True):
+        sinks.write_csv(rows.select("amount"), f"{folder}/{side}")
+        register_table(spark, f"{name}{side}", "amount bigint", "csv", streaming=True, path=f"{folder}/{side}")
+    totals = spark.sql(
+        f"SELECT 1 AS k, SUM(amount) AS total FROM (SELECT amount FROM {name}a UNION ALL SELECT amount FROM {name}b)"
     )
+    return _updates(spark, "sql_union_rows", totals, "k int, total bigint", ["k"]).select("total")
+
+
+def text_line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as text files, read as a stream of lines and counted by word."""
+    folder = _scratch(spark, "text_lines")
+    texts = table(spark, sf_dir, "documents").select(F.explode(lines_of(F.col("text"))).alias("value"))
+    texts.write.text(f"{folder}/in")
+    counts = final_count(words(stream_lines(spark, f"{folder}/in")), "word")
+    return _updates(spark, "text_line_rows", counts, "word string, cnt bigint", ["word"])
 
 
 QUERIES: dict[str, Query] = {
@@ -417,11 +491,18 @@ QUERIES: dict[str, Query] = {
     "union_sum": union_sum,
     "sum_changelog": query_sum_changelog,
     "json_rows": query_json_rows,
+    "timed_line_counts": timed_line_counts,
+    "sql_insert_totals": sql_insert_totals,
+    "stream_sql_union_total": stream_sql_union_total,
+    "text_line_words": text_line_words,
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
     "stream_running_sum": query_stream_running_sum,
+    "stream_running_count": stream_running_count,
     "stream_conditional_emit": query_stream_conditional_emit,
+    "stream_conditional_emit_by_user": stream_conditional_emit_by_user,
     "stream_refund_alarm": query_stream_refund_alarm,
     "stream_late_side_output": stream_late_side_output,
+    "stream_late_main_output": stream_late_main_output,
     "stream_sum_changelog": stream_sum_changelog,
 }

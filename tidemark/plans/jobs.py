@@ -1,6 +1,8 @@
 """The complete jobs, each from a source DataFrame to its result.
 
 ``lines`` of a bounded job are ``(seq, value)``; jobs that also run on a stream say so.
+The ordered jobs on a stream give the stream and the function that works on its batches,
+for ``run_to_end(*job, checkpoint)``; their sources number the records in ``seq``.
 """
 
 from __future__ import annotations
@@ -25,12 +27,14 @@ from tidemark.operators.windows import (
     with_watermark,
 )
 from tidemark.sources.kafka import string_values
-from tidemark.sources.tables import register_table
-from tidemark.streaming.processors import (
-    stream_conditional_emit,
-    stream_late_windows,
-    stream_refund_alarm,
-    stream_running_sum,
+from tidemark.sources.tables import declare_sink, register_table
+from tidemark.streaming.carried import (
+    Batch,
+    alarm_table,
+    changelog_table,
+    emit_table,
+    late_table,
+    running_sum_table,
 )
 from tidemark.streaming.sinks import write_csv
 
@@ -45,6 +49,11 @@ def running_word_count(lines: DataFrame, by: str = "comma") -> DataFrame:
     return running_sum(tokens, "word", ["seq", "pos"], "cnt", "total")
 
 
+def stream_running_word_count(lines: DataFrame, path: str, by: str = "comma") -> tuple[DataFrame, Batch]:
+    """``running_word_count`` on a stream of lines: one row per word read."""
+    return numbered_words(lines, by=by), running_sum_table(path, "word", order=("seq", "pos"))
+
+
 def word_totals(lines: DataFrame, by: str = "comma") -> DataFrame:
     """Counts per word; on a stream, per micro-batch in update or complete mode."""
     return final_count(words(lines, by=by), "word")
@@ -60,9 +69,9 @@ def student_scores(students: DataFrame) -> DataFrame:
     return running_sum(students, "name", "seq", "score", "total")
 
 
-def stream_student_scores(students: DataFrame) -> DataFrame:
+def stream_student_scores(students: DataFrame, path: str) -> tuple[DataFrame, Batch]:
     """``student_scores`` on a stream, one row per record."""
-    return stream_running_sum(students, "name", "score")
+    return students, running_sum_table(path, "name", "score")
 
 
 def words_per_window(lines: DataFrame, width: str = "5 seconds") -> DataFrame:
@@ -90,9 +99,12 @@ def triggered_words(
     return conditional_emit(tokens, "word", F.lit(True), horizon_ms=horizon_ms)
 
 
-def stream_triggered_words(lines: DataFrame, horizon_ms: int = HORIZON_MS) -> DataFrame:
+def stream_triggered_words(
+    lines: DataFrame, path: str, horizon_ms: int = HORIZON_MS
+) -> tuple[DataFrame, Batch]:
     """``triggered_words`` on a stream of ``(seq, ts_ms, value)``."""
-    return stream_conditional_emit(words(lines).drop("cnt"), "word", horizon_ms=horizon_ms)
+    tokens = words(lines).drop("cnt")
+    return tokens, emit_table(path, "word", order=("ts_ms", "seq"), horizon_ms=horizon_ms)
 
 
 def words_per_window_applied(lines: DataFrame, width_ms: int = 5_000) -> DataFrame:
@@ -134,9 +146,9 @@ def late_word_windows(
     return main, side_output(classified).select("word", "cnt")
 
 
-def stream_late_word_windows(lines: DataFrame, **times: int) -> DataFrame:
-    """``late_word_windows`` on a stream of ``(seq, value)``; rows are tagged by ``kind``."""
-    return stream_late_windows(timed_words(lines), **times)
+def stream_late_word_windows(lines: DataFrame, path: str, **times: int) -> tuple[DataFrame, Batch]:
+    """``late_word_windows`` on a stream of lines; rows are tagged by ``kind``."""
+    return timed_words(lines).select("seq", "ts_ms", "word", "cnt"), late_table(path, **times)
 
 
 def order_alarms(lines: DataFrame) -> DataFrame:
@@ -144,9 +156,9 @@ def order_alarms(lines: DataFrame) -> DataFrame:
     return refund_alarm(clean_orders(lines))
 
 
-def stream_order_alarms(lines: DataFrame, ts_ms: str | None = None) -> DataFrame:
-    """``order_alarms`` on a stream, by processing time unless ``ts_ms`` is given."""
-    return stream_refund_alarm(clean_orders(lines), ts_ms=ts_ms)
+def stream_order_alarms(lines: DataFrame, path: str, ts_ms: str | None = None) -> tuple[DataFrame, Batch]:
+    """``order_alarms`` on a stream of lines, by processing time unless ``ts_ms`` is given."""
+    return clean_orders(lines), alarm_table(path, ts_ms=ts_ms)
 
 
 def sales_totals(spark: SparkSession, source: str, sink: str) -> DataFrame:
@@ -159,6 +171,13 @@ def sales_totals(spark: SparkSession, source: str, sink: str) -> DataFrame:
     return totals
 
 
+def insert_sales_totals(spark: SparkSession, source: str, sink: str) -> None:
+    """The same in SQL alone: ``INSERT INTO`` a declared CSV table."""
+    register_table(spark, "csv_source", SALES_SCHEMA, "csv", path=source)
+    declare_sink(spark, "csv_sink", "user_id int, total_amount double", sink)
+    spark.sql("INSERT INTO csv_sink SELECT user_id, SUM(order_amount) FROM csv_source GROUP BY user_id")
+
+
 def unified_amounts(*sources: DataFrame) -> DataFrame:
     """The amounts of bounded or streaming order sources, with ``seq`` where all have it.
 
@@ -169,6 +188,11 @@ def unified_amounts(*sources: DataFrame) -> DataFrame:
     return union_sources(*[s.select(columns) for s in sources])
 
 
+def stream_unified_changelog(amounts: DataFrame, path: str) -> tuple[DataFrame, Batch]:
+    """The changelog of the total over a stream of amounts, such as a SQL union of registered tables."""
+    return amounts, changelog_table(path)
+
+
 def unified_changelog(numbered: DataFrame) -> DataFrame:
     """Changelog of the total over bounded ``(seq, amount)`` rows."""
     return sum_changelog(numbered)

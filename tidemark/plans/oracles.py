@@ -79,6 +79,15 @@ def _changelog(amount: str) -> str:
 
 _CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
+_LATE_STREAM = """
+        j AS (SELECT event_id * 3 - 1000 AS seq, event_type AS word,
+               epoch_us(ts) // 1000 - (event_id * 7919) % 97 * 300000 AS ts_ms FROM events),
+        p AS (SELECT j.*, (seq - (SELECT min(seq) FROM j)) * 4
+               // (SELECT max(seq) - min(seq) + 1 FROM j) AS slice FROM j),
+        m AS (SELECT slice, max(ts_ms) AS latest FROM p GROUP BY slice),
+        b AS (SELECT p.*, ts_ms // 21600000 * 21600000 + 21600000 AS end_ms,
+               (SELECT max(latest) FROM m WHERE m.slice < p.slice) - 7200000 AS wm FROM p)"""
+
 ORACLES: dict[str, str] = {
     "word_count": f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word",
     "csv_token_count": """
@@ -141,18 +150,31 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY 1""",
     "stream_word_count": f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word",
     "stream_tumbling_count": f"""WITH {_TUMBLED}
-        SELECT event_type, start_ms, start_ms + 21600000 AS end_ms, count(*) AS cnt FROM t
-        WHERE start_ms + 21600000 <= (SELECT max(ts_ms) FROM e) GROUP BY event_type, start_ms""",
+        SELECT event_type, start_ms, start_ms + 21600000 AS end_ms, count(*) AS cnt
+        FROM t GROUP BY event_type, start_ms""",
+    "timed_line_counts": f"""WITH {_EVENTS}
+        SELECT event_type AS word, ts_ms // 86400000 * 86400000 AS day_ms, count(*) AS cnt FROM e GROUP BY 1, 2""",
+    "sql_insert_totals": _GROUP_SUM,
+    "stream_sql_union_total": f"SELECT CAST(sum({_CENTS}) AS BIGINT) AS total FROM orders",
+    "text_line_words": f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word",
+    "stream_running_count": """
+        SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY event_id
+          ROWS UNBOUNDED PRECEDING) AS cnt FROM events""",
+    "stream_conditional_emit_by_user": f"""
+        WITH {_EVENTS}, {_emit("user_id", 86400000, "event_type = 'error'")}
+        SELECT seq, ts_ms, user_id, cnt FROM m""",
     "stream_running_sum": _RUNNING_SUM,
     "stream_conditional_emit": _EMIT_ERRORS,
     "stream_refund_alarm": _ALARMS,
-    "stream_late_side_output": """
-        WITH j AS (SELECT event_id AS seq, event_type AS word,
-               epoch_us(ts) // 1000 - (event_id * 7919) % 97 * 300000 AS ts_ms,
-               event_id * 4 // (SELECT count(*) FROM events) AS slice FROM events),
-        m AS (SELECT slice, max(ts_ms) AS latest FROM j GROUP BY slice),
-        b AS (SELECT j.*, ts_ms // 21600000 * 21600000 + 21600000 AS end_ms,
-               (SELECT max(latest) FROM m WHERE m.slice < j.slice) - 7200000 AS wm FROM j)
+    "stream_late_side_output": f"""WITH {_LATE_STREAM}
         SELECT word, end_ms, CAST(1 AS BIGINT) AS cnt FROM b WHERE end_ms + 7200000 <= wm""",
+    # A window fires once when the watermark passes it, and for each record in its lateness.
+    "stream_late_main_output": f"""WITH {_LATE_STREAM},
+        f AS (SELECT word, end_ms,
+               count(*) FILTER (end_ms <= wm AND end_ms + 7200000 > wm)
+               + CASE WHEN bool_or(wm IS NULL OR end_ms > wm) AND end_ms <= (SELECT max(ts_ms) - 7200000 FROM j)
+                 THEN 1 ELSE 0 END AS n FROM b GROUP BY word, end_ms),
+        g AS (SELECT word, end_ms, unnest(range(n)) FROM f)
+        SELECT word, end_ms, CAST(1 AS BIGINT) AS cnt FROM g""",
     "stream_sum_changelog": _changelog(_CENTS),
 }

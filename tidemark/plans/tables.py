@@ -23,17 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
-    return (
-        prepare(spark)
-        .readStream.schema(SCHEMAS[name])
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 100)
-        .parquet(sf_dir)
-    )
-
-
 def spread(df: DataFrame) -> DataFrame:
     """More tasks for a scan with fewer splits than there are cores.
 

@@ -18,8 +18,6 @@ STATE_CONF = {
 
 # Rows one ordered group may hold before it is cut into chunks (see operators.chunks).
 ROWS_PER_CHUNK = ("spark.tidemark.rowsPerChunk", 4_000_000)
-# Grid points of a window table that may be broadcast (about 24 bytes each).
-BROADCAST_PANES = ("spark.tidemark.broadcastPanes", 1_000_000)
 # Where a local session without spark.checkpoint.dir keeps its files.
 LOCAL_DIR = "spark.tidemark.localDir"
 

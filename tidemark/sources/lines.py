@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.arrival import file_arrival
+
 LINE_SCHEMA = "value string"
 
 
@@ -20,10 +22,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """New text files of a folder as an unbounded stream of lines.
+    """New text files of a folder as an unbounded stream of ``(value, seq)``.
 
-    ``max_files`` per micro-batch bounds the rows a keyed operator sees at once.
+    ``seq`` is the order of arrival: file by file as they were written, line by line.
     """
-    return (
-        spark.readStream.schema(LINE_SCHEMA).option("maxFilesPerTrigger", max_files).text(path)
-    )
+    lines = spark.readStream.schema(LINE_SCHEMA).option("maxFilesPerTrigger", max_files).text(path)
+    return lines.select("value", file_arrival().alias("seq"))

@@ -3,22 +3,32 @@ when the batch is run again, so a restart leaves no duplicates."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.operators.changelog import sum_changelog
-
 Batch = Callable[[DataFrame, int], None]
 
 
-def print_labelled(
+def labelled_lines(path: str, label: str) -> Batch:
+    """``foreachBatch`` function: every row as a line of text under a label, written by the
+    executors to a folder of the batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shown = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in batch.columns])
+        batch.select(F.concat(F.lit(label), shown)).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def preview_labelled(
     df: DataFrame, label: str, mode: str = "append", rows: int = 20
 ) -> DataStreamWriter:
-    """Show the first ``rows`` rows of every micro-batch under a label."""
+    """Show the first ``rows`` rows of every micro-batch under a label, to look at only;
+    ``labelled_lines`` writes all of them."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
         print(f"{label} (batch {batch_id})")
@@ -44,65 +54,20 @@ def batch_table(path: str, partition_by: tuple[str, ...] = ()) -> Batch:
     return write
 
 
-def side_outputs(path: str) -> Batch:
-    """``foreachBatch`` function: rows tagged ``kind`` go to one table per kind.
-
-    One write per batch: the tagged rows are computed once.
-    """
-    return batch_table(path, ("kind",))
-
-
-def read_side(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame:
-    """One of the outputs written by ``side_outputs``; other kinds' files are not read."""
-    table = spark.read.schema(f"{schema}, batch_id bigint, kind string").parquet(path)
-    return table.where(F.col("kind") == kind).drop("kind", "batch_id")
-
-
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All rows written by ``batch_table``."""
     return spark.read.schema(f"{schema}, batch_id bigint").parquet(path).drop("batch_id")
 
 
-def read_latest(spark: SparkSession, path: str, schema: str, last_batch: int) -> DataFrame:
-    """The whole result as of one batch, for a query in complete mode."""
-    return spark.read.schema(schema).parquet(f"{path}/batch_id={last_batch}")
-
-
-_STATE = "records bigint, known bigint, total {}"
-
+def read_updates(spark: SparkSession, path: str, schema: str, keys: Sequence[str]) -> DataFrame:
+    """The latest row of each key, from a table written in update mode (or complete mode).
 
-def changelog_table(path: str, seq: str = "seq", amount: str = "amount", scale: int = 6) -> Batch:
-    """``foreachBatch`` function: the changelog of the total of all batches so far.
-
-    Each batch's changelog starts from the one-row state the batch before left, and
-    inside the batch is the same distributed running sum as for a bounded table.
+    Includes the windows that were still open when a bounded stream ended.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        kind = batch.schema[amount].dataType.simpleString()
-        exact = f"decimal(38,{scale})" if kind in ("double", "float") else kind
-        state = _STATE.format(exact)
-        before = (0, 0, None)
-        if batch_id > 0:
-            before = tuple(spark.read.schema(state).parquet(f"{path}/state/batch_id={batch_id - 1}").first())
-        changes = sum_changelog(batch, seq, amount, scale, carry=before)
-        changes.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        value = F.col(amount).cast(exact)
-        batch.agg(
-            (F.count("*") + before[0]).alias("records"),
-            (F.count(value) + before[1]).alias("known"),
-            (
-                F.when(
-                    F.count(value) + before[1] > 0,
-                    F.coalesce(F.sum(value), F.lit(0)) + F.lit(before[2] or 0),
-                )
-                .cast(exact)
-                .alias("total")
-            ),
-        ).write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
-
-    return write
+    table = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    rest = [c for c in table.columns if c not in (*keys, "batch_id")]
+    last = F.max_by(F.struct(*rest), "batch_id").alias("_last")
+    return table.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
 def run_to_end(
@@ -110,22 +75,15 @@ def run_to_end(
 ) -> StreamingQuery:
     """Process everything available now, then stop; raises if the query failed.
 
-    Not for operators with processing-time timers, which never run out of work: start
-    those with a ``processingTime`` trigger. Keyed state is spread over one partition per
-    core, a number that stays with the checkpoint.
+    Keyed state of aggregations has as many partitions as ``spark.sql.shuffle.partitions``
+    says when the query first starts; the number stays with the checkpoint.
     """
-    spark = df.sparkSession
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    try:
-        query = (
-            df.writeStream.outputMode(mode)
-            .foreachBatch(sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    query = (
+        df.writeStream.outputMode(mode)
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
     return query
