@@ -35,7 +35,7 @@ MIN_WORDS = 5
 EDITS = 10
 BITS, BLOCKS, EQUAL = 64, 6, 3
 # Limits for which Spark works on a band of the table of distances.
-LIMITS = (8, 32, 128, 512, 2048, 8192)
+LIMITS = tuple(2**k for k in range(3, 15))
 # Lines whose texts may be looked up by a broadcast of their hashes (16 bytes each).
 BROADCAST_LINES = 1_000_000
 
