@@ -251,3 +251,11 @@ def test_amounts_are_never_rounded(spark):
     with pytest.raises(Exception, match="more than 6 decimal places"):
         sum_changelog(df).collect()
     assert sum_changelog(df, scale=8).count() == 5
+
+
+def test_helper_columns_are_not_overwritten(spark):
+    df = spark.createDataFrame([("u", 1, 2, 0, 9)], "user_id string, seq bigint, state int, ts_ms bigint, _at int")
+    with pytest.raises(ValueError, match="_at"):
+        refund_alarm(df)
+    with pytest.raises(ValueError, match="_at"):
+        conditional_emit(df, "user_id", F.lit(True))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import REFUNDED
-from tidemark.operators.chunks import CHUNK, IS_HOT, SUBCHUNK, add_chunks, plan_cuts
+from tidemark.operators.chunks import CHUNK, IS_HOT, SUBCHUNK, add_chunks, plan_cuts, reserve
 from tidemark.operators.running import REAL
 
 WITHIN_MS = 60_000
@@ -26,6 +26,7 @@ def refund_alarm(
     are refunds less than ``within_ms`` apart. An alarm uses up both its refunds, so
     within a streak every second row is one.
     """
+    reserve(df, "_at", "_refund", "_weight", REAL, "_starts", "_streak", "_sum", "_place")
     cuts = plan_cuts(df, [key], [seq])
     rows = df.withColumns(
         {

@@ -36,6 +36,13 @@ EXACT = 1 << 53
 CHUNK, SUBCHUNK, IS_HOT = "_chunk", "_subchunk", "_hot"
 
 
+def reserve(df: DataFrame, *names: str) -> None:
+    """Refuse a table that has columns named like the helper columns of an operator."""
+    taken = sorted({*names, CHUNK, SUBCHUNK, IS_HOT} & set(df.columns))
+    if taken:
+        raise ValueError(f"columns {taken} are used inside this operator: rename them")
+
+
 @dataclass(frozen=True)
 class Cuts:
     """Where to cut. ``hot`` holds hashes of hot keys, or None for one global group."""

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.chunks import reserve
 from tidemark.operators.running import running
 
 # Fixed values of the documented job: the word that fires and its horizon.
@@ -35,6 +36,7 @@ def conditional_emit(
     that can be cut anywhere, however many records fall inside one horizon.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    reserve(df, "_at", "_nth", "_step", "_seen")
     enters = F.struct(
         F.col(ts_ms).alias("_at"), F.col(seq).alias("_nth"), F.lit(1).alias("_step")
     )
