@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
 # Nodes of a part of a bucket, after the first turn.
 PART = 8
 # Rows a task of the steps on pairs and links takes.
