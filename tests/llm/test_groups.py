@@ -158,6 +158,37 @@ def test_frequent_shingles_are_counted_exactly(spark):
     assert (total, len(frequent), holders.tolist()) == (400, 2, [100.0, 100.0])
 
 
+def test_candidates_do_not_grow_with_partitions_or_order(spark):
+    """Few texts in many partitions, and copies side by side, send no more shingles to the driver."""
+    rng = random.Random(5)
+    texts = []
+    for i in range(120):
+        texts += [" ".join(["one two three four five"] * (i % 2) + [f"u{rng.randrange(10**6)}" for _ in range(30)])] * 4
+    made = spark.createDataFrame([(t,) for t in texts], "text string").repartition(97)
+    total, found = icws.candidates(made)
+    assert (total, found.count()) == (480, 1)
+    in_order = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert icws.candidates(in_order)[1].count() == 1
+    for table in (made, in_order):
+        assert (icws.frequencies(table)[0], icws.frequencies(table)[2].tolist()) == (480, [240.0])
+
+
+def test_summaries_keep_what_is_frequent():
+    """Bounded counts: never too high, and too low by no more than all over the size."""
+    rng = np.random.default_rng(3)
+    import pyarrow as pa
+
+    texts = [" ".join(["a b c d e"] * int(rng.random() < 0.2) + [f"x{k}" for k in rng.integers(0, 10**6, 40)]) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    true = Counter(s for t in texts for s in icws.shingles([t])[0].tolist())
+    for size in (50, 1000):
+        made = {s: n for b in icws._summary(size)(iter([batch])) for s, n in zip(b["shingle"].to_pylist(), b["least"].to_pylist(), strict=True)}
+        assert len(made) <= size and all(n <= true[s] for s, n in made.items())
+        low = sum(true.values()) / (size + 1) + len(texts) / 40
+        assert all(made.get(s, 0) >= n - low for s, n in true.items())
+    assert icws.shingles(["a b c d e"])[0].tolist()[0] in made
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
