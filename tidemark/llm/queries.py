@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, ctw, decontam, icws, lines, pii, quality, tokencount, wrapper
+from tidemark.llm import bpe, chat, ctw, decontam, icws, lines, pii, quality, repair, tokencount, topk, trie, wrapper
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,18 @@ def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(read(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.repair(repair.damaged(read(spark, sf_dir, "conversations"))))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_icws": op2_icws,
@@ -104,4 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_wrapper": op8_wrapper,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_repair": op11_repair,
+    "op12_trie": op12_trie,
+    "op13_topk": op13_topk,
 }
