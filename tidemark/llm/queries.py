@@ -102,7 +102,7 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return topk.top_k(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
 QUERIES: dict[str, Query] = {

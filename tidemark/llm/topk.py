@@ -32,7 +32,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
@@ -203,31 +203,29 @@ def _search(table: DataFrame, block: Block, k: int, shift: int) -> DataFrame:
 
 
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", scale: float = 64.0,
+    vectors: DataFrame, is_query: str, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", scale: float = 64.0,
     block: int = BLOCK,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best rows of each query by inner product
-    of ``floor(scale * x)``, ties to the smaller id. ``is_query`` is a condition on ``vec_id``."""
+    of ``floor(scale * x)``, ties to the smaller id. ``is_query`` is a condition on ``vec_id``, in SQL."""
     spark = vectors.sparkSession
     folder = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
     # Row numbers are written, so that every round sees the same.
     numbered = prepared(vectors, vec_id, vector, scale).select(F.monotonically_increasing_id().alias("uid"), "*")
     numbered.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{folder}/rows")
     table = spark.read.parquet(f"{folder}/rows")
-    queries = table.filter(F.col("vec_id").isNotNull() & is_query)
-    largest, width, norm, = table.agg(
-        F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))),
-        F.max(F.size("v")),
-        F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)),
-    ).first()
+    queries = table.filter(F.col("vec_id").isNotNull() & F.expr(is_query))
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    width, longest = table.agg(F.max(F.size("v")), F.max(squares)).first()
     n_queries = queries.count()
     if not n_queries:
         return spark.createDataFrame([], SCHEMA)
-    if (largest or 0) ** 2 * width >= 1 << 62:
+    # No score, nor any part of its sum, is beyond the longest vector's product with itself.
+    if longest >= 1 << 62:
         raise ValueError("scores of these vectors can be beyond 64 bits")
     # Doubles while every partial sum is exact, for they are multiplied several times as fast.
-    kind = np.float64 if (largest or 0) ** 2 * width < 1 << 52 else np.int64
-    reach = int(np.sqrt(norm or 0.0) * (1 + 1e-9)) + 1
+    kind = np.float64 if longest < 1 << 52 else np.int64
+    reach = int(np.sqrt(longest) * (1 + 1e-9)) + 1
 
     def low(v: np.ndarray) -> np.ndarray:
         """A score below all of a query's, by the lengths of the vectors."""
