@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -5,8 +6,11 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark.plans import jobs
 from tidemark.session import shared_dir
+from tidemark.sources.arrival import in_order
 from tidemark.sources.kafka import bounded_options, json_rows, kafka_options, string_values
+from tidemark.sources.lines import read_lines
 from tidemark.sources.tables import read_csv, register_table
 
 
@@ -74,3 +78,75 @@ def test_shared_dir_without_a_configured_one(spark):
     context.master = "spark://host:7077"
     with pytest.raises(ValueError):
         shared_dir(unset)
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in blocks of 64 bytes, several blocks a task."""
+    changed = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name in changed:
+        spark.conf.unset(name)
+
+
+def write_lines(folder, files):
+    """Files of lines, each written a while before the one before it."""
+    for i, (name, lines) in enumerate(files.items()):
+        (folder / name).write_text("".join(f"{line}\n" for line in lines))
+        os.utime(folder / name, (1_700_000_000 - i * 60, 1_700_000_000 - i * 60))
+
+
+def test_lines_are_numbered_in_their_order(spark, tmp_path, small_splits):
+    files = {f"{c}.txt": [f"{c}{i}" + "x" * (i % 40) for i in range(n)] for c, n in (("a", 57), ("b", 1), ("c", 0), ("d", 90))}
+    write_lines(tmp_path, files)
+    lines = read_lines(spark, str(tmp_path))
+    assert lines.select("seq").distinct().count() > 20
+    by_name = [line for name in sorted(files) for line in files[name]]
+    assert rows(in_order(lines, by="name"), "seq", "value") == list(enumerate(by_name))
+    by_time = [line for name in sorted(files, reverse=True) for line in files[name]]
+    assert rows(in_order(lines), "seq", "value") == list(enumerate(by_time))
+
+
+def test_a_filtered_union_is_numbered(spark, tmp_path, small_splits):
+    for side in "ab":
+        (tmp_path / side).mkdir()
+        write_lines(tmp_path / side, {"x.csv": [f"{side}{i},{i}" for i in range(40)]})
+        register_table(spark, f"numbered_{side}", "id string, v int", "csv", path=str(tmp_path / side))
+    union = spark.sql("SELECT seq, id FROM numbered_a WHERE v % 3 > 0 UNION ALL SELECT seq, id FROM numbered_b WHERE v < 5")
+    expected = [f"a{i}" for i in range(40) if i % 3] + [f"b{i}" for i in range(5)]
+    assert rows(in_order(union, by="name"), "seq", "id") == list(enumerate(expected))
+
+
+def test_numbers_do_not_outlive_other_splits(spark, tmp_path, small_splits):
+    write_lines(tmp_path, {"a.txt": [f"line {i}" for i in range(100)]})
+    numbered = in_order(read_lines(spark, str(tmp_path)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    with pytest.raises(PySparkException, match="read them again"):
+        numbered.collect()
+
+
+def test_numbers_of_nothing(spark, tmp_path):
+    assert in_order(read_lines(spark, str(tmp_path))).count() == 0
+    numbered = spark.createDataFrame([(7, "a")], "seq bigint, value string")
+    assert in_order(numbered) is numbered
+
+
+def test_running_word_count_of_a_file(spark, tmp_path):
+    write_lines(tmp_path, {"words.txt": ["java,c++", "java,", "php,java"]})
+    counted = jobs.running_word_count(read_lines(spark, str(tmp_path / "words.txt")))
+    assert rows(counted, "seq", "pos", "word", "total") == [
+        (0, 0, "java", 1), (0, 1, "c++", 1), (1, 0, "java", 2), (2, 0, "php", 1), (2, 1, "java", 3),
+    ]
+
+
+def test_changelog_of_two_declared_tables(spark, tmp_path):
+    for side, lines in (("first", ["o1,10"]), ("second", ["o2,5.5", "o3,"])):
+        (tmp_path / side).mkdir()
+        write_lines(tmp_path / side, {"o.csv": lines})
+    sides = [register_table(spark, f"orders_{s}", jobs.AMOUNT_SCHEMA, "csv", path=str(tmp_path / s)) for s in ("first", "second")]
+    found = jobs.unified_changelog(jobs.unified_amounts(*sides))
+    assert [tuple(r) for r in found.orderBy("seq", "ord").collect()] == [
+        (0, 0, "+I", 10.0), (1, 0, "-U", 10.0), (1, 1, "+U", 15.5),
+    ]

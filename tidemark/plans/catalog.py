@@ -36,10 +36,12 @@ from tidemark.operators.windows import (
     window_first,
     with_watermark,
 )
+from tidemark.plans import jobs
 from tidemark.plans.tables import spread, table
 from tidemark.session import shared_dir
+from tidemark.sources.arrival import in_order
 from tidemark.sources.kafka import json_rows
-from tidemark.sources.lines import stream_lines
+from tidemark.sources.lines import read_lines, stream_lines
 from tidemark.sources.tables import declare_sink, read_csv, register_table
 from tidemark.streaming import sinks
 from tidemark.streaming.carried import (
@@ -466,6 +468,32 @@ def text_line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _updates(spark, "text_line_rows", counts, "word string, cnt bigint", ["word"])
 
 
+def _in_files(df: DataFrame, seq: str) -> DataFrame:
+    """``df`` cut along ``seq`` into as many files as there are cores, named in order."""
+    files = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(files, seq).sortWithinPartitions(seq).drop(seq)
+
+
+def text_running_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running word count of text files, numbered in the order of their names."""
+    folder = _scratch(spark, "text_running")
+    line = F.concat_ws(",", "event_type", F.col("user_id").cast("string"))
+    lines = table(spark, sf_dir, "events").select("event_id", line.alias("value"))
+    _in_files(lines, "event_id").write.text(f"{folder}/in")
+    return jobs.running_word_count(in_order(read_lines(spark, f"{folder}/in"), by="name")).drop("cnt")
+
+
+def csv_unified_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two declared CSV tables, their union in SQL, and the changelog of its total."""
+    folder = _scratch(spark, "csv_unified")
+    name = f"t{uuid.uuid4().hex}"
+    for side, rows in zip("ab", _order_sides(table(spark, sf_dir, "orders")), strict=True):
+        _in_files(rows, "seq").write.csv(f"{folder}/{side}")
+        register_table(spark, f"{name}{side}", "amount bigint", "csv", path=f"{folder}/{side}")
+    union = spark.sql(f"SELECT seq, amount FROM {name}a UNION ALL SELECT seq, amount FROM {name}b")
+    return jobs.unified_changelog(in_order(union, by="name"))
+
+
 QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "csv_token_count": csv_token_count,
@@ -495,6 +523,8 @@ QUERIES: dict[str, Query] = {
     "sql_insert_totals": sql_insert_totals,
     "stream_sql_union_total": stream_sql_union_total,
     "text_line_words": text_line_words,
+    "text_running_words": text_running_words,
+    "csv_unified_changelog": csv_unified_changelog,
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
     "stream_running_sum": query_stream_running_sum,

@@ -1,6 +1,7 @@
 """The complete jobs, each from a source DataFrame to its result.
 
-``lines`` of a bounded job are ``(seq, value)``; jobs that also run on a stream say so.
+``lines`` of a bounded job are ``(seq, value)``, from memory or files (whose rows are numbered in the
+order of arrival where a job needs it); jobs that also run on a stream say so.
 The ordered jobs on a stream give the stream and the function that works on its batches,
 for ``run_to_end(*job, checkpoint)``; their sources number the records in ``seq``.
 """
@@ -26,6 +27,7 @@ from tidemark.operators.windows import (
     with_ingest_time,
     with_watermark,
 )
+from tidemark.sources.arrival import in_order
 from tidemark.sources.kafka import string_values
 from tidemark.sources.tables import declare_sink, register_table
 from tidemark.streaming.carried import (
@@ -45,7 +47,7 @@ AMOUNT_SCHEMA = "order_id string, amount double"
 
 def running_word_count(lines: DataFrame, by: str = "comma") -> DataFrame:
     """Per word in reading order, the count so far."""
-    tokens = numbered_words(lines, by=by)
+    tokens = numbered_words(in_order(lines), by=by)
     return running_sum(tokens, "word", ["seq", "pos"], "cnt", "total")
 
 
@@ -66,7 +68,7 @@ def kafka_word_totals(records: DataFrame) -> DataFrame:
 
 def student_scores(students: DataFrame) -> DataFrame:
     """Per student in ``seq`` order, the score sum so far. For streams see below."""
-    return running_sum(students, "name", "seq", "score", "total")
+    return running_sum(in_order(students), "name", "seq", "score", "total")
 
 
 def stream_student_scores(students: DataFrame, path: str) -> tuple[DataFrame, Batch]:
@@ -95,7 +97,7 @@ def triggered_words(
     lines: DataFrame, word: str = FIRING_WORD, horizon_ms: int = HORIZON_MS
 ) -> DataFrame:
     """``(seq, ts_ms, word, cnt)`` for every ``word`` but the first."""
-    tokens = words(lines).where(F.col("word") == word).drop("cnt")
+    tokens = words(in_order(lines)).where(F.col("word") == word).drop("cnt")
     return conditional_emit(tokens, "word", F.lit(True), horizon_ms=horizon_ms)
 
 
@@ -124,7 +126,7 @@ def doubled_words(lines: DataFrame, width: str = "10 seconds") -> DataFrame:
 
 def timed_word_sums(lines: DataFrame, width_ms: int = 5_000, bound_ms: int = 2_000) -> DataFrame:
     """Sums per word and event-time window; records behind the watermark are dropped."""
-    return kept_sums(classify_late(timed_words(lines), "ts_ms", "seq", width_ms, bound_ms), ["word"])
+    return kept_sums(classify_late(timed_words(in_order(lines)), "ts_ms", "seq", width_ms, bound_ms), ["word"])
 
 
 def stream_timed_word_sums(
@@ -140,7 +142,7 @@ def late_word_windows(
 ) -> tuple[DataFrame, DataFrame]:
     """First element per firing, and the side output of records that came too late."""
     classified = classify_late(
-        timed_words(lines), "ts_ms", "seq", width_ms, bound_ms, lateness_ms
+        timed_words(in_order(lines)), "ts_ms", "seq", width_ms, bound_ms, lateness_ms
     )
     main = firing_rows(firings(classified, ["word"])).select("word", "cnt")
     return main, side_output(classified).select("word", "cnt")
@@ -153,7 +155,7 @@ def stream_late_word_windows(lines: DataFrame, path: str, **times: int) -> tuple
 
 def order_alarms(lines: DataFrame) -> DataFrame:
     """Alarms over order lines ``(seq, ts_ms, value)``."""
-    return refund_alarm(clean_orders(lines))
+    return refund_alarm(clean_orders(in_order(lines)))
 
 
 def stream_order_alarms(lines: DataFrame, path: str, ts_ms: str | None = None) -> tuple[DataFrame, Batch]:
@@ -194,5 +196,5 @@ def stream_unified_changelog(amounts: DataFrame, path: str) -> tuple[DataFrame,
 
 
 def unified_changelog(numbered: DataFrame) -> DataFrame:
-    """Changelog of the total over bounded ``(seq, amount)`` rows."""
-    return sum_changelog(numbered)
+    """Changelog of the total over bounded ``(seq, amount)`` rows, such as ``unified_amounts``."""
+    return sum_changelog(in_order(numbered))

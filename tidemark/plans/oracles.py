@@ -64,8 +64,8 @@ _GROUP_SUM = """SELECT o_custkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIG
     AS total FROM orders GROUP BY o_custkey"""
 
 
-def _changelog(amount: str) -> str:
-    return f"""WITH x AS (SELECT o_orderkey AS seq, {amount} AS amount FROM orders),
+def _changelog(amount: str, orders: str = "orders") -> str:
+    return f"""WITH x AS (SELECT o_orderkey AS seq, {amount} AS amount FROM {orders}),
     r AS (SELECT seq, row_number() OVER (ORDER BY seq) AS n,
           sum(amount) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS total FROM x),
     d AS (SELECT seq, n, total, lag(total) OVER (ORDER BY seq) AS old FROM r)
@@ -177,4 +177,12 @@ ORACLES: dict[str, str] = {
         g AS (SELECT word, end_ms, unnest(range(n)) FROM f)
         SELECT word, end_ms, CAST(1 AS BIGINT) AS cnt FROM g""",
     "stream_sum_changelog": _changelog(_CENTS),
+    "text_running_words": """
+        WITH l AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq, event_type, user_id::VARCHAR AS user FROM events),
+        w AS (SELECT seq, 0 AS pos, event_type AS word FROM l UNION ALL SELECT seq, 1, user FROM l)
+        SELECT seq, pos::INTEGER AS pos, word, row_number() OVER (PARTITION BY word ORDER BY seq, pos) AS total FROM w""",
+    # The rows of the first table, then those of the second.
+    "csv_unified_changelog": _changelog(
+        _CENTS, "(SELECT row_number() OVER (ORDER BY o_orderkey % 2, o_orderkey) - 1 AS o_orderkey, o_totalprice FROM orders)"
+    ),
 }

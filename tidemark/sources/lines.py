@@ -17,8 +17,8 @@ def from_lines(spark: SparkSession, lines: Iterable[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of text files."""
-    return spark.read.schema(LINE_SCHEMA).text(path)
+    """The lines of text files as ``(value, seq)``; ``in_order`` turns ``seq`` into numbers."""
+    return spark.read.schema(LINE_SCHEMA).text(path).select("value", file_arrival().alias("seq"))
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
