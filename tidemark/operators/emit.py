@@ -25,6 +25,7 @@ def conditional_emit(
     seq: str = "seq",
     horizon_ms: int = HORIZON_MS,
     name: str = "cnt",
+    weight: str | None = None,
 ) -> DataFrame:
     """Emit a key's second and later records that satisfy ``predicate``.
 
@@ -34,19 +35,19 @@ def conditional_emit(
     Each record enters the count at ``ts_ms`` and leaves it at ``ts_ms + horizon_ms``,
     so the rolling count is a running sum of +1 and -1 steps; unlike a range frame
     that can be cut anywhere, however many records fall inside one horizon.
+    A row stands for ``weight`` records of one time, if that column is given.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     reserve(df, "_at", "_nth", "_step", "_seen")
-    enters = F.struct(
-        F.col(ts_ms).alias("_at"), F.col(seq).alias("_nth"), F.lit(1).alias("_step")
-    )
+    records = F.col(weight) if weight else F.lit(1).cast("bigint")
+    enters = F.struct(F.col(ts_ms).alias("_at"), F.col(seq).alias("_nth"), records.alias("_step"))
     # At one instant records leave before new ones enter.
     leaves = F.struct(
         (F.col(ts_ms) + horizon_ms).alias("_at"),
         (F.col(seq) + F.lit(_LEAVES)).alias("_nth"),
-        F.lit(-1).alias("_step"),
+        (-records).alias("_step"),
     )
-    entering = F.col("_step") == 1
+    entering = F.col("_step") > 0
     steps = df.select("*", F.inline(F.array(enters, leaves)))
     # The leaving copy needs no more than its keys.
     steps = steps.withColumns(
@@ -56,6 +57,6 @@ def conditional_emit(
         steps,
         keys,
         ["_at", "_nth"],
-        {name: ("sum", F.col("_step")), "_seen": ("sum", entering.cast("int"))},
+        {name: ("sum", F.col("_step")), "_seen": ("sum", F.greatest("_step", F.lit(0)))},
     )
     return counted.where(entering & (F.col("_seen") >= 2) & predicate).select(*df.columns, name)

@@ -11,15 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import floor_to
-from tidemark.operators.running import running
 
 ON_TIME, ALLOWED_LATE, TOO_LATE = "on_time", "allowed_late", "too_late"
 
+# The arrival number of all that came before a table: its own are larger.
+BEFORE = -(1 << 62)
 _BLOCK = 10_000
+# Windows of a part of the time line.
+_WINDOWS = 1 << 16
 
 
 def window_end(ts_ms: str, width_ms: int) -> Column:
@@ -27,42 +30,57 @@ def window_end(ts_ms: str, width_ms: int) -> Column:
 
 
 def _passings(
-    df: DataFrame, ts_ms: str, seq: str, width_ms: int, bound_ms: int, lateness_ms: int
+    df: DataFrame, ts_ms: str, seq: str, width_ms: int, bound_ms: int, lateness_ms: int, latest_ms: int | None
 ) -> DataFrame:
     """Per window end: arrival number from which it is closed, and from which it is gone."""
-    number = F.col(seq)
+
+    def ends(at: Column) -> list[Column]:
+        # The last window end a record passes, with lateness as well, and the one it needs.
+        return [
+            floor_to(at - bound_ms, width_ms).alias("passed"),
+            floor_to(at - (bound_ms + lateness_ms), width_ms).alias("passed_late"),
+            (floor_to(at, width_ms) + width_ms).alias("needed"),
+        ]
+
+    # Combined first, so that only a few rows per window are made into three.
+    firsts = df.groupBy(*ends(F.col(ts_ms))).agg(F.min(seq).alias("first"))
+    if latest_ms is not None:
+        # What came before ``df`` passed its windows before any record of it.
+        before = df.sparkSession.range(1).select(*ends(F.lit(latest_ms).cast("bigint")), F.lit(BEFORE).alias("first"))
+        firsts = firsts.unionByName(before.withColumn("needed", F.lit(None).cast("bigint")))
     nothing = F.lit(None).cast("bigint")
 
-    def point(end: Column, closed: Column, gone: Column, used: bool) -> Column:
+    def point(end: str, closed: Column, gone: Column, used: bool) -> Column:
         return F.struct(
-            end.alias("end_ms"), closed.alias("closed"), gone.alias("gone"), F.lit(used).alias("used")
+            F.col(end).alias("end_ms"), closed.alias("closed"), gone.alias("gone"), F.lit(used).alias("used")
         )
 
-    # The last window end each record passes, and the window end each record needs.
-    passed = floor_to(F.col(ts_ms) - bound_ms, width_ms)
-    passed_late = floor_to(F.col(ts_ms) - (bound_ms + lateness_ms), width_ms)
+    first = F.col("first")
     points = (
-        df.select(
+        firsts.select(
             F.inline(
                 F.array(
-                    point(passed, number, nothing, False),
-                    point(passed_late, nothing, number, False),
-                    point(window_end(ts_ms, width_ms), nothing, nothing, True),
+                    point("passed", first, nothing, False),
+                    point("passed_late", nothing, first, False),
+                    point("needed", nothing, nothing, True),
                 )
             )
         )
         .groupBy("end_ms")
-        .agg(F.min("closed").alias("_closed"), F.min("gone").alias("_gone"), F.max("used").alias("_used"))
-        .withColumn("_later_first", -F.col("end_ms"))
+        .agg(F.min("closed").alias("closed"), F.min("gone").alias("gone"), F.max("used").alias("used"))
+        .withColumn("part", F.floor(F.col("end_ms") / (width_ms * _WINDOWS)))
+    )
+    # Passing a window end passes all earlier ones: minimum over this end and later ones, first within a
+    # part of the time line, and then over the later parts, of which there are few.
+    later = Window.partitionBy("part").orderBy(F.desc("end_ms")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later_parts = Window.partitionBy(F.lit(0)).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = points.groupBy("part").agg(F.min("closed").alias("_closed"), F.min("gone").alias("_gone")).select(
+        "part", F.min("_closed").over(later_parts).alias("_closed"), F.min("_gone").over(later_parts).alias("_gone")
     )
-    # Passing a window end passes all earlier ones: minimum over this end and later ones.
-    ends = running(
-        points,
-        [],
-        ["_later_first"],
-        {"closed": ("min", F.col("_closed")), "gone": ("min", F.col("_gone"))},
+    within = points.withColumns({"closed": F.min("closed").over(later), "gone": F.min("gone").over(later)})
+    return within.where("used").join(parts, "part").select(
+        "end_ms", F.least("closed", "_closed").alias("closed"), F.least("gone", "_gone").alias("gone")
     )
-    return ends.where("_used").select("end_ms", "closed", "gone")
 
 
 def classify_late(
@@ -72,13 +90,18 @@ def classify_late(
     width_ms: int = 5_000,
     bound_ms: int = 2_000,
     lateness_ms: int = 0,
+    latest_ms: int | None = None,
 ) -> DataFrame:
-    """Add ``end_ms`` (of the record's tumbling window) and ``late_class`` to every record."""
-    ends = _passings(df, ts_ms, seq, width_ms, bound_ms, lateness_ms)
+    """Add ``end_ms`` (of the record's tumbling window) and ``late_class`` to every record.
+
+    ``latest_ms`` is the largest event time of records that came before ``df``, if there are any. A record
+    without an event time has no window to reach: it is too late.
+    """
+    ends = _passings(df, ts_ms, seq, width_ms, bound_ms, lateness_ms, latest_ms)
     # One row per window: Spark broadcasts it if it is small, else splits hot windows itself.
     joined = df.withColumn("end_ms", window_end(ts_ms, width_ms)).join(ends, "end_ms", "left")
     late_class = (
-        F.when(F.col(seq) > F.col("gone"), TOO_LATE)
+        F.when(F.col(ts_ms).isNull() | (F.col(seq) > F.col("gone")), TOO_LATE)
         .when(F.col(seq) > F.col("closed"), ALLOWED_LATE if lateness_ms else TOO_LATE)
         .otherwise(ON_TIME)
     )

@@ -1,4 +1,5 @@
-"""Event-time windows. All forms but ``sliding_sum`` and ``window_apply`` also run on streams."""
+"""Event-time windows. All forms but ``sliding_sum`` and ``window_apply`` also run on streams;
+those have forms of their own there, in ``streaming.windowed``."""
 
 from __future__ import annotations
 
@@ -100,25 +101,20 @@ def sliding_sum(
     )
 
 
-def window_apply(
-    df: DataFrame,
-    ts: str,
-    width_ms: int,
-    keys: Sequence[str],
+def fold_records(
+    elements: DataFrame,
+    group: Sequence[str],
     fold: Callable[[pd.DataFrame], dict],
     merge: Callable[[pd.DataFrame], dict],
     schema: str,
     salts: int = 256,
 ) -> DataFrame:
-    """A user function over all elements of each key and window.
+    """One record of ``schema`` per group: ``fold`` over batches of its elements, then ``merge``.
 
-    ``fold`` turns some elements of one window into one record of ``schema``,
-    ``merge`` several such records into one. Elements are folded batch by batch where
-    they are read and the records merged in two rounds, the first salted, so no task
-    ever holds all elements of a window.
+    Elements are folded batch by batch where they are read and the records merged in two
+    rounds, the first salted, so no task ever holds all elements of a group.
     """
-    elements = df.withColumn("start_ms", floor_to(to_millis(F.col(ts)), width_ms))
-    group = [*keys, "start_ms"]
+    group = list(group)
     record = T.StructType.fromDDL(schema)
     state = T.StructType([*elements.select(*group).schema.fields, *record.fields])
     salted = T.StructType([*state.fields, T.StructField("_salt", T.IntegerType())])
@@ -133,6 +129,16 @@ def window_apply(
             if records:
                 yield pd.DataFrame(records).assign(_salt=(first_salt + i) % salts)[salted.names]
 
+    folded = elements.mapInPandas(fold_batches, salted)
+    return merge_records(merge_records(folded, [*group, "_salt"], merge, schema).drop("_salt"), group, merge, schema)
+
+
+def merge_records(records: DataFrame, group: Sequence[str], merge: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
+    """One record per group of several, merged by ``merge``."""
+    names = T.StructType.fromDDL(schema).names
+    lists = records.groupBy(*group).agg(F.collect_list(F.struct(*names)).alias("_records"))
+    state = T.StructType([*lists.select(*group).schema.fields, *records.select(*names).schema.fields])
+
     def merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *key_columns, lists = batch.columns
@@ -149,11 +155,25 @@ def window_apply(
             columns = pa.array(merged, type=lists.type.value_type).flatten()
             yield pa.RecordBatch.from_arrays([*key_columns, *columns], names=state.names)
 
-    def merge_round(records: DataFrame, by: list[str]) -> DataFrame:
-        lists = records.groupBy(*by).agg(F.collect_list(F.struct(*record.names)).alias("_records"))
-        return lists.select(*group, "_records").mapInArrow(merge_batches, state)
+    return lists.mapInArrow(merge_batches, state)
 
-    merged = merge_round(merge_round(elements.mapInPandas(fold_batches, salted), [*group, "_salt"]), group)
-    return merged.select(
-        *keys, "start_ms", (F.col("start_ms") + width_ms).alias("end_ms"), *record.names
-    )
+
+def window_apply(
+    df: DataFrame,
+    ts: str,
+    width_ms: int,
+    keys: Sequence[str],
+    fold: Callable[[pd.DataFrame], dict],
+    merge: Callable[[pd.DataFrame], dict],
+    schema: str,
+    salts: int = 256,
+) -> DataFrame:
+    """A user function over all elements of each key and window.
+
+    ``fold`` turns some elements of one window into one record of ``schema``,
+    ``merge`` several such records into one (see ``fold_records``). ``apply_table`` is its form on streams.
+    """
+    elements = df.withColumn("start_ms", floor_to(to_millis(F.col(ts)), width_ms))
+    merged = fold_records(elements, [*keys, "start_ms"], fold, merge, schema, salts)
+    names = T.StructType.fromDDL(schema).names
+    return merged.select(*keys, "start_ms", (F.col("start_ms") + width_ms).alias("end_ms"), *names)

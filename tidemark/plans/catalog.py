@@ -49,12 +49,18 @@ from tidemark.streaming.carried import (
     alarm_table,
     changelog_table,
     emit_table,
+    group_changelog_table,
     late_table,
+    open_windows,
     read_kind,
+    read_latest,
     read_rows,
     running_count_table,
     running_sum_table,
+    update_table,
 )
+from tidemark.streaming.timers import ALARM, refund_waits
+from tidemark.streaming.windowed import apply_table, open_records, open_sliding, sliding_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -494,6 +500,105 @@ def csv_unified_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.unified_changelog(in_order(union, by="name"))
 
 
+def _late_records(spark: SparkSession, sf_dir: str) -> str:
+    """The late events as a stream whose watermark moves with every record; the folder of its results."""
+    events = _jittered(table(spark, sf_dir, "events"))
+    arriving, out = _arriving(spark, "stream_late_records", events, "seq", LATE_SLICES)
+    sink = late_table(out, WIDTH_MS, BOUND_MS, LATENESS_MS, per_record=True)
+    sinks.run_to_end(arriving, sink, f"{out}/checkpoint")
+    return out
+
+
+def stream_late_records_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_kind(spark, _late_records(spark, sf_dir), "late").select("word", "end_ms", "cnt")
+
+
+def stream_late_records_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All firings, those of the windows still open at the end of the input as well."""
+    out = _late_records(spark, sf_dir)
+    main = read_kind(spark, out, "main").select("word", "end_ms", "cnt")
+    return main.unionByName(open_windows(spark, out))
+
+
+# The three largest amounts of a window, and their sum: no built-in aggregate gives it.
+TOP_SCHEMA = "n bigint, largest array<bigint>"
+
+
+def _top_fold(part: pd.DataFrame) -> dict:
+    return {"n": len(part), "largest": sorted(part["cents"].tolist(), reverse=True)[:3]}
+
+
+def _top_merge(part: pd.DataFrame) -> dict:
+    return {"n": int(part["n"].sum()), "largest": sorted((c for top in part["largest"] for c in top), reverse=True)[:3]}
+
+
+def _top_sum(records: DataFrame) -> DataFrame:
+    top = F.aggregate("largest", F.lit(0).cast("bigint"), lambda a, c: a + c)
+    return records.select("event_type", "start_ms", "end_ms", "n", top.alias("top_cents"))
+
+
+def _cents_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _timed_events(table(spark, sf_dir, "events"), "event_type", to_cents(F.col("value")).alias("cents"))
+
+
+def window_top_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user function over the elements of each window that no built-in aggregate covers."""
+    events = _cents_in_time(spark, sf_dir).withColumn("ts", F.timestamp_millis("ts_ms"))
+    return _top_sum(window_apply(events, "ts", WIDTH_MS, ["event_type"], _top_fold, _top_merge, TOP_SCHEMA))
+
+
+def stream_window_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stream: windows as the watermark passes them, and those left open at its end."""
+    arriving, out = _arriving(spark, "stream_window_apply", _cents_in_time(spark, sf_dir), "seq", LATE_SLICES)
+    keys = ["event_type"]
+    sink = apply_table(out, keys, _top_fold, _top_merge, TOP_SCHEMA, WIDTH_MS, bound_ms=DAY_MS)
+    sinks.run_to_end(arriving, sink, f"{out}/checkpoint")
+    fired = read_kind(spark, out, "main")
+    return _top_sum(fired.unionByName(open_records(spark, out, keys, _top_merge, TOP_SCHEMA, WIDTH_MS)))
+
+
+def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows of a stream, summed from panes."""
+    events = _timed_events(table(spark, sf_dir, "events"), "event_type")
+    arriving, out = _arriving(spark, "stream_sliding_count", events, "seq", LATE_SLICES)
+    keys = ["event_type"]
+    sinks.run_to_end(arriving, sliding_table(out, keys, WIDTH_MS, HOUR_MS, bound_ms=DAY_MS), f"{out}/checkpoint")
+    return read_rows(spark, out).unionByName(open_sliding(spark, out, keys, WIDTH_MS, HOUR_MS))
+
+
+def stream_group_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog of a total by customer, record by record."""
+    amounts = _order_amounts(table(spark, sf_dir, "orders"))
+    arriving, out = _arriving(spark, "stream_group_changelog", amounts, "seq", LATE_SLICES)
+    sinks.run_to_end(arriving, group_changelog_table(out, ["o_custkey"]), f"{out}/checkpoint")
+    return read_rows(spark, out)
+
+
+def stream_latest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregation in update mode, kept as a table of the latest row of each key."""
+    amounts = _order_amounts(table(spark, sf_dir, "orders"))
+    arriving, out = _arriving(spark, "stream_latest_totals", amounts, "seq", LATE_SLICES)
+    totals = final_sum(arriving, "o_custkey", "amount")
+    sinks.run_to_end(totals, update_table(out, ["o_custkey"]), f"{out}/checkpoint", "update")
+    return read_latest(spark, out, ["o_custkey"])
+
+
+def stream_refund_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refund alarm with keyed state and timers, by event time."""
+    arriving, out = _arriving(spark, "stream_refund_waits", _refund_events(table(spark, sf_dir, "events")), "seq", LATE_SLICES)
+    waits = refund_waits(arriving, ts_ms="ts_ms", within_ms=DAY_MS, bound="1 day", payload=("seq",))
+    sinks.run_to_end(waits, sinks.batch_table(f"{out}/rows"), f"{out}/checkpoint")
+    events = sinks.read_batches(spark, f"{out}/rows", "user_id bigint, kind string, at_ms bigint, seq bigint")
+    return events.where(F.col("kind") == ALARM).select("seq", "user_id", F.col("at_ms").alias("ts_ms"))
+
+
+def double_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog of doubles with more places than decimals of six hold."""
+    amounts = _order_amounts(table(spark, sf_dir, "orders"))
+    parts = (F.col("amount") / F.lit(float(1 << 20))).alias("amount")
+    return sum_changelog(amounts.select("seq", parts), scale=None)
+
+
 QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "csv_token_count": csv_token_count,
@@ -535,4 +640,13 @@ QUERIES: dict[str, Query] = {
     "stream_late_side_output": stream_late_side_output,
     "stream_late_main_output": stream_late_main_output,
     "stream_sum_changelog": stream_sum_changelog,
+    "stream_late_records_side": stream_late_records_side,
+    "stream_late_records_main": stream_late_records_main,
+    "window_top_amounts": window_top_amounts,
+    "stream_window_apply": stream_window_apply,
+    "stream_sliding_count": stream_sliding_count,
+    "stream_group_changelog": stream_group_changelog,
+    "stream_latest_totals": stream_latest_totals,
+    "stream_refund_waits": stream_refund_waits,
+    "double_changelog": double_changelog,
 }

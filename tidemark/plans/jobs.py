@@ -197,4 +197,4 @@ def stream_unified_changelog(amounts: DataFrame, path: str) -> tuple[DataFrame,
 
 def unified_changelog(numbered: DataFrame) -> DataFrame:
     """Changelog of the total over bounded ``(seq, amount)`` rows, such as ``unified_amounts``."""
-    return sum_changelog(in_order(numbered))
+    return sum_changelog(in_order(numbered), scale=None)

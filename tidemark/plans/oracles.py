@@ -88,6 +88,11 @@ _LATE_STREAM = """
         b AS (SELECT p.*, ts_ms // 21600000 * 21600000 + 21600000 AS end_ms,
                (SELECT max(latest) FROM m WHERE m.slice < p.slice) - 7200000 AS wm FROM p)"""
 
+_TOP_AMOUNTS = f"""WITH {_TUMBLED},
+    r AS (SELECT *, row_number() OVER (PARTITION BY event_type, start_ms ORDER BY cents DESC) AS place FROM t)
+    SELECT event_type, start_ms, start_ms + 21600000 AS end_ms, count(*) AS n,
+      CAST(sum(cents) FILTER (place <= 3) AS BIGINT) AS top_cents FROM r GROUP BY event_type, start_ms"""
+
 ORACLES: dict[str, str] = {
     "word_count": f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word",
     "csv_token_count": """
@@ -185,4 +190,28 @@ ORACLES: dict[str, str] = {
     "csv_unified_changelog": _changelog(
         _CENTS, "(SELECT row_number() OVER (ORDER BY o_orderkey % 2, o_orderkey) - 1 AS o_orderkey, o_totalprice FROM orders)"
     ),
+    # The rows of the bounded forms: the watermark moves with every record here too.
+    "stream_late_records_side": f"""WITH {_late(7200000)}
+        SELECT word, end_ms, CAST(1 AS BIGINT) AS cnt FROM c WHERE late_class = 'too_late'""",
+    "stream_late_records_main": f"""WITH {_late(7200000)},
+        g AS (SELECT word, end_ms, unnest(range(firings)) FROM f)
+        SELECT word, end_ms, CAST(1 AS BIGINT) AS cnt FROM g""",
+    "window_top_amounts": _TOP_AMOUNTS,
+    "stream_window_apply": _TOP_AMOUNTS,
+    "stream_sliding_count": f"""WITH {_EVENTS},
+        t AS (SELECT event_type, ts_ms // 3600000 * 3600000 - k.range * 3600000 AS start_ms
+              FROM e, range(6) k)
+        SELECT event_type, start_ms, start_ms + 21600000 AS end_ms, count(*) AS cnt
+        FROM t GROUP BY event_type, start_ms""",
+    "stream_group_changelog": f"""
+        WITH r AS (SELECT o_custkey, o_orderkey AS seq, row_number() OVER w AS n,
+              CAST(sum({_CENTS}) OVER w AS BIGINT) AS total, {_CENTS} AS amount
+            FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+        SELECT o_custkey, seq, CAST(0 AS INTEGER) AS ord, '+I' AS op, total FROM r WHERE n = 1
+        UNION ALL SELECT o_custkey, seq, 0, '-U', total - amount FROM r WHERE n > 1 AND amount <> 0
+        UNION ALL SELECT o_custkey, seq, 1, '+U', total FROM r WHERE n > 1 AND amount <> 0""",
+    "stream_latest_totals": _GROUP_SUM,
+    "stream_refund_waits": _ALARMS,
+    # Whole 2**20ths add up exactly, as bigint and as doubles.
+    "double_changelog": f"""SELECT seq, ord, op, total::DOUBLE / 1048576 AS total FROM ({_changelog(_CENTS)})""",
 }
