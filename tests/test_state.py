@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import sys
 import time
 from collections import Counter
 from fractions import Fraction
@@ -10,6 +11,7 @@ from fractions import Fraction
 import models
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_streams import carried, feed, put, run, run_late, sliced
 
@@ -37,6 +39,9 @@ from tidemark.streaming.state import FAN, KEPT, StateTable, last_commit, latest
 from tidemark.streaming.timers import ALARM, EXPIRED, refund_waits
 from tidemark.streaming.windowed import apply_table, open_records, open_sliding, sliding_table
 
+# The user functions below go to the workers, which do not have this file.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 VALUES = "key string, seq bigint, v int"
 
 
@@ -107,9 +112,9 @@ def test_a_batch_that_failed_half_way_is_not_there(spark, tmp_path, monkeypatch)
 
 def test_many_batches_equal_one(spark, tmp_path):
     rnd = random.Random(1)
-    records = [(rnd.choice("aabc"), seq, rnd.randint(-5, 5)) for seq in range(60)]
+    records = [(rnd.choice("aabc"), seq, rnd.randint(-5, 5)) for seq in range(40)]
     table = running_sum_table(str(tmp_path), "key", "v")
-    apply(spark, table, VALUES, cut_anywhere(records, rnd, 11))
+    apply(spark, table, VALUES, cut_anywhere(records, rnd, 6))
     expected = [(k, s, total) for k, s, total, _ in models.running(records)]
     assert rows(read_rows(spark, str(tmp_path)), "key", "seq", "total") == sorted(expected)
 
@@ -120,7 +125,7 @@ def test_emission_over_many_batches(spark, tmp_path):
     for seq in range(60):
         ts += rnd.choice([0, 1, 7, 40])
         records.append((rnd.choice(["1", "2"]), seq, ts))
-    apply(spark, emit_table(str(tmp_path), "word", horizon_ms=20), "word string, seq bigint, ts_ms bigint", cut_anywhere(records, rnd, 10))
+    apply(spark, emit_table(str(tmp_path), "word", horizon_ms=20), "word string, seq bigint, ts_ms bigint", cut_anywhere(records, rnd, 6))
     expected = models.emitted(records, 20, lambda key, seq: key == "1")
     assert rows(read_rows(spark, str(tmp_path)), "word", "seq", "cnt") == sorted(expected)
 
@@ -135,7 +140,7 @@ def test_alarms_when_times_fall_back(spark, tmp_path):
     assert rows(read_rows(spark, str(tmp_path / "a")), "seq") == [(2,)]
     rnd = random.Random(5)
     orders = [(rnd.choice("abc"), seq, rnd.randint(0, 300_000), rnd.choice([1, 2, 2])) for seq in range(80)]
-    apply(spark, alarm_table(str(tmp_path / "b"), ts_ms="ts_ms"), schema, cut_anywhere(orders, rnd, 9))
+    apply(spark, alarm_table(str(tmp_path / "b"), ts_ms="ts_ms"), schema, cut_anywhere(orders, rnd, 5))
     assert rows(read_rows(spark, str(tmp_path / "b")), "user_id", "seq") == sorted(models.alarms(orders, 60_000))
 
 
@@ -164,33 +169,40 @@ def stop_when(query, done, seconds=90):
         query.stop()
 
 
-def test_only_a_timer_ends_the_wait(spark, tmp_path):
-    put(tmp_path / "in", "0.csv", ["u,0,2", "v,1,1"], 0)
-    arriving = spark.readStream.schema("user_id string, seq bigint, state int").csv(str(tmp_path / "in"))
+def events_until(waits, tmp_path, schema, done):
+    """Run by processing time, which goes on for ever, until its rows are as expected."""
     out = str(tmp_path / "out")
     query = (
-        refund_waits(arriving, within_ms=1_500, payload=("seq",)).writeStream.foreachBatch(sinks.batch_table(out))
-        .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="300 milliseconds").start()
+        waits.writeStream.foreachBatch(sinks.batch_table(out)).option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(processingTime="300 milliseconds").start()
     )
 
     def found():
-        return rows(sinks.read_batches(spark, out, "user_id string, kind string, at_ms bigint, seq bigint"), "user_id", "kind")
+        return os.path.exists(f"{out}/batch_id=0") and done(sinks.read_batches(waits.sparkSession, out, schema))
+
+    stop_when(query, found)
 
+
+def test_only_a_timer_ends_the_wait(spark, tmp_path):
+    put(tmp_path / "in", "0.csv", ["u,0,2", "v,1,1"], 0)
+    arriving = spark.readStream.schema("user_id string, seq bigint, state int").csv(str(tmp_path / "in"))
+    schema = "user_id string, kind string, at_ms bigint, seq bigint"
     # No record comes after the first batch.
-    stop_when(query, lambda: os.path.exists(f"{out}/batch_id=0") and found() == [("u", EXPIRED)])
+    waits = refund_waits(arriving, within_ms=1_500, payload=("seq",))
+    events_until(waits, tmp_path, schema, lambda found: rows(found, "user_id", "kind") == [("u", EXPIRED)])
 
 
 def test_waits_by_event_time_end_with_the_watermark(spark, tmp_path):
-    batches = [[("a", 0, 0, 2)], [("b", 1, 30_000, 2)], [("c", 2, 100_000, 1)], [("b", 3, 130_000, 2)], [("b", 4, 140_000, 2)]]
+    batches = [[("a", 0, 1_000, 2)], [("b", 1, 31_000, 2)], [("c", 2, 100_000, 1)], [("d", 3, 131_000, 2)], [("d", 4, 141_000, 2)]]
     arriving = feed(spark, tmp_path / "in", "user_id string, seq bigint, ts_ms bigint, state int", batches)
     out = run(refund_waits(arriving, ts_ms="ts_ms", payload=("seq",)), tmp_path)
     found = rows(sinks.read_batches(spark, out, "user_id string, kind string, at_ms bigint, seq bigint"), "user_id", "kind", "at_ms")
-    assert found == [("a", EXPIRED, 60_000), ("b", ALARM, 140_000), ("b", EXPIRED, 90_000)]
+    assert found == [("a", EXPIRED, 61_000), ("b", EXPIRED, 91_000), ("d", ALARM, 141_000)]
 
 
 def test_waits_equal_the_bounded_alarm(spark, tmp_path):
     rnd = random.Random(7)
-    ts, orders = 0, []
+    ts, orders = 1, []
     for seq in range(120):
         ts += rnd.choice([0, 20_000, 50_000])
         orders.append((rnd.choice("aab"), seq, ts, rnd.choice([1, 2, 2])))
@@ -207,9 +219,9 @@ def test_waits_of_plain_files(spark, tmp_path):
 
     put(tmp_path / "in", "0.txt", ORDERS, 0)
     orders = clean_orders(stream_lines(spark, str(tmp_path / "in")))
-    out = run(refund_waits(orders, payload=("id",)), tmp_path)
-    found = sinks.read_batches(spark, out, "user_id string, kind string, at_ms bigint, id int")
-    assert rows(found.where(F.col("kind") == ALARM), "id") == [(4,), (7,)]
+    schema = "user_id string, kind string, at_ms bigint, id int"
+    alarms = F.col("kind") == ALARM
+    events_until(refund_waits(orders, payload=("id",)), tmp_path, schema, lambda found: rows(found.where(alarms), "id") == [(4,), (7,)])
 
 
 # --- late records ------------------------------------------------------------------
@@ -253,7 +265,7 @@ def test_records_without_a_time_are_late(spark, tmp_path, per_record):
 
 def gaps(part):
     """Times of some elements; merged, their longest gap can be told."""
-    return {"times": sorted(part["ts_ms"].tolist())}
+    return {"times": sorted(part["ts_ms"].dropna().astype(int).tolist())}
 
 
 def merge_gaps(part):
@@ -265,7 +277,7 @@ def test_window_function_over_batches(spark, tmp_path):
     records = [(seq, seq * 400 - rnd.choice([0, 900]), rnd.choice(["a", "b", None])) for seq in range(80)]
     schema, out = "seq bigint, ts_ms bigint, word string", str(tmp_path)
     table = apply_table(out, ["word"], gaps, merge_gaps, "times array<bigint>", bound_ms=1_000)
-    apply(spark, table, schema, cut_anywhere(records, rnd, 7))
+    apply(spark, table, schema, cut_anywhere(records, rnd, 5))
     columns = ["word", "start_ms", "end_ms", "times"]
     found = read_kind(spark, out, "main").select(columns).unionByName(
         open_records(spark, out, ["word"], merge_gaps, "times array<bigint>").select(columns)
@@ -281,8 +293,8 @@ def test_window_function_fires_again_for_late_records(spark, tmp_path):
     apply(spark, table, "seq bigint, ts_ms bigint, word string", batches)
     main = read_kind(spark, str(tmp_path), "main")
     assert sorted(map(list, main.where("start_ms = 0").select("times").toPandas()["times"]), key=len) == [[1_000], [1_000, 2_000]]
-    late = read_kind(spark, str(tmp_path), "late")
-    assert rows(late, "word", "start_ms") == [("a", 0), ("b", None)] or {r.word for r in late.collect()} == {"a", "b"}
+    late = {r.word: (r.start_ms, r.times) for r in read_kind(spark, str(tmp_path), "late").collect()}
+    assert late["a"] == (0, [3_000]) and late["b"][0] is None
 
 
 def test_sliding_windows_from_panes(spark, tmp_path):
@@ -290,7 +302,7 @@ def test_sliding_windows_from_panes(spark, tmp_path):
     records = [(seq, seq * 400 - rnd.choice([0, 900]), rnd.choice("ab"), rnd.randint(1, 9)) for seq in range(80)]
     schema, out = "seq bigint, ts_ms bigint, word string, v bigint", str(tmp_path)
     table = sliding_table(out, ["word"], 5_000, 1_000, F.col("v"), "total", bound_ms=1_000)
-    apply(spark, table, schema, cut_anywhere(records, rnd, 7))
+    apply(spark, table, schema, cut_anywhere(records, rnd, 5))
     found = read_rows(spark, out).unionByName(open_sliding(spark, out, ["word"], 5_000, 1_000, "total"))
     df = spark.createDataFrame(records, schema)
     assert rows(found) == rows(sliding_sum(df, "ts_ms", 5_000, 1_000, ["word"], F.col("v"), "total"))
@@ -355,7 +367,7 @@ def test_changelog_of_any_doubles(spark, chunked):
 
 def test_changelog_of_any_doubles_on_a_stream(spark, tmp_path):
     table = changelog_table(str(tmp_path))
-    apply(spark, table, "seq bigint, amount double", cut_anywhere(doubles(), random.Random(12), 6))
+    apply(spark, table, "seq bigint, amount double", cut_anywhere(doubles(), random.Random(12), 3))
     check_doubles(read_rows(spark, str(tmp_path)))
 
 
@@ -372,14 +384,14 @@ def replay(entries, keys=1):
     return table
 
 
-@pytest.mark.parametrize("kind", ["bigint", "decimal(10,2)", "double"])
+@pytest.mark.parametrize("kind", ["bigint", "double"])
 def test_changelog_by_key(spark, tmp_path, kind):
     rnd = random.Random(13)
     records = [(rnd.choice(["a", "b", None]), seq, rnd.choice([None, 0, 5, -5, 7])) for seq in range(60)]
     records += [("c", seq, None) for seq in range(60, 63)]
     df = spark.createDataFrame(records, "key string, seq bigint, amount bigint")
     table = group_changelog_table(str(tmp_path), ["key"])
-    for number, batch in enumerate(cut_anywhere(records, rnd, 7)):
+    for number, batch in enumerate(cut_anywhere(records, rnd, 4)):
         part = spark.createDataFrame(batch, "key string, seq bigint, amount bigint")
         table(part.withColumn("amount", F.col("amount").cast(kind)), number)
     found = read_rows(spark, str(tmp_path)).orderBy("seq", "ord").select("key", "op", F.col("total").cast("bigint"))

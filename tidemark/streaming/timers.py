@@ -32,6 +32,8 @@ class RefundWait(StatefulProcessor):
 
     def __init__(self, payload: Sequence[str], names: Sequence[str], n_order: int, within_ms: int, timed: bool) -> None:
         self.payload, self.names, self.n_order = list(payload), list(names), n_order
+        self.columns = [self.names[0], *self.payload, "_state", "_at", *[f"_o{i}" for i in range(n_order)]]
+        self.columns += ["_ts"] if timed else []
         self.within_ms, self.timed = within_ms, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -42,7 +44,8 @@ class RefundWait(StatefulProcessor):
         return pd.DataFrame([{**dict.fromkeys(self.names), self.names[0]: key[0], **row} for row in rows], columns=self.names)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        records = pd.concat(list(rows)).sort_values([f"_o{i}" for i in range(self.n_order)], kind="stable", na_position="first")
+        # Spark names computed columns anew: they are known by their places.
+        records = pd.concat(list(rows)).set_axis(self.columns, axis=1).sort_values([f"_o{i}" for i in range(self.n_order)], kind="stable", na_position="first")
         now = None if self.timed else timerValues.getCurrentProcessingTimeInMs()
         old = since = self.since.get()[0] if self.since.exists() else None
         made = []
@@ -101,7 +104,8 @@ def refund_waits(
     By processing time, which is that of the micro-batch and stays with it when it is run again; or by the event
     time ``ts_ms``, where a wait ends when the watermark, ``bound`` behind the largest time, has passed its end, and
     records behind the watermark are left out, those without a time as well. ``order`` tells the order within a
-    batch; ``payload`` are columns of the alarming record to give. A task sorts one user's records of one micro-batch.
+    batch; a query by processing time has timers to look after for ever and does not end by itself, as
+    ``run_to_end`` waits for; ``payload`` are columns of the alarming record to give. A task sorts one user's records of one micro-batch.
     """
     keys: list = []
     for column in order:
