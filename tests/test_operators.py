@@ -12,6 +12,7 @@ from tidemark.operators.changelog import sum_changelog
 from tidemark.operators.chunks import CHUNK, SUBCHUNK, add_chunks, plan_cuts
 from tidemark.operators.emit import conditional_emit
 from tidemark.operators.lateness import classify_late, firing_rows, firings
+from tidemark.operators.rolling import rolling
 from tidemark.operators.running import final_count, running, running_sum
 from tidemark.operators.windows import sliding_sum, window_apply
 
@@ -259,3 +260,21 @@ def test_helper_columns_are_not_overwritten(spark):
         refund_alarm(df)
     with pytest.raises(ValueError, match="_at"):
         conditional_emit(df, "user_id", F.lit(True))
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_rolling(spark, chunked, size):
+    chunked(size)
+    rnd = random.Random(21)
+    ts, records = -50, []
+    for seq in range(300):
+        ts += rnd.choice([0, 0, 1, 5, 30])
+        records.append((rnd.choice(["a", "a", "b", None]), seq, ts, rnd.choice([None, *range(-9, 9)])))
+    df = spark.createDataFrame(records, "key string, seq bigint, ts_ms bigint, v int").repartition(3)
+    for kind, best in (("max", max), ("min", min)):
+        expected = []
+        for key, seq, ts, _ in records:
+            inside = [v for k, s, t, v in records if k == key and s <= seq and ts - 20 < t and v is not None]
+            expected.append((seq, best(inside, default=None)))
+        found = rolling(df, ["key"], kind, F.col("v"), 20, "best").select("seq", "best")
+        assert sorted(map(tuple, found.collect())) == expected

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 ORDERED = [
     "running_count", "running_sum", "late_classify", "late_side_output", "late_firings",
     "late_main_output", "late_drop_count", "conditional_emit", "conditional_emit_by_user",
-    "refund_alarm", "sum_changelog", "stream_sum_changelog", "stream_running_count", "stream_refund_alarm",
+    "refund_alarm", "rolling_max", "double_changelog", "sum_changelog", "stream_sum_changelog", "stream_running_count", "stream_refund_alarm",
 ]
 
 

@@ -26,6 +26,7 @@ from tidemark.operators.lateness import (
     kept_sums,
     side_output,
 )
+from tidemark.operators.rolling import rolling
 from tidemark.operators.running import final_count, final_sum, running_count, running_sum
 from tidemark.operators.windows import (
     relabel_double,
@@ -233,6 +234,13 @@ def conditional_emit_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conditional_emit(events, "user_id", fires, horizon_ms=DAY_MS).drop("event_type")
 
 
+def rolling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest and the smallest amount of each user's last day, at every event."""
+    events = _timed_events(table(spark, sf_dir, "events"), "user_id", to_cents(F.col("value")).alias("cents"))
+    most = rolling(events, ["user_id"], "max", F.col("cents"), DAY_MS, "most")
+    return rolling(most, ["user_id"], "min", F.col("cents"), DAY_MS, "least").drop("cents")
+
+
 def _refund_events(df: DataFrame) -> DataFrame:
     state = F.when(F.col("event_type") == "error", 2).otherwise(1)
     return _timed_events(df, "user_id", state.alias("state"))
@@ -617,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "late_drop_count": late_drop_count,
     "conditional_emit": query_conditional_emit,
     "conditional_emit_by_user": conditional_emit_by_user,
+    "rolling_max": rolling_max,
     "clean_orders": query_clean_orders,
     "refund_alarm": query_refund_alarm,
     "sql_group_sum": sql_group_sum,

@@ -138,6 +138,11 @@ ORACLES: dict[str, str] = {
     "conditional_emit_by_user": f"""
         WITH {_EVENTS}, {_emit("user_id", 86400000, "event_type = 'error'")}
         SELECT seq, ts_ms, user_id, cnt FROM m""",
+    "rolling_max": f"""WITH {_EVENTS}
+        SELECT a.seq, a.ts_ms, a.user_id, max(b.cents) AS most, min(b.cents) AS least
+        FROM e AS a JOIN e AS b ON a.user_id = b.user_id AND b.ts_ms > a.ts_ms - 86400000
+          AND (b.ts_ms < a.ts_ms OR (b.ts_ms = a.ts_ms AND b.seq <= a.seq))
+        GROUP BY a.seq, a.ts_ms, a.user_id""",
     "clean_orders": """
         SELECT CAST(o_orderkey AS INTEGER) AS id, o_orderpriority AS title,
           CAST(floor(o_totalprice) AS INTEGER) AS amount,
