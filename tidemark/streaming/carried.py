@@ -38,7 +38,7 @@ Step = Callable[["Input"], tuple[DataFrame, DataFrame | None, dict]]
 
 NUMBER, OLD = "_number", "_carried"
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
-# Keys of a batch that go to every task, to find their rows in the state.
+# Rows of a batch whose keys, and the state of whose keys, go to every task; more are joined by shuffles.
 FEW_KEYS = 200_000
 
 
@@ -57,14 +57,16 @@ class Input:
         self.kept.append(df.persist())
         return df
 
+    def few(self, df: DataFrame) -> DataFrame:
+        """``df``, of at most a row for each row of the batch, for a join: sent to every task while that is few."""
+        return F.broadcast(df) if self.size <= FEW_KEYS else df
+
     def known(self, keys: Sequence[str]) -> DataFrame | None:
         """The state's rows of the batch's keys."""
         rows = self.state.rows()
         if rows is None:
             return None
-        names = self.rows.select(*[F.col(f"`{key}`").alias(f"_c_{key}") for key in keys]).distinct()
-        if self.size <= FEW_KEYS:
-            names = F.broadcast(names)
+        names = self.few(self.rows.select(*[F.col(f"`{key}`").alias(f"_c_{key}") for key in keys]))
         return rows.join(names, _matches(keys, rows, names), "left_semi")
 
 
@@ -118,7 +120,7 @@ def running_table(
         added = batch.rows.groupBy(*keys).agg(*[_COMBINE[kind](v).alias(n) for n, (kind, v) in aggregates.items()])
         known = batch.known(keys)
         if known is not None:
-            before = _named(combine(known))
+            before = batch.few(_named(combine(known)))
             joined = out.join(before, _matches(keys, out, before), "left")
             merged = {}
             for name, (kind, _) in aggregates.items():
@@ -208,6 +210,7 @@ def alarm_table(
         alarms = refund_alarm(rows, key, state, "_clock", NUMBER, within_ms).filter(~F.col(OLD))
         last = rows.filter(~F.col(OLD)).groupBy(key).agg(F.max_by(F.struct(NUMBER, "_clock", state), NUMBER).alias("_last"))
         used = alarms.select(F.col(key).alias(f"_c_{key}"), F.col(NUMBER).alias("_used"))
+        used = batch.few(used)
         ended = last.join(used, _matches([key], last, used) & (F.col(f"_last.{NUMBER}") == F.col("_used")), "left")
         waits = F.col("_used").isNull() & F.coalesce(F.col(f"_last.{state}") == REFUNDED, F.lit(False))
         changed = ended.select(
@@ -354,7 +357,7 @@ def group_changelog_table(
 
     def step(batch: Input) -> tuple[DataFrame, DataFrame, dict]:
         known = batch.known(keys)
-        changes = sum_changelog(batch.rows, NUMBER, amount, scale, None if known is None else combine(known), label, keys)
+        changes = sum_changelog(batch.rows, NUMBER, amount, scale, None if known is None else batch.few(combine(known)), label, keys)
         value = Amounts(batch.rows, amount, scale).parts["sum"]
         added = batch.rows.groupBy(*keys).agg(
             F.count("*").alias("records"), F.count(amount).alias("known"), F.sum(value).cast(_sum_type(batch.rows, value)).alias("sum")
@@ -383,7 +386,7 @@ def update_table(path: str, keys: Sequence[str]) -> Batch:
     def step(batch: Input) -> tuple[DataFrame, DataFrame, dict]:
         new = batch.rows.drop(NUMBER)
         known = batch.known(keys)
-        old = merge(known).drop("_batch") if known is not None else new.limit(0)
+        old = batch.few(merge(known).drop("_batch")) if known is not None else new.limit(0)
         number = F.lit(batch.state.batch_id).cast("bigint")
         changes = table_changes(old, new, keys)
         return changes.withColumn("batch", number), new.withColumn("_batch", number), {}

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FAN = 4
 # Batches whose state is kept: a batch can be run again as long as the one before it is there.
@@ -102,8 +102,10 @@ class StateTable:
         return self._rows(self.before["runs"])
 
     def _rows(self, runs: list[list[int]]) -> DataFrame | None:
-        parts = [self.spark.read.parquet(f"{self.path}/{self._run(run)}") for run in runs]
-        return reduce(DataFrame.unionByName, parts) if parts else None
+        if not runs:
+            return None
+        schema = T.StructType.fromJson(self.before["schema"])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{self._run(run)}" for run in runs])
 
     def since(self, name: str, value: object) -> object:
         """A value of this batch that stays when the batch is run again, such as its time."""
@@ -117,6 +119,11 @@ class StateTable:
         runs = [list(run) for run in self.before["runs"]]
         if changed is not None:
             new = [self.batch_id, self.batch_id]
+            # All runs have the columns of the first, so that no file need be asked for them.
+            self.before.setdefault("schema", changed.schema.jsonValue())
+            types = {f["name"]: f["type"] for f in self.before["schema"]["fields"]}
+            if types != {f["name"]: f["type"] for f in changed.schema.jsonValue()["fields"]}:
+                raise TypeError(f"state of {self.path} has other columns than {changed.schema.simpleString()}")
             changed.write.mode("overwrite").parquet(f"{self.path}/{self._run(new)}")
             runs.append(new)
         # Runs of one size stand together, the largest first.
@@ -126,7 +133,7 @@ class StateTable:
             self.merge(self._rows(runs[-FAN:]), len(runs) == FAN).write.mode("overwrite").parquet(f"{self.path}/{self._run(merged)}")
             runs[-FAN:] = [merged]
             size *= FAN
-        self.files.write(f"commits/{self.batch_id}", json.dumps({"runs": runs, "values": values}))
+        self.files.write(f"commits/{self.batch_id}", json.dumps({**self.before, "runs": runs, "values": values}))
         self._clean(runs)
 
     def _clean(self, runs: list[list[int]]) -> None:
