@@ -138,17 +138,18 @@ def sum_changelog(
         F.when(values > 0, amounts.total(after)).alias("_new"),
         F.when(values > F.col("_known"), amounts.total(earlier)).alias("_old"),
     )
-    changed = steps.where(F.col("_first") | ~F.col("_old").eqNullSafe(F.col("_new")))
+    both = F.struct("_first", "_new", "_old")
 
-    def entry(ord_: int, op: str, value: str) -> Column:
-        return F.struct(
-            F.lit(ord_).alias("ord"), F.lit(op).alias("op"), F.col(value).alias("total")
-        )
+    def entry(ord_: int, op: str, value: Column) -> Column:
+        return F.struct(F.lit(ord_).alias("ord"), F.lit(op).alias("op"), value.alias("total"))
 
-    entries = F.when(F.col("_first"), F.array(entry(0, INSERT, "_new"))).otherwise(
-        F.array(entry(0, UPDATE_BEFORE, "_old"), entry(1, UPDATE_AFTER, "_new"))
-    )
-    return changed.select(*keys, "seq", F.inline(entries))
+    def entries(row: Column) -> Column:
+        updated = F.array(entry(0, UPDATE_BEFORE, row["_old"]), entry(1, UPDATE_AFTER, row["_new"]))
+        same = row["_old"].eqNullSafe(row["_new"])
+        return F.when(row["_first"], F.array(entry(0, INSERT, row["_new"]))).otherwise(F.filter(updated, lambda _: ~same))
+
+    # Totals of doubles are costly: bound here, each is worked out once for all its uses.
+    return steps.select(*keys, "seq", F.inline(F.transform(F.array(both), entries)[0]))
 
 
 def table_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
