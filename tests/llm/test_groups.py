@@ -6,12 +6,14 @@ import re
 import string
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import regex
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, icws, lines
+from tidemark.llm import decontam, groups, icws, lines
 from tidemark.llm.groups import components, group, shared_buckets
 
 
@@ -75,6 +77,79 @@ def test_groups_of_copies_need_few_pairs(spark):
     assert sum(tested) < 2 * 400
 
 
+@pytest.mark.parametrize("size", [150])
+def test_later_turns_work_on_roots_only(spark, monkeypatch, size):
+    """A link in ten pairs: what the components are made from grows with the items, not with all links found."""
+    given = []
+    made_of = groups.components
+    monkeypatch.setattr(groups, "components", lambda links: (given.append(links.count()), made_of(links))[1])
+    members = spark.createDataFrame([(0, n) for n in range(size)], "bucket bigint, node bigint").checkpoint()
+    made = dict(map(tuple, group(members, lambda pairs: pairs.filter("(a * 31 + b * 17) % 10 = 0")).collect()))
+    union = Union()
+    for b in range(size):
+        for a in range(b):
+            if (a * 31 + b * 17) % 10 == 0:
+                union.join(a, b)
+    assert {n: made.get(n, n) for n in range(size)} == {n: union.find(n) for n in range(size)}
+    assert sum(given) < 8 * size
+
+
+@pytest.mark.parametrize("size", [150])
+def test_unlike_lines_and_chains_need_few_pairs(spark, size):
+    """One bucket of unlike lines, or of a chain in which only neighbours are alike: links are those of brute
+    force, and pairs grow with the lines."""
+    rng = random.Random(size)
+    unlike = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(9, 80))) for _ in range(size)]
+    chain = ["".join(rng.choice("abcdefghij") for _ in range(60))]
+    while len(chain) < size:
+        last = chain[-1]
+        at = len(chain) * 5 % 60
+        chain.append(last[:at] + "".join(rng.choice("klmnopqrst") for _ in range(5)) + last[at + 5 :])
+    for known in (unlike, chain):
+        lines_frame = pd.DataFrame({"node": range(size), "norm": known})  # noqa: F841 (read by the SQL below)
+        texts = spark.createDataFrame(list(enumerate(known)), "node bigint, norm string").checkpoint()
+        members = texts.select(F.lit(0).cast("bigint").alias("bucket"), "node").checkpoint()
+        tested = []
+
+        def verify(pairs, texts=texts, tested=tested):
+            tested.append(pairs.count())
+            both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+            return both.filter("levenshtein(x, y) <= floor(greatest(length(x), length(y)) / 10)").select("a", "b")
+
+        keys = lambda rows, texts=texts: lines.rare_grams(rows.join(texts, "node"))
+        made = dict(map(tuple, group(members, verify, keys=keys).collect()))
+        union = Union()
+        pairs = duckdb.sql(
+            "select a.node, b.node from lines_frame a join lines_frame b on a.node < b.node "
+            "where levenshtein(a.norm, b.norm) <= greatest(length(a.norm), length(b.norm)) // 10"
+        )
+        for x, y in pairs.fetchall():
+            union.join(x, y)
+        assert {n: made.get(n, n) for n in range(size)} == {n: union.find(n) for n in range(size)}
+        assert sum(tested) < 50 * size
+
+
+def test_lines_within_the_limit_share_a_rare_gram(spark):
+    rng = random.Random(8)
+    known = []
+    for size in [9, 10, 11, 12, 13, 20, 31, 60, 99] * 6:
+        line = "".join(rng.choice("ab ") for _ in range(size))
+        edits = list(line)
+        for _ in range(len(line) // 10):
+            at = rng.randrange(len(edits))
+            edits[at : at + rng.randrange(2)] = rng.choice(["", "a", "b", "zz"[:1]])
+        known += [line, "".join(edits)]
+    rows = spark.createDataFrame([(0, n, t) for n, t in enumerate(known)], "bucket bigint, node bigint, norm string")
+    held = defaultdict(set)
+    for r in lines.rare_grams(rows).collect():
+        held[r.node].add(r.key)
+    for b in range(len(known)):
+        for a in range(b):
+            x, y = known[a], known[b]
+            if x != y and min(len(x), len(y)) >= 9 and distance(x, y) <= max(len(x), len(y)) // 10:
+                assert held[a] & held[b], (x, y)
+
+
 def words(text):
     return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower())
 

@@ -7,8 +7,15 @@ items, so pairs are never enumerated within it. Instead:
    bucket; verified pairs are links, and links make components;
 2. buckets are dealt into small random parts, several times anew, and each part's first item
    is paired with those of its part that are still in another component;
-3. what remains is settled exactly: in each bucket, the items outside its largest component
-   are paired with all items of other components. Items already connected need no pair.
+3. what remains is settled exactly: the items outside a bucket's largest component are paired
+   with items of other components, in small buckets with all, in larger ones with those of
+   their random part; parts grow from turn to turn until they are whole buckets, and items
+   that were connected meanwhile need no pair any more. With ``keys`` (a property that all similar items
+   of a bucket have in common with each other) larger buckets are cut by these instead.
+
+Without ``keys``, items of one bucket that stay unconnected are paired all with all in the end: nothing
+else can tell that no link was missed. Links found in a turn are mapped to the roots known before, and only
+what joins two roots takes part in the next components.
 
 The result is the components of the graph of *all* verified candidate pairs: a pair is left
 out only if its ends are already connected. Nothing is collected to the driver; tables that
@@ -25,6 +32,8 @@ from pyspark.sql import functions as F
 STAR_ROUNDS = 6
 # Nodes of a part of a bucket, after the first turn.
 PART = 8
+# Nodes of a part of a bucket in the first turn that settles the rest, and its growth from turn to turn.
+WIDTH, GROWTH = 32, 8
 # Rows a task of the steps on pairs and links takes.
 ROWS_PER_TASK = 200_000
 # Buckets of two or more that may be broadcast (8 bytes each).
@@ -70,6 +79,24 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _joined(roots: DataFrame | None, links: DataFrame, few: int) -> DataFrame | None:
+    """``roots`` after more links. What is known already is one node: only links between roots take part
+    in the stars, so later turns cost what they find and not all that was found before."""
+    if roots is None:
+        links = links.checkpoint()
+        return None if links.isEmpty() else components(links.coalesce(few)).coalesce(few).checkpoint()
+    for end in ("a", "b"):
+        top = roots.select(F.col("node").alias(end), F.col("root").alias("top"))
+        links = links.join(top, end, "left").withColumn(end, F.coalesce("top", end)).select("a", "b").coalesce(few)
+    links = links.distinct().coalesce(few).checkpoint()
+    if links.isEmpty():
+        return roots
+    moved = components(links).coalesce(few).checkpoint()
+    tops = moved.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return known.union(moved.join(roots, "node", "left_anti")).coalesce(few).checkpoint()
+
+
 def shared_buckets(members: DataFrame) -> DataFrame:
     """The rows ``bucket, node`` of buckets that hold two nodes or more.
 
@@ -87,20 +114,26 @@ def group(
     verify: Callable[[DataFrame], DataFrame],
     rounds: int = STAR_ROUNDS,
     bound: Callable[[Column, Column], Column] | None = None,
+    keys: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``node, root`` of every node that has a verified link.
 
     ``members`` (``bucket, node`` and, with ``bound``, ``info``) holds buckets of two nodes or
     more, already materialised. ``verify`` keeps of pairs (``a, b``) those that are similar;
     ``bound`` says of two nodes' ``info`` whether they can be, and must not be false for similar nodes.
+    ``keys`` gives rows ``bucket, node`` a ``key``, several for a node; similar nodes of a bucket must share one.
     """
     members = members if bound else members.withColumn("info", F.lit(0))
-    links = tested = roots = None
+    tested = roots = None
     few = _tasks(members.count())
     members = members.coalesce(few)
     shared = members.groupBy("node").agg(F.collect_set("bucket").alias("all")).coalesce(few)
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).checkpoint()
-    for turn in range(rounds + 1):
+    largest = sizes.agg(F.max("size")).first()[0] or 0
+    widths = [WIDTH]
+    while widths[-1] < largest:
+        widths.append(largest if keys else widths[-1] * GROWTH)
+    for turn in range(rounds + len(widths)):
         labelled = members if roots is None else members.join(roots, "node", "left")
         root = F.col("node") if roots is None else F.coalesce("root", "node")
         labelled = labelled.select("bucket", "node", root.alias("root"), "info").coalesce(few)
@@ -110,18 +143,28 @@ def group(
             part = F.lit(0) if turn == 0 else F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / PART))
             rows = labelled.join(sizes, "bucket").withColumn("part", part.cast("bigint")).coalesce(few)
             others = rows.groupBy("bucket", "part").agg(F.min(other).alias("o"))
-            wanted, on = F.lit(True), ["bucket", "part"]
+            wanted = F.lit(True)
         else:
+            step = turn - rounds
             parts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-            major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("parts"))
-            rows = labelled.join(major.filter("parts > 1").select("bucket", F.col("m.root").alias("major")), "bucket")
-            others = rows.filter("root != major").select("bucket", other.alias("o"))
+            major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("size"), F.count("*").alias("parts"))
+            # Buckets that were whole in the turn before are done.
+            open_ = F.col("parts") > 1 if step == 0 else (F.col("parts") > 1) & (F.col("size") > widths[step - 1])
+            rows = labelled.join(major.filter(open_).select("bucket", F.col("m.root").alias("major"), "size"), "bucket")
+            if step and keys:
+                rows = rows.checkpoint()
+                rows = rows.join(keys(rows.select("bucket", "node")).withColumnRenamed("key", "part"), ["bucket", "node"])
+            else:
+                part = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / widths[step]))
+                rows = rows.withColumn("part", part.cast("bigint"))
+            others = rows.filter("root != major").select("bucket", "part", other.alias("o"))
             # Two nodes that are both outside the largest part meet once, the smaller first; and
             # two that share several buckets meet in the smallest of these.
             rows = rows.join(shared, "node")
-            others = others.join(shared, F.col("o.node") == shared["node"]).select("bucket", "o", F.col("all").alias("o_all"))
+            others = others.join(shared, F.col("o.node") == shared["node"]).select("bucket", "part", "o", F.col("all").alias("o_all"))
             once = F.array_min(F.array_intersect("all", "o_all")) == F.col("bucket")
-            wanted, on = F.expr("root = major or o.node < node") & once, ["bucket"]
+            wanted = F.expr("root = major or o.node < node") & once
+        on = ["bucket", "part"]
         can = bound(F.col("info"), F.col("o.info")) if bound else F.lit(True)
         found = rows.join(others, on).filter((F.col("root") != F.col("o.root")) & wanted & can)
         pairs = found.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).coalesce(few).distinct().coalesce(few)
@@ -131,7 +174,5 @@ def group(
         if pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.union(pairs)
-        new = verify(pairs).select("a", "b").checkpoint()
-        links = new if links is None else links.union(new)
-        roots = components(links.coalesce(few)).coalesce(few).checkpoint()
+        roots = _joined(roots, verify(pairs).select("a", "b"), few)
     return members.select("node", F.col("node").alias("root")).limit(0) if roots is None else roots

@@ -4,7 +4,8 @@ A line is normalised (lower case; everything but letters and digits is one space
 of fewer than five words are left alone. A line's SimHash sums the bits of its hashed word
 pairs and keeps the majority of each of 64. Two of distance 3 or less agree in three of six blocks of bits at
 least, so each line is put in the 20 buckets of three blocks each, and candidates are
-verified by edit distance: at most a tenth of the longer line's characters. Lines joined by
+verified by edit distance: at most a tenth of the longer line's characters. In buckets of many lines
+that stay apart only those sharing a rare gram are compared, which loses no link. Lines joined by
 such links are one group, and of all its occurrences only the first stays: the one in the
 document of the smallest id, and there at the smallest place.
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_row
@@ -34,6 +35,8 @@ MIN_WORDS = 5
 # The longer line's characters over this are the edits allowed.
 EDITS = 10
 BITS, BLOCKS, EQUAL = 64, 6, 3
+# Characters of the grams by which large buckets are cut.
+GRAM = 5
 # Limits for which Spark works on a band of the table of distances.
 LIMITS = tuple(2**k for k in range(3, 15))
 # Lines whose texts may be looked up by a broadcast of their hashes (16 bytes each).
@@ -93,6 +96,28 @@ def _edit_distance(x: str, y: str, allowed: Column) -> Column:
     return out
 
 
+def rare_grams(rows: DataFrame) -> DataFrame:
+    """``bucket, node, key`` of rows ``bucket, node, norm``: the rarest grams of each line in its bucket.
+
+    An edit changes at most ``GRAM`` grams. So with the grams of each line in one order, by frequency, two
+    lines within ``t`` edits of each other share one among the first ``GRAM`` * t + 1 of each.
+    A gram's second occurrence in a line counts as another gram. No line is shorter than nine characters,
+    which have more grams than that.
+    """
+    size = F.length("norm")
+    # A line within the limit has at most 10/9 of the characters.
+    edits = F.floor(F.floor(size * EDITS / (EDITS - 1)) / EDITS)
+    starts = F.sequence(F.lit(1), F.greatest(size - (GRAM - 1), F.lit(1)))
+    grams = rows.select("bucket", "node", (edits * GRAM + 1).alias("first"), F.explode(F.transform(starts, lambda at: F.xxhash64(F.substr("norm", at, F.lit(GRAM))))).alias("gram"))
+    again = Window.partitionBy("bucket", "node", "gram").orderBy("first")
+    keyed = grams.select("bucket", "node", "first", F.xxhash64("gram", F.row_number().over(again)).alias("key"))
+    often = keyed.groupBy("bucket", "key").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("bucket", "node").orderBy("n", "key")
+    chosen = keyed.join(often, ["bucket", "key"]).withColumn("place", F.row_number().over(order))
+    # A gram of one line only joins nothing.
+    return chosen.filter("place <= first and n > 1").select("bucket", "node", "key")
+
+
 def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Occurrences ``doc_id, text_hash, pos, raw``, and ``raw, root`` of all worded lines.
 
@@ -130,7 +155,10 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         distance = _edit_distance("x", "y", F.col("allowed"))
         return near.filter(F.abs(2 * distance - F.col("allowed")) <= F.col("allowed")).select("a", "b")
 
-    roots = known.select("raw", "node").join(group(members, verify), "node", "left")
+    def keys(rows: DataFrame) -> DataFrame:
+        return rare_grams(rows.join(texts, "node"))
+
+    roots = known.select("raw", "node").join(group(members, verify, keys=keys), "node", "left")
     return places, roots.select("raw", F.coalesce("root", "node").alias("root"))
 
 
