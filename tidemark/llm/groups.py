@@ -40,8 +40,11 @@ ROWS_PER_TASK = 200_000
 BROADCAST_BUCKETS = 1_000_000
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame, few: int) -> bool:
+    """Whether edges (``a`` < ``b``) are stars: every node is a centre only or hangs on one centre only."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("up")).union(edges.select("b", F.lit(1))).coalesce(few)
+    seen = ends.groupBy("node").agg(F.max("up").alias("up"), F.count("*").alias("n")).coalesce(few)
+    return seen.filter("up = 1 and n > 1").isEmpty()
 
 
 def _tasks(rows: int) -> int:
@@ -53,12 +56,12 @@ def _tasks(rows: int) -> int:
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a, b``); the root is the smallest node.
 
-    Large-star and small-star rounds in turn, until nothing changes.
+    Large-star and small-star rounds in turn, until all edges are stars; links that are stars
+    from the start need none.
     """
     edges = links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
-    before = _mark(edges)
-    few = _tasks(2 * before[0])
-    while True:
+    few = _tasks(2 * edges.count())
+    while not _settled(edges, few):
         # Large star: every larger neighbour goes to the smallest of the neighbourhood.
         edges = edges.coalesce(few)
         both = edges.union(edges.select("b", "a")).toDF("u", "v").coalesce(few)
@@ -70,10 +73,6 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m")).coalesce(few)
         moved = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a != b")
         edges = moved.union(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).coalesce(few).distinct().coalesce(few).checkpoint()
-        after = _mark(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     )

@@ -37,6 +37,8 @@ EDITS = 10
 BITS, BLOCKS, EQUAL = 64, 6, 3
 # Characters of the grams by which large buckets are cut.
 GRAM = 5
+# Turns of stars before the rest is settled; the rare grams settle it at little cost.
+TURNS = 3
 # Limits for which Spark works on a band of the table of distances.
 LIMITS = tuple(2**k for k in range(3, 15))
 # Lines whose texts may be looked up by a broadcast of their hashes (16 bytes each).
@@ -158,7 +160,7 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def keys(rows: DataFrame) -> DataFrame:
         return rare_grams(rows.join(texts, "node"))
 
-    roots = known.select("raw", "node").join(group(members, verify, keys=keys), "node", "left")
+    roots = known.select("raw", "node").join(group(members, verify, rounds=TURNS, keys=keys), "node", "left")
     return places, roots.select("raw", F.coalesce("root", "node").alias("root"))
 
 
