@@ -335,6 +335,27 @@ def test_sums_that_are_not_finite(spark):
     assert found == [["inf"], ["-inf"], ["inf", "nan"], ["nan"]]
 
 
+@pytest.mark.parametrize("scale", [2.0**-20, 2.0**-1074, 2.0**900])
+def test_sums_in_few_places(spark, scale):
+    """Doubles with few bits take few places, and their totals, in one bigint or not, are right."""
+    rnd = random.Random(15)
+    sets = [[rnd.choice([-1, 1]) * rnd.randrange(1, 1 << rnd.choice([20, 36])) * scale for _ in range(rnd.randint(1, 9))] for _ in range(40)]
+    df = spark.createDataFrame([(g, x) for g, group in enumerate(sets) for x in group], "g int, x double")
+    where = exact.places(df, F.col("x"))
+    assert len(where) <= 3
+    parts = exact.parts(F.col("x"), where)
+    sums = df.groupBy("g").agg(*[(F.sum(part) * (1 + F.col("g") % 2 * ((1 << 24) - 1))).alias(name) for name, part in parts.items()])
+    made = dict(sums.select("g", exact.total({name: F.col(name) for name in parts}, where)).collect())
+    factors = [((1 << 24) - 1) * (g % 2) + 1 for g in range(len(sets))]
+    assert [made[g] for g in range(len(sets))] == [float(sum(map(Fraction, group)) * f) for group, f in zip(sets, factors)]
+
+
+def test_totals_of_doubles_are_worked_out_in_all_tasks(spark):
+    df = spark.range(100).select(F.col("id").alias("seq"), (F.col("id") / 3).alias("amount"))
+    tasks = sum_changelog(df, scale=None).select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
+
+
 def doubles():
     rnd = random.Random(11)
     values = [None, 0.0, 1 / 3, 1e-7, 1e300, -1e300, 0.1, -0.1, 1e16]

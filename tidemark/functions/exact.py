@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,14 +36,18 @@ def limb(value: Column, place: int) -> Column:
 
 
 def places(df: DataFrame, value: Column) -> range:
-    """The places in which the values have bits."""
+    """The places from the lowest to the highest in which any value has bits."""
     size = F.abs(value.cast("double"))
     size = F.when((size > 0) & (size < F.lit(float("inf"))), size)
     least, most = df.agg(F.min(size), F.max(size)).first()
     if least is None:
         return range(0)
     low = max(LOWEST, math.frexp(least)[1] - 53)
-    return range(low // BITS, (math.frexp(most)[1] - 1) // BITS + 1)
+    where = range(low // BITS, (math.frexp(most)[1] - 1) // BITS + 1)
+    # The least value need not use all of its 53 bits.
+    held = df.agg(*[F.max(limb(value.cast("double"), place) != 0) for place in where]).first()
+    used = [place for place, some in zip(where, held, strict=True) if some]
+    return range(used[0], used[-1] + 1)
 
 
 def parts(value: Column, where: range) -> dict[str, Column]:
@@ -94,9 +99,20 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _in_one(limbs: Sequence[Column], lowest: int) -> tuple[Column, Column] | None:
+    """Whether limbs, lowest first, make one bigint, and the double nearest to it; None if they never do."""
+    if not 0 < len(limbs) <= 3 or not LOWEST <= BITS * lowest <= 900:
+        return None
+    most = [F.lit(1 << (60 - BITS * i)) for i in range(len(limbs))]
+    fits = reduce(lambda a, b: a & b, [(limb > -top) & (limb < top) for limb, top in zip(limbs, most, strict=True)])
+    whole = reduce(lambda a, b: a + b, [F.shiftleft(limb, BITS * i) for i, limb in enumerate(limbs)])
+    return fits, _scaled(whole.cast("double"), BITS * lowest)
+
+
 def total(sums: dict[str, Column], where: Sequence[int]) -> Column:
     """The double nearest to the sum of which ``sums`` are the summed parts."""
     zero = F.lit(0).cast("bigint")
+    one = _in_one([sums[f"limb{place}"] for place in where], where[0] if len(where) else 0)
     # Three places below for the digits that are rounded, and room above for the carry.
     limbs = F.array(*[zero] * 3, *[sums[f"limb{place}"] for place in where], *[zero] * 4)
     lowest = (where[0] if len(where) else 0) - 3
@@ -130,6 +146,9 @@ def total(sums: dict[str, Column], where: Sequence[int]) -> Column:
 
     more, less = sums["more"] > 0, sums["less"] > 0
     finite = _bind(_digits(limbs), signed)
+    if one is not None:
+        # Digits are costly: most sums need none.
+        finite = F.when(one[0], one[1]).otherwise(finite)
     return (
         F.when((sums["nan"] > 0) | (more & less), F.lit(float("nan")))
         .when(more, F.lit(float("inf")))

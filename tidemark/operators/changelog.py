@@ -127,6 +127,9 @@ def sum_changelog(
         steps = steps.join(known, same, "left")
         so_far = Totals(F.col("records"), F.col("known"), {"sum": F.col("sum")})
 
+    if amounts.by_bits:
+        # The rows of a group leave one task in order; their totals, which are costly, are worked out in all.
+        steps = steps.repartition(df.sparkSession.sparkContext.defaultParallelism, "seq")
     zero = F.lit(0)
     after = {n: F.coalesce(f"_sum_{n}", zero) + so_far.of(n) for n in amounts.parts}
     earlier = {n: after[n] - F.coalesce(f"_own_{n}", zero) for n in amounts.parts}
