@@ -77,6 +77,25 @@ def test_groups_of_copies_need_few_pairs(spark):
     assert sum(tested) < 2 * 400
 
 
+def test_few_unlike_pairs_are_settled_at_once(spark):
+    """Small buckets of unlike nodes need no further turns: each turn is many jobs of the driver's."""
+    rows = [(b, 3 * b + n) for b in range(50) for n in range(3)]
+    members = spark.createDataFrame(rows, "bucket bigint, node bigint").checkpoint()
+    tested = []
+
+    def verify(pairs):
+        tested.append(pairs.count())
+        return pairs.filter("a % 3 = 1 and b % 3 = 2 and a % 2 = 0")
+
+    spark.sparkContext.setJobGroup("few", "few")
+    made = dict(map(tuple, group(members, verify).collect()))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert made == {x: 3 * b + 1 for b in range(1, 50, 2) for x in (3 * b + 1, 3 * b + 2)}
+    assert tested == [100, 50]
+    assert jobs < 60
+
+
 @pytest.mark.parametrize("size", [150])
 def test_later_turns_work_on_roots_only(spark, monkeypatch, size):
     """A link in ten pairs: what the components are made from grows with the items, not with all links found."""
@@ -198,6 +217,25 @@ def test_near_duplicates(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({union.find(i) for i in range(len(texts))})
 
 
+def test_texts_that_share_too_little_are_not_grouped(spark, monkeypatch):
+    """Copies with more edits of their own than the limit allows have no link: they are no members of buckets."""
+    given = []
+    made_of = icws.group
+    monkeypatch.setattr(icws, "group", lambda members, *args, **more: (given.append(members.select("node").distinct().count()), made_of(members, *args, **more))[1])
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(300)]
+    texts = [" ".join(base), " ".join(base[:299] + ["end"])]
+    for _ in range(30):
+        copy = list(base)
+        for at in rng.sample(range(0, 300, 5), 16):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = Counter(r.class_id for r in icws.near_duplicates(docs).collect())
+    assert made[0] == 2 and len(made) == 31
+    assert given == [2]
+
+
 def test_near_duplicates_defined_results(spark):
     schema = "doc_id bigint, text string"
     assert icws.near_duplicates(spark.createDataFrame([], schema)).count() == 0

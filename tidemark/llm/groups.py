@@ -5,12 +5,13 @@ items, so pairs are never enumerated within it. Instead:
 
 1. each bucket's first item is paired with the others (a star), which is linear in the
    bucket; verified pairs are links, and links make components;
-2. buckets are dealt into small random parts, several times anew, and each part's first item
+2. buckets that are not connected yet are dealt into small random parts, several times anew, and each part's first item
    is paired with those of its part that are still in another component;
 3. what remains is settled exactly: the items outside a bucket's largest component are paired
    with items of other components, in small buckets with all, in larger ones with those of
    their random part; parts grow from turn to turn until they are whole buckets, and items
-   that were connected meanwhile need no pair any more. With ``keys`` (a property that all similar items
+   that were connected meanwhile need no pair any more; as soon as few pairs are left, whole buckets are
+   settled at once. With ``keys`` (a property that all similar items
    of a bucket have in common with each other) larger buckets are cut by these instead.
 
 Without ``keys``, items of one bucket that stay unconnected are paired all with all in the end: nothing
@@ -34,6 +35,10 @@ STAR_ROUNDS = 6
 PART = 8
 # Nodes of a part of a bucket in the first turn that settles the rest, and its growth from turn to turn.
 WIDTH, GROWTH = 32, 8
+# So many pairs (for each row of the buckets, and in all) are no reason to wait for further turns.
+FEW_EACH, FEW_PAIRS = 16, 100_000
+# Another turn of stars must leave less than this share of the pairs that were left before.
+ENOUGH = 0.8
 # Rows a task of the steps on pairs and links takes.
 ROWS_PER_TASK = 200_000
 # Buckets of two or more that may be broadcast (8 bytes each).
@@ -59,9 +64,11 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star rounds in turn, until all edges are stars; links that are stars
     from the start need none.
     """
-    edges = links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
-    few = _tasks(2 * edges.count())
-    while not _settled(edges, few):
+    edges = links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = edges.checkpoint()
+    n = edges.count()
+    few = _tasks(2 * n)
+    while n and not _settled(edges, few):
         # Large star: every larger neighbour goes to the smallest of the neighbourhood.
         edges = edges.coalesce(few)
         both = edges.union(edges.select("b", "a")).toDF("u", "v").coalesce(few)
@@ -81,16 +88,15 @@ def components(links: DataFrame) -> DataFrame:
 def _joined(roots: DataFrame | None, links: DataFrame, few: int) -> DataFrame | None:
     """``roots`` after more links. What is known already is one node: only links between roots take part
     in the stars, so later turns cost what they find and not all that was found before."""
-    if roots is None:
-        links = links.checkpoint()
-        return None if links.isEmpty() else components(links.coalesce(few)).coalesce(few).checkpoint()
-    for end in ("a", "b"):
-        top = roots.select(F.col("node").alias(end), F.col("root").alias("top"))
-        links = links.join(top, end, "left").withColumn(end, F.coalesce("top", end)).select("a", "b").coalesce(few)
-    links = links.distinct().coalesce(few).checkpoint()
-    if links.isEmpty():
-        return roots
+    if roots is not None:
+        for end in ("a", "b"):
+            top = roots.select(F.col("node").alias(end), F.col("root").alias("top"))
+            links = links.join(top, end, "left").withColumn(end, F.coalesce("top", end)).select("a", "b").coalesce(few)
     moved = components(links).coalesce(few).checkpoint()
+    if moved.isEmpty():
+        return roots
+    if roots is None:
+        return moved
     tops = moved.select(F.col("node").alias("root"), F.col("root").alias("top"))
     known = roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     return known.union(moved.join(roots, "node", "left_anti")).coalesce(few).checkpoint()
@@ -124,45 +130,54 @@ def group(
     """
     members = members if bound else members.withColumn("info", F.lit(0))
     tested = roots = None
-    few = _tasks(members.count())
+    n = members.count()
+    few, few_pairs = _tasks(n), max(min(FEW_EACH * n, FEW_PAIRS), n // 4)
     members = members.coalesce(few)
     shared = members.groupBy("node").agg(F.collect_set("bucket").alias("all")).coalesce(few)
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).checkpoint()
-    largest = sizes.agg(F.max("size")).first()[0] or 0
-    widths = [WIDTH]
-    while widths[-1] < largest:
-        widths.append(largest if keys else widths[-1] * GROWTH)
-    for turn in range(rounds + len(widths)):
+    # Buckets of up to ``width`` nodes are settled.
+    turn, width, largest, before = 0, 0, 1, 0
+    while width < largest:
         labelled = members if roots is None else members.join(roots, "node", "left")
         root = F.col("node") if roots is None else F.coalesce("root", "node")
         labelled = labelled.select("bucket", "node", root.alias("root"), "info").coalesce(few)
+        # Only buckets of several components that are not settled take part.
+        parts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("size"), F.count("*").alias("parts"))
+        major = major.filter((F.col("parts") > 1) & (F.col("size") > width)).select("bucket", F.col("m.root").alias("major"), "size")
+        rows = labelled.join(major, "bucket").coalesce(few).checkpoint()
+        outside = F.when(F.col("root") != F.col("major"), F.col("size"))
+        largest, most = rows.agg(F.max("size"), F.sum(outside)).first()
+        if largest is None:
+            break
+        # Buckets that are connected stay so: later turns look at the others only.
+        members = rows.select("bucket", "node", "info")
+        # Few pairs: all are settled now. Stars that connect little: what remains is settled next.
+        last = turn > 0 and most <= few_pairs
+        if turn > 1 and most > ENOUGH * before:
+            rounds = 0
+        before = most
         other = F.struct("node", "root", "info")
-        if turn < rounds:
+        if not last and not width and turn < rounds:
             # From the second turn on a bucket is dealt into small parts, anew each turn.
             part = F.lit(0) if turn == 0 else F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / PART))
-            rows = labelled.join(sizes, "bucket").withColumn("part", part.cast("bigint")).coalesce(few)
+            rows = rows.withColumn("part", part.cast("bigint"))
             others = rows.groupBy("bucket", "part").agg(F.min(other).alias("o"))
             wanted = F.lit(True)
         else:
-            step = turn - rounds
-            parts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-            major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("size"), F.count("*").alias("parts"))
-            # Buckets that were whole in the turn before are done.
-            open_ = F.col("parts") > 1 if step == 0 else (F.col("parts") > 1) & (F.col("size") > widths[step - 1])
-            rows = labelled.join(major.filter(open_).select("bucket", F.col("m.root").alias("major"), "size"), "bucket")
-            if step and keys:
-                rows = rows.checkpoint()
-                rows = rows.join(keys(rows.select("bucket", "node")).withColumnRenamed("key", "part"), ["bucket", "node"])
-            else:
-                part = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / widths[step]))
-                rows = rows.withColumn("part", part.cast("bigint"))
-            others = rows.filter("root != major").select("bucket", "part", other.alias("o"))
+            keyed = keys and width and not last
+            width = largest if last or keyed else width * GROWTH if width else WIDTH
             # Two nodes that are both outside the largest part meet once, the smaller first; and
             # two that share several buckets meet in the smallest of these.
             rows = rows.join(shared, "node")
-            others = others.join(shared, F.col("o.node") == shared["node"]).select("bucket", "part", "o", F.col("all").alias("o_all"))
+            if keyed:
+                rows = rows.join(keys(rows.select("bucket", "node")).withColumnRenamed("key", "part"), ["bucket", "node"])
+            else:
+                part = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("size") / width))
+                rows = rows.withColumn("part", part.cast("bigint"))
+            others = rows.filter("root != major").select("bucket", "part", other.alias("o"), F.col("all").alias("o_all"))
             once = F.array_min(F.array_intersect("all", "o_all")) == F.col("bucket")
             wanted = F.expr("root = major or o.node < node") & once
+        turn += 1
         on = ["bucket", "part"]
         can = bound(F.col("info"), F.col("o.info")) if bound else F.lit(True)
         found = rows.join(others, on).filter((F.col("root") != F.col("o.root")) & wanted & can)

@@ -312,6 +312,12 @@ def _can_be_similar(x: Column, y: Column) -> Column:
     return common >= THRESHOLD / (1 + THRESHOLD) * (x["weight"] + y["weight"]) * (1 - 1e-9)
 
 
+def _has_similar(x: Column) -> Column:
+    """Whether a text can be similar to any at all: what two similar texts have in common weighs at least
+    ``THRESHOLD`` of either. A text of which less is shared keeps buckets open for no link."""
+    return x["shared"] >= THRESHOLD * x["weight"] * (1 - 1e-9)
+
+
 def _verifier(texts: DataFrame, sampler: Sampler):
     """Keeps the pairs whose texts have a weighted Jaccard similarity of ``THRESHOLD``."""
 
@@ -366,7 +372,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
     texts = docs.select("text", "text_hash").join(wanted, "text_hash").groupBy("node").agg(F.min("text").alias("text")).checkpoint()
-    members = members.join(_weights(texts, sampler), "node").checkpoint()
+    members = members.join(_weights(texts, sampler), "node").filter(_has_similar(F.col("info"))).checkpoint()
     roots = group(members, _verifier(texts, sampler), bound=_can_be_similar)
     labelled = sketches.select("doc_id", "text_hash", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = labelled.groupBy("root").agg(
