@@ -9,6 +9,7 @@ from collections import Counter
 from fractions import Fraction
 
 import models
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark import cloudpickle
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from test_streams import carried, feed, put, run, run_late, sliced
 
 from tidemark.functions import exact
+from tidemark.functions.records import REFUNDED
 from tidemark.operators.changelog import sum_changelog, table_changes
 from tidemark.operators.lateness import classify_late, firing_rows, firings, side_output
 from tidemark.operators.running import final_sum
@@ -36,7 +38,7 @@ from tidemark.streaming.carried import (
     update_table,
 )
 from tidemark.streaming.state import FAN, KEPT, StateTable, last_commit, latest
-from tidemark.streaming.timers import ALARM, EXPIRED, refund_waits
+from tidemark.streaming.timers import ALARM, EXPIRED, RefundWait, refund_waits
 from tidemark.streaming.windowed import apply_table, open_records, open_sliding, sliding_table
 
 # The user functions below go to the workers, which do not have this file.
@@ -313,6 +315,51 @@ def test_sliding_windows_from_panes(spark, tmp_path):
 # --- changelogs --------------------------------------------------------------------
 
 
+class KeptRefund:
+    """A user's state and timers, without a stream."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_waits_make_frames_for_alarms_only():
+    """Most users have no alarm in a batch: nothing is made for them. Records are put in order, missing numbers first."""
+    waits = RefundWait(["seq"], ["user_id", "kind", "at_ms", "seq"], 1, 100, True)
+    kept = KeptRefund()
+    waits.init(kept)
+
+    def given(*records):
+        part = pd.DataFrame([(7, seq, state, at, seq, pd.Timestamp(at, unit="ms")) for seq, state, at in records])
+        return [frame.to_dict("records") for frame in waits.handleInputRows((7,), iter([part.iloc[:1], part.iloc[1:]]), None)]
+
+    assert given((2, REFUNDED, 50), (1, 1, 10)) == []
+    assert (kept.value, kept.timers) == ((50,), [150])
+    assert given((4, 1, 70), (3, REFUNDED, 60)) == [[{"user_id": 7, "kind": ALARM, "at_ms": 60, "seq": 3}]]
+    assert given((6, REFUNDED, 90), (None, REFUNDED, 80))[0][0]["seq"] == 6
+    assert (kept.value, kept.timers) == (None, [])
+
+
 def test_exact_sums_of_doubles(spark):
     rnd = random.Random(10)
     odd = [5e-324, 1e-310, 2.2250738585072014e-308, 1e16, -1e16, 0.1, 0.2, -0.1, 1 / 3, 1e-7, 1e300, -1e300, 0.0, -0.0]

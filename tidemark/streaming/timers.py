@@ -34,6 +34,7 @@ class RefundWait(StatefulProcessor):
         self.payload, self.names, self.n_order = list(payload), list(names), n_order
         self.columns = [self.names[0], *self.payload, "_state", "_at", *[f"_o{i}" for i in range(n_order)]]
         self.columns += ["_ts"] if timed else []
+        self.order = [self.columns.index(f"_o{i}") for i in range(n_order)]
         self.within_ms, self.timed = within_ms, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -44,12 +45,16 @@ class RefundWait(StatefulProcessor):
         return pd.DataFrame([{**dict.fromkeys(self.names), self.names[0]: key[0], **row} for row in rows], columns=self.names)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        # Spark names computed columns anew: they are known by their places.
-        records = pd.concat(list(rows)).set_axis(self.columns, axis=1).sort_values([f"_o{i}" for i in range(self.n_order)], kind="stable", na_position="first")
+        # Spark names computed columns anew: they are known by their places. A user has few records in a batch,
+        # for which frames cost far more than lists.
+        values = [row for part in rows for row in part.to_numpy(dtype=object).tolist()]
+        if len(values) > 1:
+            values.sort(key=lambda row: [(False, 0) if pd.isna(row[i]) else (True, row[i]) for i in self.order])
+        records = [dict(zip(self.columns, row, strict=True)) for row in values]
         now = None if self.timed else timerValues.getCurrentProcessingTimeInMs()
         old = since = self.since.get()[0] if self.since.exists() else None
         made = []
-        for record in records.to_dict("records"):
+        for record in records:
             at = int(record["_at"]) if self.timed else now
             refund = record["_state"] == REFUNDED
             if refund and since is not None and at < since + self.within_ms:
@@ -65,7 +70,8 @@ class RefundWait(StatefulProcessor):
             else:
                 self.since.update((since,))
                 self.handle.registerTimer(since + self.within_ms)
-        yield self._made(key, made)
+        if made:
+            yield self._made(key, made)
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         self.since.clear()
