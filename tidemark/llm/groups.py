@@ -91,7 +91,8 @@ def _joined(roots: DataFrame | None, links: DataFrame, few: int) -> DataFrame |
     if roots is not None:
         for end in ("a", "b"):
             top = roots.select(F.col("node").alias(end), F.col("root").alias("top"))
-            links = links.join(top, end, "left").withColumn(end, F.coalesce("top", end)).select("a", "b").coalesce(few)
+            # Not coalesced: where the roots are broadcast, the pairs are verified in the tasks of this step.
+            links = links.join(top, end, "left").withColumn(end, F.coalesce("top", end)).select("a", "b")
     moved = components(links).coalesce(few).checkpoint()
     if moved.isEmpty():
         return roots
