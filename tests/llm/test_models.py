@@ -108,6 +108,27 @@ def test_scores(spark, monkeypatch):
     assert np.mean([r.bits_per_byte for r in better]) < 2.6
 
 
+def test_rare_contexts_have_nodes(spark, monkeypatch):
+    """Contexts seen once in more than 2**16 bytes; a tree in many shards, asked by many portions."""
+    monkeypatch.setattr(ctw, "PORTION", 20_000)
+    monkeypatch.setattr(ctw, "SHARD_BYTES", 10_000)
+    rows = [(i, "abAb " * 50) for i in range(400)] + [(1000 + i, f"abab zürich {i % 7} quartz") for i in range(40)] + [(None, "ab")]
+    rows += [(1100 + i, f"{i * i * 7919} kept {chr(97 + i)}{chr(122 - i)}") for i in range(20)]
+    train = [t.encode().lower() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    counts = [{} for _ in range(ctw.DEPTH + 1)]
+    for key, n in Counter(ctw._sequences(train).tolist()).items():
+        for d, seen in enumerate(counts):
+            seen.setdefault((key >> 8) & ((1 << 8 * d) - 1), np.zeros(256))[key & 255] += n
+    tree = ctw.build_tree(counts)
+    rows += [(i, "nowhere 0 quarts \0 zü") for i in range(2000, 2020)]
+    # Texts that no training text is like are held out.
+    rows = [(i, t) for i, t in rows if i is None or not 2000 <= i < 2020 or zlib.crc32(str(i).encode()) % 7 == 2]
+    assert sum(map(len, train)) > 1 << 16 and any(i and 2000 <= i < 2020 for i, _ in rows)
+    made = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    expected = ctw.log10_probability([t.encode().lower() for _, t in rows], tree)
+    assert np.allclose([made[i] for i, _ in rows], expected, rtol=1e-5, atol=1e-4)
+
+
 def test_score_of_nothing(spark):
     schema = "doc_id bigint, text string"
     assert ctw.score(spark.createDataFrame([], schema)).count() == 0
