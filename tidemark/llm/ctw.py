@@ -238,7 +238,8 @@ def _byte_log10(one: np.ndarray) -> np.ndarray:
 
 
 def build_tree(counts: list[dict[int, np.ndarray]]) -> Tree:
-    """The tree of ``counts[depth][context]``, 256 byte counts for each expanded context."""
+    """The tree of ``counts[depth][context]``, 256 byte counts for each expanded context; in memory, for
+    few contexts. ``score`` does not use it: the tests compare the shards with it."""
     if not counts[0]:
         counts[0][0] = np.zeros(256)
     contexts = [np.array(sorted(c), np.int64) for c in counts]
