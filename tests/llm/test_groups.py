@@ -302,6 +302,41 @@ def test_summaries_keep_what_is_frequent():
     assert icws.shingles(["a b c d e"])[0].tolist()[0] in made
 
 
+def test_all_shingles_have_their_document_frequency(spark, monkeypatch):
+    """Over several portions and shards, every shingle of every text has the number of documents that hold it."""
+    monkeypatch.setattr(icws, "PORTION", 500)
+    monkeypatch.setattr(icws, "SHARD_CHARS", 1_000)
+    rng = random.Random(12)
+    phrases = [" ".join(f"p{k}x{j}" for j in range(7)) for k in range(30)]
+    texts = ["", "a b", "a b", None]
+    for _ in range(300):
+        texts.append(" ".join([rng.choice(phrases[: rng.randrange(1, 31)]), *[f"u{rng.randrange(10**6)}" for _ in range(8)], rng.choice(phrases)]))
+    docs = spark.createDataFrame([(i, t or "", i) for i, t in enumerate(texts)], "doc_id bigint, text string, text_hash bigint").repartition(5)
+    sampler = icws.Sampler(*icws.frequencies(docs))
+    ids = {i: icws.shingles([t or ""])[0].tolist() for i, t in enumerate(texts)}
+    true = Counter(s for own in ids.values() for s in own)
+    assert 0 < len(sampler.frequent) < sum(n > 1 for n in true.values())
+    rows = icws._sketches(docs, sampler).collect()
+    assert {r.doc_id: icws._unpacked(r.held).tolist() for r in rows} == {i: [true[s] for s in own] for i, own in ids.items()}
+    assert [len(r.bands) for r in sorted(rows)[:4]] == [0, 16, 16, 0] and len(rows) == len(texts)
+    # A tenth of the documents and above is not the only difference: two and thirty of 304 weigh apart too.
+    assert np.allclose(sampler.weights(np.arange(3), np.ones(3), np.array([1, 2, 30])), [1 + math.log10(305 / (n + 1)) for n in (1, 2, 30)])
+
+
+def test_rare_shingles_decide(spark):
+    """Two texts that differ in phrases which a thirteenth of all documents hold: similar by TF-IDF only."""
+    rng = random.Random(13)
+    phrases = [" ".join(f"p{k}x{j}" for j in range(16)) for k in range(2)]
+    base = " ".join(f"b{k}" for k in range(124))
+    texts = [f"{base} {phrase}" for phrase in phrases]
+    texts += [" ".join([*[f"u{rng.randrange(10**6)}" for _ in range(60)], phrase]) for phrase in phrases for _ in range(29)]
+    texts += [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) for _ in range(340)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in icws.near_duplicates(docs).collect() if r.doc_id < 2} == {0: 0, 1: 0}
+    x, y = (set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in texts[:2])
+    assert len(x & y) < 0.8 * len(x | y)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

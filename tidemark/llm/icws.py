@@ -2,12 +2,17 @@
 
 Words are runs of ASCII letters and digits and of characters beyond ASCII, in lower case.
 A shingle is five consecutive words (a text of one to four words is one shingle); its
-weight is its count in the text times ``1 + ln(min(documents / documents with it, 10))``. So the
-inverse frequency differs only for shingles that a tenth of all documents hold or more; at
-most ten times an average document's shingles can be that frequent. They are found exactly:
-each task keeps summaries of counts that are too low by a known bound, Spark adds them up, and the
-shingles whose sums say that a twentieth of all documents may hold them (at most twenty
-times an average document's words, whatever the partitions and the order) are counted again.
+weight is its count in the text times ``1 + log10((documents + 1) / (documents with it + 1))``, for every
+shingle, however rare or frequent. All counts are exact:
+
+- those that a tenth of all documents hold (at most ten times an average document's shingles) are
+  counted apart, and every task knows them: each task keeps summaries of counts that are too low by a known
+  bound, Spark adds them up, and the shingles whose sums say that a twentieth of all documents may hold them (at
+  most twenty times an average document's words, whatever the partitions and the order) are counted again;
+- the documents of a task are cut into portions of about ``PORTION`` shingles, and each portion asks the shards
+  of all shingles, by the first bits of their hashes, for those it holds, each once. A shard adds up what all portions
+  have and answers each; portions meet their answers and are sampled. A question is the gap to the shingle
+  before, about four bytes, and a text is moved only as the places of its shingles in its portion.
 
 Sampling: for each of 80 hashes, ICWS draws one (shingle, level) of a text; two texts draw the
 same with a probability equal to their weighted Jaccard similarity. 16 bands of 5 samples
@@ -25,11 +30,12 @@ are copies; an empty table gives an empty table; other columns do not take part.
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +48,10 @@ SIZE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 5
 FREQUENT = 10
 TABLE_BITS = 16
+# Shingles of a portion of texts, and characters of all texts for each shard of their shingles.
+PORTION, SHARD_CHARS = 1 << 20, 1 << 23
+# Characters of texts that a task samples.
+TASK_CHARS = 1 << 24
 # Nodes whose texts may be looked up by a broadcast of their hashes (16 bytes each).
 BROADCAST_NODES = 500_000
 _P = np.uint64(0x100000001B3)
@@ -199,33 +209,41 @@ class Sampler:
     """Weights and consistent weighted samples of shingles."""
 
     def __init__(self, total: int, frequent: np.ndarray, holders: np.ndarray) -> None:
-        self.frequent = frequent
-        self.idf = 1 + np.log(np.minimum(total / np.maximum(holders, 1), FREQUENT))
-        self.usual = 1 + np.log(FREQUENT)
+        self.total, self.frequent, self.holders = total, frequent, holders
+        # The weight of most shingles: once in its text, and in no other.
+        self.usual = float(self.idf(np.ones(1))[0])
         self.tables: list[tuple] = []
 
-    def weights(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        idf = np.full(len(ids), self.usual)
+    def idf(self, held: np.ndarray) -> np.ndarray:
+        return 1 + np.log10((self.total + 1) / (held + 1))
+
+    def known(self, ids: np.ndarray) -> np.ndarray:
+        """How many documents hold each shingle, of those that a tenth hold; 0 for others."""
+        held = np.zeros(len(ids))
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, ids), len(self.frequent) - 1)
             hit = self.frequent[at] == ids
-            idf[hit] = self.idf[at[hit]]
-        return counts * idf
+            held[hit] = self.holders[at[hit]]
+        return held
+
+    def weights(self, ids: np.ndarray, counts: np.ndarray, held: np.ndarray | None = None) -> np.ndarray:
+        """Weights of shingles that ``held`` documents hold; without it, the frequent ones differ from the usual."""
+        return counts * self.idf(np.maximum(self.known(ids), 1) if held is None else held)
 
-    def _draw(self, r: np.ndarray, c: np.ndarray, beta: np.ndarray, log_weight: np.ndarray | float):
+    def _draw(self, r: np.ndarray, log_c: np.ndarray, beta: np.ndarray, log_weight: np.ndarray | float):
         level = np.floor(log_weight / r + beta)
-        return np.log(c) - r * (level - beta) - r, level
+        return log_c - r * (level - beta) - r, level
 
     def _tables(self) -> list[tuple]:
-        """For each hash: a multiplier, the drawn r, c, beta, and what the usual weight draws."""
+        """For each hash: a multiplier, the drawn r, log c, beta, and what the usual weight draws."""
         if not self.tables:
             random = np.random.Generator(np.random.PCG64(20240607))
             n = 1 << TABLE_BITS
             for _ in range(BANDS * ROWS):
                 factor = np.uint64(int(random.integers(1 << 62)) * 2 + 1)
                 r, c, beta = (x.astype(np.float32) for x in (random.gamma(2, 1, n), random.gamma(2, 1, n), random.random(n)))
-                rank, level = self._draw(r, c, beta, np.float32(np.log(self.usual)))
-                self.tables.append((factor, r, c, beta, rank, level.astype(np.int16)))
+                rank, level = self._draw(r, np.log(c), beta, np.float32(np.log(self.usual)))
+                self.tables.append((factor, r, np.log(c), beta, rank, level.astype(np.int16)))
         return self.tables
 
     def bands(self, ids: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -236,12 +254,12 @@ class Sampler:
         out = np.zeros((len(starts), BANDS), np.uint64)
         with np.errstate(over="ignore"):
             mixed = _mix(ids)
-            for k, (factor, r, c, beta, usual_rank, usual_level) in enumerate(self._tables()):
+            for k, (factor, r, log_c, beta, usual_rank, usual_level) in enumerate(self._tables()):
                 at = ((mixed * factor) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
                 rank = usual_rank[at]
                 if len(odd):
                     a = at[odd]
-                    odd_rank, odd_level = self._draw(r[a], c[a], beta[a], log_odd)
+                    odd_rank, odd_level = self._draw(r[a], log_c[a], beta[a], log_odd)
                     rank[odd] = odd_rank
                 low = np.minimum.reduceat(rank, starts)
                 # The smallest shingle among those of the lowest rank.
@@ -257,33 +275,142 @@ class Sampler:
         return out
 
 
-def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """``doc_id, text_hash, node, bands`` of every document; empty bands without a word."""
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, their low bytes first and compressed: small numbers cost what they need."""
+    return zlib.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
+
+
+def _nodes(texts: list[str]) -> np.ndarray:
+    """The hash of each text's words in order; 0 without a word."""
+    words, owner = word_hashes(texts)
+    node = np.zeros(len(texts), np.uint64)
+    if len(words):
+        with np.errstate(over="ignore"):
+            place = np.arange(len(words), dtype=np.uint64) - np.searchsorted(owner, owner).astype(np.uint64)
+            parts = _mix(words + _mix(place + np.uint64(1)))
+            holders, starts = np.unique(owner, return_index=True)
+            node[holders] = _mix(np.add.reduceat(parts, starts))
+    return node
+
+
+def _asked(sampler: Sampler, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each portion a row for each shard that it asks (``key`` is below 0), and one with its documents
+    (``key`` is its number)."""
+    names = ("key", "portion", "shard", "ids", "n", "doc_id", "text_hash", "length", "texts")
+
+    def portion(number: int, docs: list[tuple], ids: np.ndarray) -> Iterator[tuple]:
+        doc_id, text_hash, texts = zip(*docs, strict=True)
+        raw = [t.encode() for t in texts]
+        data = zlib.compress(b"".join(raw), 5)
+        yield (number, number, None, None, None, list(doc_id), list(text_hash), [len(r) for r in raw], data)
+        ids, n = np.unique(ids, return_counts=True)
+        rare = sampler.known(ids) == 0
+        ids, n = ids[rare], n[rare]
+        shard = (ids >> np.uint64(_ID_BITS - bits)).astype(np.int64)
+        edges = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
+        for start, end in zip(edges, edges[1:], strict=False):
+            of = int(shard[start])
+            gaps = np.diff(ids[start:end], prepend=np.uint64(of << (_ID_BITS - bits)))
+            yield (-1 - of, number, of, _packed(gaps), _packed(n[start:end]), None, None, None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        docs: list[tuple] = []
+        held: list[np.ndarray] = []
+
+        def flush(id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(id_type), *[pa.list_(pa.int64())] * 2, pa.binary())
+            rows = list(portion(number, docs, np.concatenate(held)))
+            for few in (rows[at : at + 64] for at in range(0, len(rows), 64)):
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*few, strict=True), types, strict=True)], names=names)
+
         for rows, texts in _texts(batches):
-            words, owner = word_hashes(texts)
-            with np.errstate(over="ignore"):
-                # A node is the hash of its text's words in order.
-                place = np.arange(len(words), dtype=np.uint64) - np.searchsorted(owner, owner).astype(np.uint64)
-                parts = _mix(words + _mix(place + np.uint64(1)))
-                node = np.zeros(len(texts), np.uint64)
-                if len(words):
-                    holders, starts = np.unique(owner, return_index=True)
-                    node[holders] = _mix(np.add.reduceat(parts, starts))
-            ids, counts, starts, present = shingles(texts)
-            keys = [[] for _ in texts]
-            if len(ids):
-                made = sampler.bands(ids, sampler.weights(ids, counts), starts).astype(np.int64)
-                for text, bands in zip(present.tolist(), made.tolist(), strict=True):
-                    keys[text] = bands
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("text_hash"), pa.array(node.astype(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "node", "bands"],
-            )
+            docs += zip(rows.column("doc_id").to_pylist(), rows.column("text_hash").to_pylist(), texts, strict=True)
+            held.append(shingles(texts)[0])
+            if sum(map(len, held)) >= PORTION or len(docs) >= PORTION:
+                yield from flush(rows.column("doc_id").type)
+                docs, held, number = [], [], number + 1
+        if docs:
+            yield from flush(rows.column("doc_id").type)
+
+    return run
+
+
+def _answers(asked: pa.Table) -> pa.Table:
+    """A shard's answers: for each portion, how many documents hold each shingle it asked for."""
+    asks = asked.filter(asked.column("shard").is_valid())
+    # Places within the shard, which tell its shingles apart.
+    ids = [np.cumsum(_unpacked(data)) for data in asks.column("ids").to_pylist()]
+    answers = []
+    if ids:
+        known, at = np.unique(np.concatenate(ids), return_inverse=True)
+        n = np.concatenate([_unpacked(data) for data in asks.column("n").to_pylist()])
+        held = np.bincount(at, n, len(known)).astype(np.uint64)[at]
+        answers = [_packed(part) for part in np.split(held, np.cumsum([len(x) for x in ids])[:-1])]
+    return pa.table([asks.column("portion"), asks.column("shard"), pa.array(answers, pa.binary())], names=["key", "shard", "held"])
+
+
+def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A portion's documents with their bands and, packed, how many documents hold each of their shingles."""
+
+    def run(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        own = asked.filter(asked.column("shard").is_null())
+        doc_id, text_hash, node, bands, held = [], [], [], [], []
+        for row in own.to_pylist():
+            doc_id, text_hash = row["doc_id"], row["text_hash"]
+            raw, ends = zlib.decompress(row["texts"]), np.cumsum([0, *row["length"]]).tolist()
+            texts = [raw[start:end].decode() for start, end in zip(ends, ends[1:], strict=False)]
+            parts = [part for first in range(0, len(texts), 500) for _, part in groups(texts[first : first + 500], 1 << 19)]
+            cut = [shingles(part) for part in parts]
+            ids = np.unique(np.concatenate([c[0] for c in cut]))
+            holders = sampler.known(ids)
+            told = [_unpacked(data) for data in answers.sort_by("shard").column("held").to_pylist()]
+            told = np.concatenate([np.empty(0, np.uint64), *told])
+            if len(told) != np.count_nonzero(holders == 0):
+                raise ValueError("a portion of texts was not the same when it was read again")
+            holders[holders == 0] = told
+            for part, (own_ids, counts, starts, present) in zip(parts, cut, strict=True):
+                node += _nodes(part).astype(np.int64).tolist()
+                keys: list = [[] for _ in part]
+                packed = [_packed(told[:0])] * len(part)
+                if len(own_ids):
+                    own_held = holders[np.searchsorted(ids, own_ids)]
+                    made = sampler.bands(own_ids, sampler.weights(own_ids, counts, own_held), starts).astype(np.int64)
+                    for text, of_text, row_held in zip(present.tolist(), made.tolist(), np.split(own_held, starts[1:]), strict=True):
+                        keys[text], packed[text] = of_text, _packed(row_held)
+                bands += keys
+                held += packed
+        return pa.table(
+            [pa.array(doc_id, asked.schema.field("doc_id").type.value_type), pa.array(text_hash, pa.int64()), pa.array(node, pa.int64()),
+             pa.array(bands, pa.list_(pa.int64())), pa.array(held, pa.binary())],
+            names=["doc_id", "text_hash", "node", "bands", "held"],
+        )
 
+    return run
+
+
+def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
+    """``doc_id, text_hash, node, bands, held`` of every document; empty bands without a word. ``held`` is how many
+    documents hold each of its shingles, in their order, packed."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {id_type}, text_hash bigint, node bigint, bands array<bigint>")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = (chars // SHARD_CHARS).bit_length()
+    asked = docs.mapInArrow(
+        _asked(sampler, bits),
+        "key bigint, portion bigint, shard int, ids binary, n binary, "
+        f"doc_id array<{id_type}>, text_hash array<bigint>, length array<bigint>, texts binary",
+    )
+    # Sampling takes far longer than reading its few bytes: tasks follow the characters.
+    asked = asked.repartition(1 + chars // TASK_CHARS, "key")
+    # One shuffle by key serves both: shards get what they are asked, portions wait there for the answers.
+    answered = asked.groupBy("key").applyInArrow(_answers, "key bigint, shard int, held binary")
+    both = asked.groupBy("key").cogroup(answered.groupBy("key"))
+    return both.applyInArrow(_sampled(sampler), f"doc_id {id_type}, text_hash bigint, node bigint, bands array<bigint>, held binary")
 
 
 def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
@@ -293,11 +420,12 @@ def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
         for rows, part in _texts(batches):
             ids, counts, starts, present = shingles(part)
             if len(ids):
+                held = np.concatenate([_unpacked(h) for h in rows.column("held").to_pylist()]).astype(float)
                 sizes = np.diff(np.concatenate([starts, [len(ids)]]))
                 nodes = np.repeat(rows.column("node").to_numpy()[present], sizes)
-                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": sampler.weights(ids, counts)})
+                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": sampler.weights(ids, counts, held)})
 
-    rows = texts.select("node", "text").mapInArrow(run, "shingle bigint, node bigint, weight double")
+    rows = texts.select("node", "text", "held").mapInArrow(run, "shingle bigint, node bigint, weight double")
     whole = rows.groupBy("node").agg(F.sum("weight").alias("weight"))
     single = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.max("weight").alias("weight"))
     own = single.filter("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
@@ -325,7 +453,7 @@ def _verifier(texts: DataFrame, sampler: Sampler):
         known: dict[int, tuple] = {}
         held = 0
 
-        def vector(node: int, text: str) -> tuple:
+        def vector(node: int, text: str, holders: bytes) -> tuple:
             nonlocal held
             if node not in known:
                 if held > 1_000_000:
@@ -333,22 +461,23 @@ def _verifier(texts: DataFrame, sampler: Sampler):
                     held = 0
                 ids, counts, _, _ = shingles([text])
                 held += len(ids)
-                weights = sampler.weights(ids, counts)
+                weights = sampler.weights(ids, counts, _unpacked(holders).astype(float))
                 known[node] = ids, weights, weights.sum()
             return known[node]
 
         for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             similar = []
-            for a, b, text_a, text_b in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")], strict=True):
-                (ids, w, total), (other, v, rest) = vector(a, text_a), vector(b, text_b)
+            columns = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b", "held_a", "held_b")]
+            for a, b, text_a, text_b, held_a, held_b in zip(*columns, strict=True):
+                (ids, w, total), (other, v, rest) = vector(a, text_a, held_a), vector(b, text_b, held_b)
                 _, i, j = np.intersect1d(ids, other, assume_unique=True, return_indices=True)
                 common = np.minimum(w[i], v[j]).sum()
                 similar.append(common >= THRESHOLD * (total + rest - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("held").alias("held_a"))
+        second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("held").alias("held_b"))
         return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a bigint, b bigint")
 
     return verify
@@ -371,7 +500,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = wanted.checkpoint()
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
-    texts = docs.select("text", "text_hash").join(wanted, "text_hash").groupBy("node").agg(F.min("text").alias("text")).checkpoint()
+    held = sketches.join(wanted.select("node"), "node").groupBy("node").agg(F.first("held").alias("held"))
+    texts = docs.select("text", "text_hash").join(wanted, "text_hash").groupBy("node").agg(F.min("text").alias("text"))
+    texts = texts.join(held, "node").checkpoint()
     members = members.join(_weights(texts, sampler), "node").filter(_has_similar(F.col("info"))).checkpoint()
     roots = group(members, _verifier(texts, sampler), bound=_can_be_similar)
     labelled = sketches.select("doc_id", "text_hash", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
