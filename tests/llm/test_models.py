@@ -242,6 +242,18 @@ def test_template_that_some_pages_lack(spark, empty):
     assert all((made[i], made[100 + i]) == (f"story {i}", f"tale {i}") for i in range(24))
 
 
+@pytest.mark.parametrize("shapes", [3, 64])
+def test_every_layout_of_a_host_has_its_model(spark, monkeypatch, shapes):
+    """A host of twelve layouts that are not alike: the rarest one's menu is template as well."""
+    monkeypatch.setattr(wrapper, "SHAPES", shapes)
+    rows = [
+        (100 * k + i, "http://h/", f"<body><x{k}><p>Menu {k}</p></x{k}><y{k}><p>tale {k} {i}</p></y{k}></body>")
+        for k in range(12) for i in range(30 - 2 * k)
+    ]
+    made = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: t for i, t in made.items() if t != f"tale {i // 100} {i % 100}"} == {}
+
+
 def test_copies_of_an_article_keep_it(spark):
     html = "<body><nav>menu</nav><article><p>the same story</p></article></body>"
     pages = spark.createDataFrame([(i, "http://h/", html) for i in range(20)], "page_id bigint, url string, html string")

@@ -2,13 +2,12 @@
 
 1. Every page is parsed into blocks: runs of inline text with the path of elements they
    stand in. The page's element tree, without its texts, is its *skeleton*.
-2. The set of label paths of a page is its *shape*. The pages of a host's most frequent shapes (one
-   of each of at most ``SHAPES``) fall into *layouts* of shapes that are alike, and each layout's pages are merged
-   into one model that has the nodes of all. A page goes to the layout most like it. Simple tree
+2. The set of label paths of a page is its *shape*. The shapes of a host (one page
+   of each) fall into *layouts* of shapes that are alike, the most frequent first, and each layout's pages are merged
+   into one model that has the nodes of all. A page goes to the layout of its shape. Layouts are made of
+   ``SHAPES`` shapes at once, and the layouts of as many such parts are then put together, until a host has one part. Simple tree
    matching aligns its skeleton with the model: two trees match if their roots have the same
-   tag, and children are matched in order so that the most nodes pair up. A node that all
-   chosen pages lack can not be template: of one that 60 % of pages have, eight pages of
-   as many shapes lack it with a probability of 0.0007 if pages have it independently.
+   tag, and children are matched in order so that the most nodes pair up.
 3. Over all pages of a layout (not those without text), Spark counts for each node of the model how many pages have a
    partner for it and how many distinct texts stand there. A node that most pages have, with
    the same words in nearly all of them, is template; where the words vary it is a slot.
@@ -51,8 +50,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Pages of a host that must have a node before it can be template, and their shares.
 MIN_PAGES, PRESENT, CONSTANT = 3, 0.6, 0.8
 
-# Shapes of a host that its models are made from, and how alike those of one layout are.
-SHAPES, ALIKE = 8, 0.5
+# Shapes of a host that are put into layouts at once, those of a layout that others are compared with, and how
+# alike shapes of one layout are.
+SHAPES, COMPARED, ALIKE = 64, 8, 0.5
 
 # Pages of one host a task takes, and the share of all pages below which no host is cut. So at most
 # 10,000 hosts are cut, and their numbers can go to every task.
@@ -412,18 +412,32 @@ def merged(model: list, page: list) -> list:
     return out
 
 
-def layouts(pages: list[list]) -> list[tuple[list, list[list[int]]]]:
-    """``model, shapes`` of each layout of a host's chosen pages, the most frequent first."""
-    made: list[tuple[list, list[set[int]]]] = []
-    for page in pages:
-        own = shape(page)
-        like = [max(_alike(own, other) for other in shapes) for _, shapes in made]
+def shape_hash(own: set[int]) -> int:
+    return int.from_bytes(hashlib.blake2b(repr(sorted(own)).encode(), digest_size=8).digest(), "big", signed=True)
+
+
+# A layout: its model, its first shapes, and the hashes of all its shapes.
+Layout = tuple[list, list[set[int]], list[int]]
+
+
+def joined(layouts: list[Layout]) -> list[Layout]:
+    """Each layout joins the one before that is most like it, if one is alike."""
+    made: list[Layout] = []
+    for model, shapes, hashes in layouts:
+        like = [max(_alike(own, other) for own in shapes for other in known) for _, known, _ in made]
         if like and max(like) >= ALIKE:
             at = like.index(max(like))
-            made[at] = (merged(made[at][0], page), [*made[at][1], own])
+            old, known, before = made[at]
+            made[at] = (merged(old, model), [*known, *shapes][:COMPARED], before + hashes)
         else:
-            made.append((merged(page, page), [own]))
-    return [(model, [sorted(x) for x in shapes]) for model, shapes in made]
+            made.append((model, shapes, hashes))
+    return made
+
+
+def layouts(pages: list[list]) -> list[Layout]:
+    """The layouts of pages of different shapes, the most frequent first."""
+    single = [(page, shape(page)) for page in pages]
+    return joined([(merged(page, page), [own], [shape_hash(own)]) for page, own in single])
 
 
 class Models:
@@ -431,18 +445,17 @@ class Models:
 
     def __init__(self) -> None:
         self.data: bytes | None = None
-        self.known: list[tuple[list, list[set[int]]]] = []
+        self.known: list[list] = []
+        self.of: dict[int, int] = {}
 
     def find(self, data: bytes, page: list) -> tuple[int, list]:
-        """The number of the layout most like the page, and its model."""
+        """The number of the layout of the page's shape, and its model; the first for a page without text."""
         if data != self.data:
-            self.data, self.known = data, [(m, [set(x) for x in shapes]) for m, shapes in _unpack(data)]
-        if len(self.known) == 1:
-            return 0, self.known[0][0]
-        own = shape(page)
-        like = [max(_alike(own, other) for other in shapes) for _, shapes in self.known]
-        at = like.index(max(like))
-        return at, self.known[at][0]
+            layouts = _unpack(data)
+            self.data, self.known = data, [model for model, _, _ in layouts]
+            self.of = {own: at for at, (_, _, hashes) in enumerate(layouts) for own in hashes}
+        at = self.of.get(shape_hash(shape(page)), 0) if len(self.known) > 1 else 0
+        return at, self.known[at]
 
 
 def main_text(page: Page, template: set[int], slots: set[int] | frozenset[int] = frozenset()) -> str:
@@ -485,17 +498,31 @@ def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parsed = [parse(h or "") for h in batch.column("html").to_pylist()]
         made = pa.array([_pack(skeleton(page)) for page in parsed], pa.binary())
         article = pa.array([article_hash(page) for page in parsed], pa.int64())
-        shapes = [sorted(shape(skeleton(page))) if page.blocks else None for page in parsed]
-        shapes = [None if x is None else zlib.crc32(repr(x).encode()) for x in shapes]
+        shapes = [shape_hash(shape(skeleton(page))) if page.blocks else None for page in parsed]
         yield pa.RecordBatch.from_arrays(
             [batch.column("host"), article, pa.array(shapes, pa.int64()), made], names=["host", "article", "shape", "skeleton"]
         )
 
 
-def _models(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _layouts_packed(made: list[Layout]) -> bytes:
+    return _pack([(model, [sorted(own) for own in shapes], hashes) for model, shapes, hashes in made])
+
+
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The layouts of a part of a host's shapes."""
+    for batch in batches:
+        made = [_layouts_packed(layouts([_unpack(s) for s in pages])) for pages in batch.column("pages").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("part"), pa.array(made, pa.binary())], names=["host", "part", "model"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The layouts of several parts of a host, put together."""
     for batch in batches:
-        made = [_pack(layouts([_unpack(s) for s in pages])) for pages in batch.column("pages").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.binary())], names=["host", "model"])
+        made = []
+        for parts in batch.column("parts").to_pylist():
+            known = [(model, [set(own) for own in shapes], hashes) for part in parts for model, shapes, hashes in _unpack(part)]
+            made.append(_layouts_packed(joined(known)))
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("part"), pa.array(made, pa.binary())], names=["host", "part", "model"])
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -549,16 +576,24 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     hot = _hot(made.select("host"))
     # Pages without text say nothing of a template.
     made = made.filter("shape is not null")
-    # Of each frequent shape the page of the smallest hash, found before any skeleton is moved.
+    # Of each shape the page of the smallest hash, found before any skeleton is moved.
     counted = made.groupBy("host", "shape").agg(F.count("*").alias("n"), F.min("h").alias("h"))
-    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "h")))
-    chosen = ranked.filter(F.col("rank") <= SHAPES).select("host", "shape", "h", "rank")
+    chosen = counted.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "h"))).drop("n")
+    part = F.floor((F.col("rank") - 1) / SHAPES).alias("part")
+    kinds = "host string, part bigint, model binary"
     models = (
         made.select("host", "shape", "h", "skeleton").join(chosen, ["host", "shape", "h"])
         .dropDuplicates(["host", "rank"])
-        .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "skeleton")))["skeleton"].alias("pages"))
-        .mapInArrow(_models, "host string, model binary").checkpoint()
+        .groupBy("host", part).agg(F.sort_array(F.collect_list(F.struct("rank", "skeleton")))["skeleton"].alias("pages"))
+        .mapInArrow(_layouts, kinds).checkpoint()
     )
+    while models.agg(F.max("part")).first()[0]:
+        # The parts of a host, several at a time, until each host has one.
+        few = models.groupBy("host", F.floor(F.col("part") / SHAPES).alias("next")).agg(
+            F.sort_array(F.collect_list(F.struct("part", "model")))["model"].alias("parts")
+        )
+        models = few.withColumnRenamed("next", "part").mapInArrow(_joined, kinds).checkpoint()
+    models = models.select("host", "model")
     votes = _dealt(made.select("host", "voter", "skeleton"), hot).join(_copied(models, hot), ["host", "part"]).mapInArrow(
         _votes, "host string, layout int, place int, voter bigint, words bigint"
     )
