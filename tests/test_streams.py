@@ -380,3 +380,16 @@ def test_relabel_on_a_stream_keeps_streaming(spark, tmp_path):
     put(tmp_path / "in", "0.csv", ["0,a"], 0)
     arriving = with_watermark(timed_stream(spark, tmp_path))
     assert relabel_double(tumbling_count(words(arriving), "ts", "10 seconds", ["word"])).isStreaming
+
+
+def test_large_micro_batches_have_a_file_for_every_core(spark, monkeypatch):
+    from tidemark.plans import catalog
+
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 10)
+    rows = spark.range(-7, 393).withColumnRenamed("id", "seq")
+    arriving, out = catalog._arriving(spark, "many_files", rows, "seq", 4)
+    batches = []
+    catalog.sinks.run_to_end(arriving, lambda df, _: batches.append(tuple(df.selectExpr("min(seq)", "max(seq)", "count(*)").first())), f"{out}/checkpoint")
+    assert batches == [(-7 + 100 * i, 92 + 100 * i, 100) for i in range(4)]
+    files = spark.read.parquet(f"{out.removesuffix('/out')}/in").inputFiles()
+    assert len(files) == 4 * max(catalog.FILES, min(10, spark.sparkContext.defaultParallelism))

@@ -70,8 +70,10 @@ WIDTH, WIDTH_MS = "6 hours", 6 * HOUR_MS
 DAY_MS = 24 * HOUR_MS
 # Lateness queries: windows of 6 h, a watermark 2 h behind, 2 h allowed lateness.
 BOUND_MS = LATENESS_MS = 2 * HOUR_MS
-# Slices of the order of arrival, each a micro-batch of a registered stream, in so many files.
+# Slices of the order of arrival, each a micro-batch of a registered stream, in so many files at least.
 SLICES, FILES = 8, 2
+# Rows of a file, until there is a file for every core.
+ROWS_PER_FILE = 8_000
 LATE_SLICES = 4
 
 
@@ -326,13 +328,20 @@ def _arriving(
     Every row is in one slice, whatever its number.
     """
     folder = _scratch(spark, name)
-    low, high = df.agg(F.min(seq), F.max(seq)).first()
-    place = F.floor((F.col(seq) - F.lit(low)) * slices / F.lit(high - low + 1)) if low is not None else F.lit(0)
+    low, high, rows = df.agg(F.min(seq), F.max(seq), F.count("*")).first()
+    # A task reads a file: large micro-batches are work for all cores.
+    files = max(FILES, min(spark.sparkContext.defaultParallelism, rows // slices // ROWS_PER_FILE))
     df = df.persist()
     for i in range(slices):
-        df.where(place == i).repartition(FILES).write.mode("append").parquet(f"{folder}/in")
+        if low is None:
+            inside = F.lit(i == 0)
+        else:
+            # Bounds of the numbers themselves: of the rows kept, only those near a slice are looked at.
+            first, last = (low - (low - high - 1) * k // slices for k in (i, i + 1))
+            inside = (F.col(seq) >= first) & (F.col(seq) < last)
+        df.where(inside).repartition(files).write.mode("append").parquet(f"{folder}/in")
     df.unpersist()
-    arriving = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
     return arriving, f"{folder}/out"
 
 
