@@ -265,6 +265,31 @@ def test_sampling_meets_the_weighted_jaccard_similarity():
     assert abs(same - expected) < 4 * math.sqrt(expected)
 
 
+def test_few_shingles_are_drawn(monkeypatch):
+    """Buckets equal those from all ranks, but of shingles below the usual weight only the lowest bounds are drawn."""
+    rng = np.random.default_rng(14)
+    sampler = icws.Sampler(100_000, np.empty(0, np.uint64), np.empty(0))
+    sizes = [1, 2, 3000, 40, 700, 1]
+    ids = np.concatenate([np.sort(rng.choice(1 << 40, n, replace=False)).astype(np.uint64) for n in sizes])
+    starts = np.cumsum([0, *sizes[:-1]])
+    held = rng.choice([1, 2, 3, 50, 900, 60_000], len(ids), p=[0.05, 0.25, 0.2, 0.2, 0.2, 0.1]).astype(float)
+    weights = sampler.weights(ids, 1 + (rng.random(len(ids)) < 0.02), held)
+    expected = np.zeros((len(sizes), icws.BANDS), np.uint64)
+    logs = np.log(weights).astype(np.float32)
+    with np.errstate(over="ignore"):
+        for k, (factor, r, log_c, beta, _, _) in enumerate(sampler._tables()):
+            at = (icws._mix(ids) * factor) >> np.uint64(64 - icws.TABLE_BITS)
+            rank, level = sampler._draw(r[at], log_c[at], beta[at], logs)
+            chosen = [start + int(np.argmin(rank[start : start + n])) for start, n in zip(starts, sizes, strict=True)]
+            sample = icws._mix(ids[chosen] * np.uint64(31) + level[chosen].astype(np.int64).astype(np.uint64))
+            band = k // icws.ROWS
+            expected[:, band] = icws._mix(expected[:, band] * np.uint64(0x9E3779B97F4A7C15) + sample + np.uint64(band + 1))
+    drawn, draw = [], icws.Sampler._draw
+    monkeypatch.setattr(icws.Sampler, "_draw", lambda self, r, *rest: (drawn.append(len(r)), draw(self, r, *rest))[1])
+    assert (sampler.bands(ids, weights, starts) == expected).all()
+    assert sum(drawn) < 0.2 * icws.BANDS * icws.ROWS * len(ids)
+
+
 def test_frequent_shingles_are_counted_exactly(spark):
     texts = [f"one two three four five six {i}" if i % 4 == 0 else f"u{i} v{i} w{i} x{i} y{i} z{i}" for i in range(400)]
     total, frequent, holders = icws.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(7))

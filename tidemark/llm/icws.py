@@ -54,6 +54,10 @@ PORTION, SHARD_CHARS = 1 << 20, 1 << 23
 TASK_CHARS = 1 << 24
 # Nodes whose texts may be looked up by a broadcast of their hashes (16 bytes each).
 BROADCAST_NODES = 500_000
+# Powers that a task keeps: bytes of a usual group of texts.
+KEPT_POWERS = 1 << 20
+# How far above a text's lowest bound a rank is looked at first.
+SLACK = np.float32(0.25)
 _P = np.uint64(0x100000001B3)
 _ID_BITS = 54
 
@@ -64,11 +68,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-    return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, p)])) for p in (_P, inverse))
+class _Powers:
+    """Powers of ``_P`` and of its inverse; those for a usual group of texts are made once. They don't travel."""
 
+    def __init__(self) -> None:
+        self.kept: tuple[np.ndarray, np.ndarray] | None = None
 
+    def __reduce__(self) -> tuple:
+        return _Powers, ()
+
+    def made(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
+        return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, p)])) for p in (_P, inverse))
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """``n`` at least."""
+        if n > KEPT_POWERS:
+            return self.made(n)
+        if self.kept is None:
+            self.kept = self.made(KEPT_POWERS)
+        return self.kept
+
+
+_POWERS = _Powers()
 _WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
 
@@ -76,21 +98,26 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """A hash for every word of the texts, and the number of its text."""
     parts = [t.lower().encode() + b"\n" for t in texts]
     raw = np.frombuffer(b"".join(parts), np.uint8)
-    inside = _WORD[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    # Texts end in a line feed, so a byte that is in no word is before the first and after the last.
+    inside = np.concatenate([[False], _WORD[raw]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edge[::2], edge[1::2]
-    powers, inverses = _powers(len(raw))
+    powers, inverses = _POWERS.first(len(raw))
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        scaled = raw.astype(np.uint64)
+        scaled += np.uint64(1)
+        scaled *= powers[: len(raw)]
+        np.cumsum(scaled, out=sums[1:])
         hashes = _mix((sums[last] - sums[first]) * inverses[first] + (last - first).astype(np.uint64))
     ends = np.cumsum([len(p) for p in parts])
     return hashes, np.searchsorted(ends, first, side="right")
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``ids, counts`` of the distinct shingles, ascending within each text; ``starts`` of the
-    texts in them (of texts with a word, ``present``)."""
-    words, owner = word_hashes(texts)
+    texts in them (of texts with a word, ``present``). ``hashed``: the texts' ``word_hashes``."""
+    words, owner = hashed or word_hashes(texts)
     scale = [_mix(np.array([k + 1], np.uint64))[0] | np.uint64(1) for k in range(SIZE)]
     ids, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     with np.errstate(over="ignore"):
@@ -247,34 +274,63 @@ class Sampler:
         return self.tables
 
     def bands(self, ids: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """``[texts, BANDS]`` bucket keys."""
+        """``[texts, BANDS]`` bucket keys.
+
+        A rank does not rise with the weight. So for shingles below the usual weight the usual rank, which is in a
+        table, is a lower bound; only those whose bound is near the lowest of their text are drawn. The lowest
+        rank is exact: a text where it is above what was looked at is looked at again, up to there.
+        """
         sizes = np.diff(np.concatenate([starts, [len(ids)]]))
-        odd = np.flatnonzero(weights != self.usual)
-        log_odd = np.log(weights[odd]).astype(np.float32)
+        heavy = np.flatnonzero(weights > self.usual)
+        log_heavy = np.log(weights[heavy]).astype(np.float32)
+        slack = SLACK if (weights < self.usual).any() else np.float32(0)
         out = np.zeros((len(starts), BANDS), np.uint64)
         with np.errstate(over="ignore"):
             mixed = _mix(ids)
+            place, bound = np.empty_like(mixed), np.empty(len(ids), np.float32)
             for k, (factor, r, log_c, beta, usual_rank, usual_level) in enumerate(self._tables()):
-                at = ((mixed * factor) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-                rank = usual_rank[at]
-                if len(odd):
-                    a = at[odd]
-                    odd_rank, odd_level = self._draw(r[a], log_c[a], beta[a], log_odd)
-                    rank[odd] = odd_rank
-                low = np.minimum.reduceat(rank, starts)
+
+                def drawn(chosen: np.ndarray, at: np.ndarray, usual: np.ndarray, which: int) -> np.ndarray:
+                    odd = np.flatnonzero(weights[chosen] != self.usual)
+                    if len(odd):
+                        a = at[odd]
+                        usual[odd] = self._draw(r[a], log_c[a], beta[a], np.log(weights[chosen[odd]]).astype(np.float32))[which]
+                    return usual
+
+                np.multiply(mixed, factor, out=place)
+                np.right_shift(place, np.uint64(64 - TABLE_BITS), out=place)
+                at = place.view(np.int64)
+                np.take(usual_rank, at, out=bound, mode="clip")
+                if len(heavy):
+                    a = at[heavy]
+                    bound[heavy] = self._draw(r[a], log_c[a], beta[a], log_heavy)[0]
+                top = np.minimum.reduceat(bound, starts) + slack
+                near = np.flatnonzero(bound <= np.repeat(top, sizes))
+                rank = drawn(near, at[near], bound[near], 0)
+                first = np.searchsorted(near, starts)
+                low = np.minimum.reduceat(rank, first)
+                high = np.flatnonzero(low > top)
+                if len(high):
+                    again = [np.flatnonzero(bound[starts[t] : starts[t] + sizes[t]] <= low[t]) + starts[t] for t in high]
+                    # A place that comes twice changes nothing.
+                    near = np.sort(np.concatenate([near, *again]))
+                    rank = drawn(near, at[near], bound[near], 0)
+                    first = np.searchsorted(near, starts)
+                    low = np.minimum.reduceat(rank, first)
                 # The smallest shingle among those of the lowest rank.
-                lowest = np.flatnonzero(rank == np.repeat(low, sizes))
+                lowest = near[rank == np.repeat(low, np.diff(np.concatenate([first, [len(near)]])))]
                 chosen = lowest[np.searchsorted(lowest, starts)]
-                level = usual_level[at[chosen]].astype(np.int64)
-                if len(odd):
-                    where = np.minimum(np.searchsorted(odd, chosen), len(odd) - 1)
-                    level = np.where(odd[where] == chosen, odd_level[where].astype(np.int64), level)
+                level = drawn(chosen, at[chosen], usual_level[at[chosen]].astype(np.int64), 1)
                 sample = _mix(ids[chosen] * np.uint64(31) + level.astype(np.uint64))
                 band = k // ROWS
                 out[:, band] = _mix(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + sample + np.uint64(band + 1))
         return out
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Whole numbers, their low bytes first and compressed: small numbers cost what they need."""
     return zlib.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
@@ -285,9 +341,9 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
-def _nodes(texts: list[str]) -> np.ndarray:
-    """The hash of each text's words in order; 0 without a word."""
-    words, owner = word_hashes(texts)
+def _nodes(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The hash of each text's words in order; 0 without a word. ``hashed``: the texts' ``word_hashes``."""
+    words, owner = hashed or word_hashes(texts)
     node = np.zeros(len(texts), np.uint64)
     if len(words):
         with np.errstate(over="ignore"):
@@ -306,7 +362,7 @@ def _asked(sampler: Sampler, bits: int) -> Callable[[Iterator[pa.RecordBatch]],
     def portion(number: int, docs: list[tuple], ids: np.ndarray) -> Iterator[tuple]:
         doc_id, text_hash, texts = zip(*docs, strict=True)
         raw = [t.encode() for t in texts]
-        data = zlib.compress(b"".join(raw), 5)
+        data = _codec().compress(b"".join(raw), asbytes=True)
         yield (number, number, None, None, None, list(doc_id), list(text_hash), [len(r) for r in raw], data)
         ids, n = np.unique(ids, return_counts=True)
         rare = sampler.known(ids) == 0
@@ -363,23 +419,26 @@ def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
         doc_id, text_hash, node, bands, held = [], [], [], [], []
         for row in own.to_pylist():
             doc_id, text_hash = row["doc_id"], row["text_hash"]
-            raw, ends = zlib.decompress(row["texts"]), np.cumsum([0, *row["length"]]).tolist()
+            ends = np.cumsum([0, *row["length"]]).tolist()
+            raw = _codec().decompress(row["texts"], ends[-1], asbytes=True)
             texts = [raw[start:end].decode() for start, end in zip(ends, ends[1:], strict=False)]
             parts = [part for first in range(0, len(texts), 500) for _, part in groups(texts[first : first + 500], 1 << 19)]
-            cut = [shingles(part) for part in parts]
-            ids = np.unique(np.concatenate([c[0] for c in cut]))
+            hashed = [word_hashes(part) for part in parts]
+            cut = [shingles(part, words) for part, words in zip(parts, hashed, strict=True)]
+            # The place of each shingle among all; looking them up one by one takes ten times as long.
+            ids, places = np.unique(np.concatenate([c[0] for c in cut]), return_inverse=True)
             holders = sampler.known(ids)
             told = [_unpacked(data) for data in answers.sort_by("shard").column("held").to_pylist()]
             told = np.concatenate([np.empty(0, np.uint64), *told])
             if len(told) != np.count_nonzero(holders == 0):
                 raise ValueError("a portion of texts was not the same when it was read again")
             holders[holders == 0] = told
-            for part, (own_ids, counts, starts, present) in zip(parts, cut, strict=True):
-                node += _nodes(part).astype(np.int64).tolist()
+            ends = np.cumsum([len(c[0]) for c in cut])[:-1]
+            for part, words, (own_ids, counts, starts, present), own_held in zip(parts, hashed, cut, np.split(holders[places], ends), strict=True):
+                node += _nodes(part, words).astype(np.int64).tolist()
                 keys: list = [[] for _ in part]
                 packed = [_packed(told[:0])] * len(part)
                 if len(own_ids):
-                    own_held = holders[np.searchsorted(ids, own_ids)]
                     made = sampler.bands(own_ids, sampler.weights(own_ids, counts, own_held), starts).astype(np.int64)
                     for text, of_text, row_held in zip(present.tolist(), made.tolist(), np.split(own_held, starts[1:]), strict=True):
                         keys[text], packed[text] = of_text, _packed(row_held)
