@@ -384,6 +384,29 @@ def line_docs():
     return out + [(70, None), (71, ""), (72, "short\nshort\nshort"), (73, out[0][1]), (74, "\n".join([common[0]] * 2000))]
 
 
+def test_a_line_is_summed_by_itself(spark):
+    """Sixteen sums give the bits that 64 give, for few and for the most features, however often a line is there."""
+    rng = random.Random(15)
+    sizes = [1, 2, 3, 7, 64, 255, 256, 1000, lines.LANE - 1, lines.LANE]
+    rows = [(n, n, [rng.randrange(-(1 << 63), 1 << 63) | (n % 7) for _ in range(n)]) for n in sizes] + [(-k, -k, [k] * lines.LANE) for k in (1, 2)]
+    words = spark.createDataFrame(rows + rows[:4] * 50, "raw bigint, node bigint, features array<bigint>").repartition(3)
+    made = lines.line_simhash(words)
+    expected = lines.simhash(words.select("raw", F.explode("features").alias("feature")), "raw", "feature")
+    assert {(r.raw, r.node): r.bits for r in made.collect()} == {(r.raw, r.raw): r.bits for r in expected.collect()}
+    assert made.count() == len(rows) and {r.raw: r.bits for r in made.collect() if r.raw < 0} == {-1: 1, -2: 2}
+
+
+def test_longest_lines_and_rows_moved_once(spark):
+    long, dotted = " ".join(f"w{k}" for k in range(lines.LANE + 50)), "\u0130" * (lines.LANE + 50)
+    rows = [(1, f"{long}\n{dotted}"), (2, f"one line of five words\n{long}"), (3, f"{dotted}\nsome other line of six words")]
+    made = lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kept = {r.row.doc_id: r.kept_text for r in made.collect()}
+    assert kept == {1: rows[0][1], 2: "one line of five words", 3: "some other line of six words"}
+    # The text is shuffled in its row only.
+    beside = re.findall(r"AS row#\d+(, .*)", made._jdf.queryExecution().optimizedPlan().toString())
+    assert beside and all("text#" not in re.sub(r"xxhash64\([^)]*\)", "", b) for b in beside)
+
+
 def test_fuzzy_lines(spark):
     rows = line_docs()
     docs = spark.createDataFrame([(*r, 1, "p") for r in rows], "doc_id bigint, text string, places int, row string")

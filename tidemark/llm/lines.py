@@ -37,6 +37,8 @@ EDITS = 10
 BITS, BLOCKS, EQUAL = 64, 6, 3
 # Characters of the grams by which large buckets are cut.
 GRAM = 5
+# Features of a line whose bits are summed in lanes of 16 bits; the upper two stay free, for the majority and the sign.
+LANE = 16_383
 # Turns of stars before the rest is settled; the rare grams settle it at little cost.
 TURNS = 3
 # Limits for which Spark works on a band of the table of distances.
@@ -68,6 +70,22 @@ def simhash(hashed: DataFrame, key: str, feature: str) -> DataFrame:
     return summed.select(key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("bits"))
 
 
+def line_simhash(words: DataFrame) -> DataFrame:
+    """``raw, node, bits`` of rows ``raw, node, features``, each with at most ``LANE`` of the latter.
+
+    Each row is summed by itself, four bits side by side in a long: 16 sums a row are shuffled, not 64.
+    """
+    # Numbered before the features are rows; in one step with them, each of these would have its own number.
+    each = words.withColumn("line", F.monotonically_increasing_id()).select("raw", "node", "line", F.explode("features").alias("feature"))
+    lanes = F.lit(0x0001000100010001)
+    sums = [F.sum(F.shiftrightunsigned("feature", k).bitwiseAND(lanes)).alias(f"_sum{k}") for k in range(16)]
+    summed = each.groupBy("line", "raw", "node").agg(F.count("*").alias("_features"), *sums)
+    # What a majority lacks to the free bit is added in each lane, so that bit says whether it is one.
+    lack = (LANE - F.floor(F.col("_features") / 2)) * lanes
+    bits = [F.shiftleft(F.shiftrightunsigned(F.col(f"_sum{k}") + lack, 14).bitwiseAND(lanes), k) for k in range(16)]
+    return summed.select("raw", "node", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("bits")).distinct()
+
+
 def _block(bits: Column, at: int) -> Column:
     first, last = at * BITS // BLOCKS, (at + 1) * BITS // BLOCKS
     return F.shiftrightunsigned(bits, first).bitwiseAND(F.lit((1 << (last - first)) - 1))
@@ -126,13 +144,20 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``docs`` has ``doc_id`` and ``text``. Lines of one root are similar or equal.
     """
     places = _split(docs).drop("line").checkpoint()
-    # An exploded array of one: what follows uses the normalised line, not its expression.
-    norm = _split(docs).select("raw", F.explode(F.array(normalised(F.col("line")))).alias("norm"))
-    worded = norm.filter(F.substring_index("norm", " ", MIN_WORDS - 1) != F.col("norm"))
-    # One pass gives each distinct line the hash of its words, the node, and its SimHash.
-    words = worded.select("raw", F.xxhash64("norm").alias("node"), F.explode(features(F.split("norm", " "))).alias("feature"))
-    hashed = simhash(words.select(F.struct("raw", "node").alias("line"), "feature"), "line", "feature")
-    known = hashed.select("line.raw", "line.node", "bits").checkpoint()
+
+    def featured(docs: DataFrame) -> DataFrame:
+        # An exploded array of one: what follows uses the normalised line, not its expression.
+        norm = _split(docs).select("raw", F.explode(F.array(normalised(F.col("line")))).alias("norm"))
+        worded = norm.filter(F.substring_index("norm", " ", MIN_WORDS - 1) != F.col("norm"))
+        return worded.select("raw", F.xxhash64("norm").alias("node"), F.explode(F.array(features(F.split("norm", " ")))).alias("features"))
+
+    # One pass gives each distinct line the hash of its words, the node, and its SimHash. Only a text of more than
+    # ``LANE`` characters can have a line of more features; of these lines 64 sums are shuffled. (A dotted capital I is a
+    # word in lower case, since its dot is no letter.)
+    hashed = line_simhash(featured(docs).filter(F.size("features") <= LANE))
+    longer = featured(docs.filter(F.length("text") > LANE)).filter(F.size("features") > LANE)
+    longer = simhash(longer.select(F.struct("raw", "node").alias("line"), F.explode("features").alias("feature")), "line", "feature")
+    known = hashed.union(longer.select("line.raw", "line.node", "bits")).checkpoint()
     nodes = known.groupBy("node").agg(F.min("bits").alias("bits"), F.min("raw").alias("raw")).checkpoint()
     members = shared_buckets(nodes.select("node", F.explode(buckets(F.col("bits"))).alias("bucket"))).checkpoint()
     # One occurrence of each candidate gives its text; only the texts that hold one are cut.
@@ -187,16 +212,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``row`` (the input's columns), ``kept_text``, ``n_lines`` and ``n_dropped``."""
     plain = docs.select("doc_id", "text")
     drop = repeated_lines(plain).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "places")
-    rows = as_row(docs, doc_id=F.col("doc_id"), text=F.col("text"), text_hash=F.xxhash64("text"))
+    # The text is moved once, in its row.
+    rows = as_row(docs, doc_id=F.col("doc_id"), text_hash=F.xxhash64("text"))
     joined = rows.join(drop, rows["doc_id"].eqNullSafe(drop["id"]) & (rows["text_hash"] == drop["hash"]), "left")
     lines = F.col("lines")
-    joined = joined.withColumn("lines", F.split("text", "\n"))
+    text = F.col("row.text")
+    joined = joined.withColumn("lines", F.split(text, "\n"))
     # Dropped lines become missing ones, by one walk over the sorted places: a long text may
     # hold many, so looking each line up in a list would be quadratic.
     gaps = F.transform(F.concat(F.array(F.lit(-1)), F.sort_array("places")), lambda p: p + 1)
     ends = F.concat(F.sort_array("places"), F.array(F.size(lines)))
     stretches = F.zip_with(gaps, ends, lambda start, end: F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))))
-    kept = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(stretches), "\n"))
+    kept = F.when(F.col("places").isNull(), text).otherwise(F.array_join(F.flatten(stretches), "\n"))
     return joined.select(
         "row",
         kept.alias("kept_text"),
