@@ -145,17 +145,18 @@ def line_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     places = _split(docs).drop("line").checkpoint()
 
-    def featured(docs: DataFrame) -> DataFrame:
+    def featured(split: DataFrame) -> DataFrame:
         # An exploded array of one: what follows uses the normalised line, not its expression.
-        norm = _split(docs).select("raw", F.explode(F.array(normalised(F.col("line")))).alias("norm"))
+        norm = split.select("raw", F.explode(F.array(normalised(F.col("line")))).alias("norm"))
         worded = norm.filter(F.substring_index("norm", " ", MIN_WORDS - 1) != F.col("norm"))
         return worded.select("raw", F.xxhash64("norm").alias("node"), F.explode(F.array(features(F.split("norm", " ")))).alias("features"))
 
-    # One pass gives each distinct line the hash of its words, the node, and its SimHash. Only a text of more than
-    # ``LANE`` characters can have a line of more features; of these lines 64 sums are shuffled. (A dotted capital I is a
+    # One pass gives each distinct line the hash of its words, the node, and its SimHash. Only a line of more than
+    # ``LANE`` characters can have more features; of these lines 64 sums are shuffled. (A dotted capital I is a
     # word in lower case, since its dot is no letter.)
-    hashed = line_simhash(featured(docs).filter(F.size("features") <= LANE))
-    longer = featured(docs.filter(F.length("text") > LANE)).filter(F.size("features") > LANE)
+    hashed = line_simhash(featured(_split(docs)).filter(F.size("features") <= LANE))
+    longer = _split(docs.filter(F.length("text") > LANE)).filter(F.length("line") > LANE)
+    longer = featured(longer).filter(F.size("features") > LANE)
     longer = simhash(longer.select(F.struct("raw", "node").alias("line"), F.explode("features").alias("feature")), "line", "feature")
     known = hashed.union(longer.select("line.raw", "line.node", "bits")).checkpoint()
     nodes = known.groupBy("node").agg(F.min("bits").alias("bits"), F.min("raw").alias("raw")).checkpoint()
