@@ -236,6 +236,51 @@ def test_texts_that_share_too_little_are_not_grouped(spark, monkeypatch):
     assert given == [2]
 
 
+def test_copies_in_a_large_group_are_found(spark):
+    """The same four edits of 200 words leave a copy in a group of 60 as in a group of two, though there the frequencies
+    of what the copies share are higher."""
+    rng = random.Random(16)
+
+    def copy(base):
+        out = list(base)
+        for at in range(rng.randrange(10, 40), 200, 45)[:4]:
+            out[at] = f"x{rng.randrange(10**9)}"
+        return out
+
+    large, small = ([f"{kind}{rng.randrange(10**9)}" for _ in range(200)] for kind in "ls")
+    texts = [" ".join(t) for t in [large, *(copy(large) for _ in range(60)), small, copy(small)]]
+    texts += [" ".join(f"u{rng.randrange(10**9)}" for _ in range(40)) for _ in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = {r.doc_id: r.class_id for r in icws.near_duplicates(docs).collect()}
+    assert made == {i: 0 if i <= 60 else 61 if i == 62 else i for i in range(len(texts))}
+    # By weights alone, no copy in the large group is similar to another or to what it is a copy of.
+    counts = [Counter(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in texts]
+    held = Counter(s for c in counts for s in c)
+    weights = [{s: n * (1 + math.log10((len(texts) + 1) / (held[s] + 1))) for s, n in c.items()} for c in counts[:61]]
+    for i, a in enumerate(weights):
+        for b in weights[:i]:
+            common = sum(min(v, b[s]) for s, v in a.items() if s in b)
+            assert common < 0.8 * (sum(a.values()) + sum(b.values()) - common)
+
+
+def test_buckets_by_counts_meet_the_jaccard_similarity():
+    rng = random.Random(17)
+    same = expected = 0
+    for size, repeats, edits in [(300, 1, 6), (60, 9, 25), (4, 1, 1), (2, 30, 3)] * 25:
+        a = [f"w{rng.randrange(10**6)}" for _ in range(size)] * repeats
+        b = list(a)
+        for _ in range(edits):
+            b[rng.randrange(len(b))] = f"x{rng.randrange(10**6)}"
+        x, y = (Counter(zip(*[t[k:] for k in range(5)], strict=False)) if len(t) >= 5 else Counter([tuple(t)]) for t in (a, b))
+        common = (x & y).total()
+        ids, counts, starts, _ = icws.shingles([" ".join(a), " ".join(b), "other words"])
+        bands = icws.plain_bands(ids, counts, starts)
+        assert bands.shape == (3, icws.BANDS) and not (bands[:2] == bands[2]).any()
+        same += (bands[0] == bands[1]).sum()
+        expected += icws.BANDS * (common / ((x | y).total())) ** icws.ROWS
+    assert abs(same - expected) < 4 * math.sqrt(expected)
+
+
 def test_near_duplicates_defined_results(spark):
     schema = "doc_id bigint, text string"
     assert icws.near_duplicates(spark.createDataFrame([], schema)).count() == 0
@@ -296,6 +341,14 @@ def test_frequent_shingles_are_counted_exactly(spark):
     assert (total, len(frequent), holders.tolist()) == (400, 2, [100.0, 100.0])
 
 
+def test_a_text_counts_once_for_a_frequent_shingle(spark):
+    texts = [" ".join(["a b c d e f"] * (1 + i % 5)) if i % 2 else f"u{i} v{i} w{i} x{i} y{i}" for i in range(100)] + [None, "a b"]
+    total, frequent, holders = icws.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    true = Counter(s for t in texts for s in icws.shingles([t or ""])[0].tolist())
+    assert total == 102 and dict(zip(frequent.tolist(), holders.tolist(), strict=True)) == {s: n for s, n in true.items() if n * 10 >= 102}
+    assert sorted(holders)[-2:] == [50, 50]
+
+
 def test_candidates_do_not_grow_with_partitions_or_order(spark):
     """Few texts in many partitions, and copies side by side, send no more shingles to the driver."""
     rng = random.Random(5)

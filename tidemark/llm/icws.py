@@ -16,10 +16,15 @@ shingle, however rare or frequent. All counts are exact:
 
 Sampling: for each of 80 hashes, ICWS draws one (shingle, level) of a text; two texts draw the
 same with a probability equal to their weighted Jaccard similarity. 16 bands of 5 samples
-make the buckets: texts of similarity 0.8 share one with probability 0.998. Candidates are
-verified by their exact weighted Jaccard similarity. The random numbers of a shingle
+make the buckets: texts of similarity 0.8 share one with probability 0.998. The random numbers of a shingle
 come from fixed tables of 65,536 entries for each hash.
 
+The more copies a text has, the more documents hold its shingles and the less these weigh against the edits of
+a copy: by weights alone, the same edit takes a copy out of a large group and not out of a small one, the more so the
+more documents there are. So 16 bands of 5 samples that leave the frequencies out (minwise hashes of the shingles with their
+counts) make buckets too, and candidates are verified by both exact similarities: two texts are
+similar if the weighted Jaccard similarity, or that of the counts alone, is 0.8.
+
 Texts with the same words are one node from the start. Nodes are 64-bit hashes.
 
 Defined results: a missing text counts as empty; texts without a word are copies of one
@@ -52,6 +57,8 @@ TABLE_BITS = 16
 PORTION, SHARD_CHARS = 1 << 20, 1 << 23
 # Characters of texts that a task samples.
 TASK_CHARS = 1 << 24
+# Classes of shingles, by the last bits of their hashes, whose counts bound what two texts can have in common.
+CLASSES = 16
 # Nodes whose texts may be looked up by a broadcast of their hashes (16 bytes each).
 BROADCAST_NODES = 500_000
 # Powers that a task keeps: bytes of a usual group of texts.
@@ -114,9 +121,8 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(ends, first, side="right")
 
 
-def shingles(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``ids, counts`` of the distinct shingles, ascending within each text; ``starts`` of the
-    texts in them (of texts with a word, ``present``). ``hashed``: the texts' ``word_hashes``."""
+def _cut(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of the texts, repeated ones too, and the numbers of their texts."""
     words, owner = hashed or word_hashes(texts)
     scale = [_mix(np.array([k + 1], np.uint64))[0] | np.uint64(1) for k in range(SIZE)]
     ids, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
@@ -135,7 +141,14 @@ def shingles(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = No
             own = words[np.searchsorted(owner, text) :][: n_words[text]]
             ids.append(_mix(np.array([sum(int(w) * int(s) for w, s in zip(own, scale, strict=False)) + len(own) & (1 << 64) - 1], np.uint64)))
             of.append(np.array([text]))
-    keys = np.sort((np.concatenate(of).astype(np.uint64) << np.uint64(_ID_BITS)) | (np.concatenate(ids) >> np.uint64(64 - _ID_BITS)))
+    return np.concatenate(ids) >> np.uint64(64 - _ID_BITS), np.concatenate(of).astype(np.uint64)
+
+
+def shingles(texts: list[str], hashed: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``ids, counts`` of the distinct shingles, ascending within each text; ``starts`` of the
+    texts in them (of texts with a word, ``present``). ``hashed``: the texts' ``word_hashes``."""
+    ids, of = _cut(texts, hashed)
+    keys = np.sort((of << np.uint64(_ID_BITS)) | ids)
     if not len(keys):
         return keys, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -221,10 +234,18 @@ def frequencies(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(wanted), np.int64)
+        # Most shingles are none of these, as their lowest bits tell; only the others are looked up.
+        low = np.uint64((1 << TABLE_BITS) - 1)
+        ends = np.zeros(1 << TABLE_BITS, bool)
+        ends[(wanted & low).astype(np.int64)] = True
         for _, part in _texts(batches):
-            ids, _, _, _ = shingles(part)
+            ids, of = _cut(part)
+            can = ends[(ids & low).view(np.int64)]
+            ids, of = ids[can], of[can].astype(np.int64)
             at = np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)
-            n += np.bincount(at[wanted[at] == ids], minlength=len(wanted))
+            hit = wanted[at] == ids
+            # A text counts once, however often it has the shingle.
+            n += np.bincount(np.unique(of[hit] * len(wanted) + at[hit]) % len(wanted), minlength=len(wanted))
         yield pa.RecordBatch.from_pydict({"shingle": wanted.astype(np.int64), "n": n})
 
     counted = texts.mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -327,6 +348,34 @@ class Sampler:
         return out
 
 
+def plain_bands(ids: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``[texts, BANDS]`` bucket keys by counts alone: the k-th of equal shingles is an element of its own, and two texts
+    have the same lowest element with a probability equal to the Jaccard similarity of their counts."""
+    random = np.random.Generator(np.random.PCG64(20240608))
+    factors = random.integers(1 << 31, size=BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+    out = np.zeros((len(starts), BANDS), np.uint64)
+    more = np.flatnonzero(counts > 1)
+    extra = counts[more] - 1
+    first = np.cumsum(extra) - extra
+    with np.errstate(over="ignore"):
+        nth = (np.arange(extra.sum()) - np.repeat(first, extra) + 1).astype(np.uint64)
+        again = (_mix(np.repeat(ids[more], extra) + _mix(nth)) >> np.uint64(32)).astype(np.uint32)
+        once = (_mix(ids) >> np.uint64(32)).astype(np.uint32)
+        # Where the repeated ones of each text that has any begin.
+        holders, at = np.unique(np.searchsorted(starts, more, side="right") - 1, return_index=True)
+        begin = first[at]
+        hashes, repeated = np.empty_like(once), np.empty_like(again)
+        for k, factor in enumerate(factors):
+            np.multiply(once, factor, out=hashes)
+            low = np.minimum.reduceat(hashes, starts)
+            if len(again):
+                np.multiply(again, factor, out=repeated)
+                low[holders] = np.minimum(low[holders], np.minimum.reduceat(repeated, begin))
+            band = k // ROWS
+            out[:, band] = _mix(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + low.astype(np.uint64) + np.uint64(BANDS + band + 1))
+    return out
+
+
 def _codec() -> pa.Codec:
     return pa.Codec("zstd", compression_level=3)
 
@@ -412,11 +461,11 @@ def _answers(asked: pa.Table) -> pa.Table:
 
 
 def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """A portion's documents with their bands and, packed, how many documents hold each of their shingles."""
+    """A portion's documents with their bands of both kinds and, packed, how many documents hold each of their shingles."""
 
     def run(asked: pa.Table, answers: pa.Table) -> pa.Table:
         own = asked.filter(asked.column("shard").is_null())
-        doc_id, text_hash, node, bands, held = [], [], [], [], []
+        doc_id, text_hash, node, bands, plain, held = [], [], [], [], [], []
         for row in own.to_pylist():
             doc_id, text_hash = row["doc_id"], row["text_hash"]
             ends = np.cumsum([0, *row["length"]]).tolist()
@@ -437,25 +486,28 @@ def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
             for part, words, (own_ids, counts, starts, present), own_held in zip(parts, hashed, cut, np.split(holders[places], ends), strict=True):
                 node += _nodes(part, words).astype(np.int64).tolist()
                 keys: list = [[] for _ in part]
+                plain_keys: list = [[] for _ in part]
                 packed = [_packed(told[:0])] * len(part)
                 if len(own_ids):
                     made = sampler.bands(own_ids, sampler.weights(own_ids, counts, own_held), starts).astype(np.int64)
-                    for text, of_text, row_held in zip(present.tolist(), made.tolist(), np.split(own_held, starts[1:]), strict=True):
-                        keys[text], packed[text] = of_text, _packed(row_held)
+                    other = plain_bands(own_ids, counts, starts).astype(np.int64)
+                    for text, of_text, of_counts, row_held in zip(present.tolist(), made.tolist(), other.tolist(), np.split(own_held, starts[1:]), strict=True):
+                        keys[text], plain_keys[text], packed[text] = of_text, of_counts, _packed(row_held)
                 bands += keys
+                plain += plain_keys
                 held += packed
         return pa.table(
             [pa.array(doc_id, asked.schema.field("doc_id").type.value_type), pa.array(text_hash, pa.int64()), pa.array(node, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(held, pa.binary())],
-            names=["doc_id", "text_hash", "node", "bands", "held"],
+             pa.array(bands, pa.list_(pa.int64())), pa.array(plain, pa.list_(pa.int64())), pa.array(held, pa.binary())],
+            names=["doc_id", "text_hash", "node", "bands", "plain", "held"],
         )
 
     return run
 
 
 def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """``doc_id, text_hash, node, bands, held`` of every document; empty bands without a word. ``held`` is how many
-    documents hold each of its shingles, in their order, packed."""
+    """``doc_id, text_hash, node, bands, plain, held`` of every document; empty bands without a word. ``plain`` are the
+    bands by counts alone; ``held`` is how many documents hold each of its shingles, in their order, packed."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = (chars // SHARD_CHARS).bit_length()
@@ -469,11 +521,12 @@ def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
     # One shuffle by key serves both: shards get what they are asked, portions wait there for the answers.
     answered = asked.groupBy("key").applyInArrow(_answers, "key bigint, shard int, held binary")
     both = asked.groupBy("key").cogroup(answered.groupBy("key"))
-    return both.applyInArrow(_sampled(sampler), f"doc_id {id_type}, text_hash bigint, node bigint, bands array<bigint>, held binary")
+    return both.applyInArrow(_sampled(sampler), f"doc_id {id_type}, text_hash bigint, node bigint, bands array<bigint>, plain array<bigint>, held binary")
 
 
 def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
-    """``node, info``: each text's weight, and that of its shingles that another text here has too."""
+    """``node, info``: each text's weight, and that of its shingles that another text here has too; ``n, n_shared``: the
+    same of their counts alone; ``parts``: the latter by classes of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, part in _texts(batches):
@@ -482,31 +535,51 @@ def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
                 held = np.concatenate([_unpacked(h) for h in rows.column("held").to_pylist()]).astype(float)
                 sizes = np.diff(np.concatenate([starts, [len(ids)]]))
                 nodes = np.repeat(rows.column("node").to_numpy()[present], sizes)
-                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": sampler.weights(ids, counts, held)})
+                weights = sampler.weights(ids, counts, held)
+                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": weights, "count": counts})
+
+    rows = texts.select("node", "text", "held").mapInArrow(run, "shingle bigint, node bigint, weight double, count bigint")
+
+    def by_class(name: str) -> list[Column]:
+        of = F.col("shingle").bitwiseAND(CLASSES - 1)
+        return [F.sum(F.when(of == k, F.col("count")).otherwise(0)).alias(f"{name}_{k}") for k in range(CLASSES)]
 
-    rows = texts.select("node", "text", "held").mapInArrow(run, "shingle bigint, node bigint, weight double")
-    whole = rows.groupBy("node").agg(F.sum("weight").alias("weight"))
-    single = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.max("weight").alias("weight"))
-    own = single.filter("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
+    whole = rows.groupBy("node").agg(F.sum("weight").alias("weight"), F.sum("count").alias("n"), *by_class("all"))
+    single = rows.groupBy("shingle").agg(
+        F.count("*").alias("holders"), F.min("node").alias("node"), F.max("weight").alias("weight"), F.max("count").alias("count")
+    )
+    own = single.filter("holders = 1").groupBy("node").agg(F.sum("weight").alias("own"), F.sum("count").alias("n_own"), *by_class("own"))
     shared = F.col("weight") - F.coalesce("own", F.lit(0.0))
-    return whole.join(own, "node", "left").select("node", F.struct("weight", shared.alias("shared")).alias("info"))
+    n_shared = F.col("n") - F.coalesce("n_own", F.lit(0))
+    parts = F.array(*[F.col(f"all_{k}") - F.coalesce(f"own_{k}", F.lit(0)) for k in range(CLASSES)])
+    info = F.struct("weight", shared.alias("shared"), "n", n_shared.alias("n_shared"), parts.alias("parts"))
+    return whole.join(own, "node", "left").select("node", info.alias("info"))
 
 
 def _can_be_similar(x: Column, y: Column) -> Column:
-    """Two texts have no more in common than either shares with any text at all. So copies with
-    too many edits of their own need no comparison, and no link is lost."""
-    common = F.least(x["shared"], y["shared"])
-    return common >= THRESHOLD / (1 + THRESHOLD) * (x["weight"] + y["weight"]) * (1 - 1e-9)
+    """Two texts have no more in common than either shares with any text at all, by weight or by count, and that in each
+    class of shingles. So copies with too many edits of their own need no comparison, and no link is lost."""
+
+    def enough(common: Column, whole: str) -> Column:
+        return common >= THRESHOLD / (1 + THRESHOLD) * (x[whole] + y[whole]) * (1 - 1e-9)
+
+    by_weight = enough(F.least(x["shared"], y["shared"]), "weight")
+    by_class = F.aggregate(F.zip_with(x["parts"], y["parts"], lambda p, q: F.least(p, q)), F.lit(0).cast("bigint"), lambda total, least: total + least)
+    return by_weight | (enough(F.least(x["n_shared"], y["n_shared"]), "n") & enough(by_class, "n"))
 
 
 def _has_similar(x: Column) -> Column:
-    """Whether a text can be similar to any at all: what two similar texts have in common weighs at least
-    ``THRESHOLD`` of either. A text of which less is shared keeps buckets open for no link."""
-    return x["shared"] >= THRESHOLD * x["weight"] * (1 - 1e-9)
+    """Whether a text can be similar to any at all: what two similar texts have in common is at least
+    ``THRESHOLD`` of either, by weight or by count. A text of which less is shared keeps buckets open for no link."""
+    return (x["shared"] >= THRESHOLD * x["weight"] * (1 - 1e-9)) | (x["n_shared"] >= THRESHOLD * x["n"] * (1 - 1e-9))
 
 
 def _verifier(texts: DataFrame, sampler: Sampler):
-    """Keeps the pairs whose texts have a weighted Jaccard similarity of ``THRESHOLD``."""
+    """Keeps the pairs whose texts have a Jaccard similarity of ``THRESHOLD``, by weights or by counts alone."""
+
+    def alike(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, total: float) -> bool:
+        common = np.minimum(x[i], y[j]).sum()
+        return common >= THRESHOLD * (total - common) - 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
@@ -521,22 +594,25 @@ def _verifier(texts: DataFrame, sampler: Sampler):
                 ids, counts, _, _ = shingles([text])
                 held += len(ids)
                 weights = sampler.weights(ids, counts, _unpacked(holders).astype(float))
-                known[node] = ids, weights, weights.sum()
+                known[node] = ids, weights, weights.sum(), counts, counts.sum()
             return known[node]
 
         for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             similar = []
             columns = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b", "held_a", "held_b")]
             for a, b, text_a, text_b, held_a, held_b in zip(*columns, strict=True):
-                (ids, w, total), (other, v, rest) = vector(a, text_a, held_a), vector(b, text_b, held_b)
+                (ids, w, total, n, size), (other, v, rest, m, length) = vector(a, text_a, held_a), vector(b, text_b, held_b)
                 _, i, j = np.intersect1d(ids, other, assume_unique=True, return_indices=True)
-                common = np.minimum(w[i], v[j]).sum()
-                similar.append(common >= THRESHOLD * (total + rest - common) - 1e-9)
+                similar.append(alike(w, v, i, j, total + rest) or alike(n, m, i, j, size + length))
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("held").alias("held_a"))
-        second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("held").alias("held_b"))
+        # Later turns compare few texts: the others are not shuffled again.
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        few = nodes.count() <= BROADCAST_NODES
+        wanted = texts.join(F.broadcast(nodes), "node", "left_semi") if few else texts
+        first = wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("held").alias("held_a"))
+        second = wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("held").alias("held_b"))
         return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a bigint, b bigint")
 
     return verify
@@ -552,7 +628,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sampler = Sampler(*frequencies(docs))
     sketches = _sketches(docs, sampler).checkpoint()
     members = shared_buckets(
-        sketches.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
+        sketches.groupBy("node").agg(F.first(F.concat("bands", "plain")).alias("bands")).select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
     ).checkpoint()
     # One text for each node in a shared bucket, looked up by its hash.
     wanted = members.select("node").distinct().join(sketches.groupBy("node").agg(F.min("text_hash").alias("text_hash")), "node")
