@@ -263,6 +263,27 @@ def test_copies_in_a_large_group_are_found(spark):
             assert common < 0.8 * (sum(a.values()) + sum(b.values()) - common)
 
 
+def test_bounds_by_class_lose_no_link(spark, monkeypatch):
+    """A group of copies without their original: all similar pairs stay, and few others are compared."""
+    bounds = []
+    monkeypatch.setattr(icws, "group", lambda members, verify, bound: (bounds.append(members.select("node", "info").distinct()), group(members, verify, bound=bound))[1])
+    rng = random.Random(18)
+    base = [f"b{rng.randrange(10**9)}" for _ in range(150)]
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 5)):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(copy * rng.randrange(1, 3)))
+    nodes = dict(zip(icws._nodes(texts).astype(np.int64).tolist(), texts, strict=True))
+    icws.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    x, y = (bounds[0].toDF(name, f"{name}_info") for name in "ab")
+    can = {tuple(r) for r in x.join(y, F.col("a") < F.col("b")).filter(icws._can_be_similar(F.col("a_info"), F.col("b_info"))).select("a", "b").collect()}
+    counts = {n: Counter(zip(*[t.split()[k:] for k in range(5)], strict=False)) for n, t in nodes.items()}
+    similar = {(a, b) for a in nodes for b in nodes if a < b and (counts[a] & counts[b]).total() >= 0.8 * (counts[a] | counts[b]).total()}
+    assert similar and similar <= can and len(can) < 0.75 * len(nodes) * (len(nodes) - 1) / 2
+
+
 def test_buckets_by_counts_meet_the_jaccard_similarity():
     rng = random.Random(17)
     same = expected = 0
