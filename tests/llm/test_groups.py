@@ -279,12 +279,25 @@ def test_bounds_by_class_lose_no_link(spark, monkeypatch):
     icws.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
     x, y = (bounds[0].toDF(name, f"{name}_info") for name in "ab")
     can = {tuple(r) for r in x.join(y, F.col("a") < F.col("b")).filter(icws._can_be_similar(F.col("a_info"), F.col("b_info"))).select("a", "b").collect()}
-    counts = {n: Counter(zip(*[t.split()[k:] for k in range(5)], strict=False)) for n, t in nodes.items()}
-    similar = {(a, b) for a in nodes for b in nodes if a < b and (counts[a] & counts[b]).total() >= 0.8 * (counts[a] | counts[b]).total()}
+    held = {n: set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for n, t in nodes.items()}
+    similar = {(a, b) for a in nodes for b in nodes if a < b and len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b])}
     assert similar and similar <= can and len(can) < 0.75 * len(nodes) * (len(nodes) - 1) / 2
 
 
-def test_buckets_by_counts_meet_the_jaccard_similarity():
+def test_a_repeated_common_line_makes_no_copies(spark):
+    """Unlike texts that end in the same line, many times."""
+    rng = random.Random(19)
+    texts = [" ".join([*[f"u{rng.randrange(10**9)}" for _ in range(60)], *["is so"] * 400]) for _ in range(8)]
+    texts += [" ".join(f"u{rng.randrange(10**9)}" for _ in range(60)) for _ in range(8)]
+    words_of = {i: icws.shingles([t]) for i, t in enumerate(texts)}
+    assert max(len(np.intersect1d(words_of[0][0], words_of[i][0])) for i in range(1, 8)) == 2
+    bands = icws.plain_bands(*[np.concatenate(x) for x in ([words_of[0][0], words_of[1][0]], [[0], [len(words_of[0][0])]])])
+    assert not (bands[0] == bands[1]).any()
+    docs = spark.createDataFrame(list(enumerate(texts[8:] + [t + " " + " ".join(["is so"] * 20) for t in texts[8:]])), "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in icws.near_duplicates(docs).collect()} == {i: i % 8 for i in range(16)}
+
+
+def test_buckets_of_sets_meet_the_jaccard_similarity():
     rng = random.Random(17)
     same = expected = 0
     for size, repeats, edits in [(300, 1, 6), (60, 9, 25), (4, 1, 1), (2, 30, 3)] * 25:
@@ -292,13 +305,12 @@ def test_buckets_by_counts_meet_the_jaccard_similarity():
         b = list(a)
         for _ in range(edits):
             b[rng.randrange(len(b))] = f"x{rng.randrange(10**6)}"
-        x, y = (Counter(zip(*[t[k:] for k in range(5)], strict=False)) if len(t) >= 5 else Counter([tuple(t)]) for t in (a, b))
-        common = (x & y).total()
-        ids, counts, starts, _ = icws.shingles([" ".join(a), " ".join(b), "other words"])
-        bands = icws.plain_bands(ids, counts, starts)
+        x, y = (set(zip(*[t[k:] for k in range(5)], strict=False)) if len(t) >= 5 else {tuple(t)} for t in (a, b))
+        ids, _, starts, _ = icws.shingles([" ".join(a), " ".join(b), "other words"])
+        bands = icws.plain_bands(ids, starts)
         assert bands.shape == (3, icws.BANDS) and not (bands[:2] == bands[2]).any()
         same += (bands[0] == bands[1]).sum()
-        expected += icws.BANDS * (common / ((x | y).total())) ** icws.ROWS
+        expected += icws.BANDS * (len(x & y) / len(x | y)) ** icws.ROWS
     assert abs(same - expected) < 4 * math.sqrt(expected)
 
 

@@ -21,9 +21,9 @@ come from fixed tables of 65,536 entries for each hash.
 
 The more copies a text has, the more documents hold its shingles and the less these weigh against the edits of
 a copy: by weights alone, the same edit takes a copy out of a large group and not out of a small one, the more so the
-more documents there are. So 16 bands of 5 samples that leave the frequencies out (minwise hashes of the shingles with their
-counts) make buckets too, and candidates are verified by both exact similarities: two texts are
-similar if the weighted Jaccard similarity, or that of the counts alone, is 0.8.
+more documents there are. So 16 bands of 5 samples without weights (minwise hashes) make buckets too, and candidates are
+verified by both exact similarities: two texts are similar if the weighted Jaccard similarity, or that of the sets of their
+shingles, is 0.8. Sets, so that a line that many texts repeat makes no copies of them.
 
 Texts with the same words are one node from the start. Nodes are 64-bit hashes.
 
@@ -348,31 +348,20 @@ class Sampler:
         return out
 
 
-def plain_bands(ids: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """``[texts, BANDS]`` bucket keys by counts alone: the k-th of equal shingles is an element of its own, and two texts
-    have the same lowest element with a probability equal to the Jaccard similarity of their counts."""
+def plain_bands(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``[texts, BANDS]`` bucket keys without weights: two texts have the same lowest shingle with a probability
+    equal to the Jaccard similarity of their sets of shingles."""
     random = np.random.Generator(np.random.PCG64(20240608))
     factors = random.integers(1 << 31, size=BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
     out = np.zeros((len(starts), BANDS), np.uint64)
-    more = np.flatnonzero(counts > 1)
-    extra = counts[more] - 1
-    first = np.cumsum(extra) - extra
     with np.errstate(over="ignore"):
-        nth = (np.arange(extra.sum()) - np.repeat(first, extra) + 1).astype(np.uint64)
-        again = (_mix(np.repeat(ids[more], extra) + _mix(nth)) >> np.uint64(32)).astype(np.uint32)
-        once = (_mix(ids) >> np.uint64(32)).astype(np.uint32)
-        # Where the repeated ones of each text that has any begin.
-        holders, at = np.unique(np.searchsorted(starts, more, side="right") - 1, return_index=True)
-        begin = first[at]
-        hashes, repeated = np.empty_like(once), np.empty_like(again)
+        mixed = (_mix(ids) >> np.uint64(32)).astype(np.uint32)
+        hashes = np.empty_like(mixed)
         for k, factor in enumerate(factors):
-            np.multiply(once, factor, out=hashes)
-            low = np.minimum.reduceat(hashes, starts)
-            if len(again):
-                np.multiply(again, factor, out=repeated)
-                low[holders] = np.minimum(low[holders], np.minimum.reduceat(repeated, begin))
+            np.multiply(mixed, factor, out=hashes)
+            low = np.minimum.reduceat(hashes, starts).astype(np.uint64)
             band = k // ROWS
-            out[:, band] = _mix(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + low.astype(np.uint64) + np.uint64(BANDS + band + 1))
+            out[:, band] = _mix(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + low + np.uint64(BANDS + band + 1))
     return out
 
 
@@ -490,9 +479,9 @@ def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 packed = [_packed(told[:0])] * len(part)
                 if len(own_ids):
                     made = sampler.bands(own_ids, sampler.weights(own_ids, counts, own_held), starts).astype(np.int64)
-                    other = plain_bands(own_ids, counts, starts).astype(np.int64)
-                    for text, of_text, of_counts, row_held in zip(present.tolist(), made.tolist(), other.tolist(), np.split(own_held, starts[1:]), strict=True):
-                        keys[text], plain_keys[text], packed[text] = of_text, of_counts, _packed(row_held)
+                    other = plain_bands(own_ids, starts).astype(np.int64)
+                    for text, of_text, of_set, row_held in zip(present.tolist(), made.tolist(), other.tolist(), np.split(own_held, starts[1:]), strict=True):
+                        keys[text], plain_keys[text], packed[text] = of_text, of_set, _packed(row_held)
                 bands += keys
                 plain += plain_keys
                 held += packed
@@ -507,7 +496,7 @@ def _sampled(sampler: Sampler) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
     """``doc_id, text_hash, node, bands, plain, held`` of every document; empty bands without a word. ``plain`` are the
-    bands by counts alone; ``held`` is how many documents hold each of its shingles, in their order, packed."""
+    bands without weights; ``held`` is how many documents hold each of its shingles, in their order, packed."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = (chars // SHARD_CHARS).bit_length()
@@ -526,7 +515,7 @@ def _sketches(docs: DataFrame, sampler: Sampler) -> DataFrame:
 
 def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
     """``node, info``: each text's weight, and that of its shingles that another text here has too; ``n, n_shared``: the
-    same of their counts alone; ``parts``: the latter by classes of shingles."""
+    numbers of these; ``parts``: the latter by classes of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, part in _texts(batches):
@@ -536,19 +525,17 @@ def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
                 sizes = np.diff(np.concatenate([starts, [len(ids)]]))
                 nodes = np.repeat(rows.column("node").to_numpy()[present], sizes)
                 weights = sampler.weights(ids, counts, held)
-                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": weights, "count": counts})
+                yield pa.RecordBatch.from_pydict({"shingle": ids.astype(np.int64), "node": nodes, "weight": weights})
 
-    rows = texts.select("node", "text", "held").mapInArrow(run, "shingle bigint, node bigint, weight double, count bigint")
+    rows = texts.select("node", "text", "held").mapInArrow(run, "shingle bigint, node bigint, weight double")
 
     def by_class(name: str) -> list[Column]:
         of = F.col("shingle").bitwiseAND(CLASSES - 1)
-        return [F.sum(F.when(of == k, F.col("count")).otherwise(0)).alias(f"{name}_{k}") for k in range(CLASSES)]
+        return [F.count_if(of == k).alias(f"{name}_{k}") for k in range(CLASSES)]
 
-    whole = rows.groupBy("node").agg(F.sum("weight").alias("weight"), F.sum("count").alias("n"), *by_class("all"))
-    single = rows.groupBy("shingle").agg(
-        F.count("*").alias("holders"), F.min("node").alias("node"), F.max("weight").alias("weight"), F.max("count").alias("count")
-    )
-    own = single.filter("holders = 1").groupBy("node").agg(F.sum("weight").alias("own"), F.sum("count").alias("n_own"), *by_class("own"))
+    whole = rows.groupBy("node").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"), *by_class("all"))
+    single = rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node"), F.max("weight").alias("weight"))
+    own = single.filter("holders = 1").groupBy("node").agg(F.sum("weight").alias("own"), F.count("*").alias("n_own"), *by_class("own"))
     shared = F.col("weight") - F.coalesce("own", F.lit(0.0))
     n_shared = F.col("n") - F.coalesce("n_own", F.lit(0))
     parts = F.array(*[F.col(f"all_{k}") - F.coalesce(f"own_{k}", F.lit(0)) for k in range(CLASSES)])
@@ -557,7 +544,7 @@ def _weights(texts: DataFrame, sampler: Sampler) -> DataFrame:
 
 
 def _can_be_similar(x: Column, y: Column) -> Column:
-    """Two texts have no more in common than either shares with any text at all, by weight or by count, and that in each
+    """Two texts have no more in common than either shares with any text at all, by weight or by number, and that in each
     class of shingles. So copies with too many edits of their own need no comparison, and no link is lost."""
 
     def enough(common: Column, whole: str) -> Column:
@@ -570,16 +557,15 @@ def _can_be_similar(x: Column, y: Column) -> Column:
 
 def _has_similar(x: Column) -> Column:
     """Whether a text can be similar to any at all: what two similar texts have in common is at least
-    ``THRESHOLD`` of either, by weight or by count. A text of which less is shared keeps buckets open for no link."""
+    ``THRESHOLD`` of either, by weight or by number. A text of which less is shared keeps buckets open for no link."""
     return (x["shared"] >= THRESHOLD * x["weight"] * (1 - 1e-9)) | (x["n_shared"] >= THRESHOLD * x["n"] * (1 - 1e-9))
 
 
 def _verifier(texts: DataFrame, sampler: Sampler):
-    """Keeps the pairs whose texts have a Jaccard similarity of ``THRESHOLD``, by weights or by counts alone."""
+    """Keeps the pairs whose texts have a Jaccard similarity of ``THRESHOLD``, by weights or as sets of shingles."""
 
-    def alike(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, total: float) -> bool:
-        common = np.minimum(x[i], y[j]).sum()
-        return common >= THRESHOLD * (total - common) - 1e-9
+    def alike(common: float, both: float) -> bool:
+        return common >= THRESHOLD * (both - common) - 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
@@ -594,16 +580,16 @@ def _verifier(texts: DataFrame, sampler: Sampler):
                 ids, counts, _, _ = shingles([text])
                 held += len(ids)
                 weights = sampler.weights(ids, counts, _unpacked(holders).astype(float))
-                known[node] = ids, weights, weights.sum(), counts, counts.sum()
+                known[node] = ids, weights, weights.sum()
             return known[node]
 
         for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             similar = []
             columns = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b", "held_a", "held_b")]
             for a, b, text_a, text_b, held_a, held_b in zip(*columns, strict=True):
-                (ids, w, total, n, size), (other, v, rest, m, length) = vector(a, text_a, held_a), vector(b, text_b, held_b)
+                (ids, w, total), (other, v, rest) = vector(a, text_a, held_a), vector(b, text_b, held_b)
                 _, i, j = np.intersect1d(ids, other, assume_unique=True, return_indices=True)
-                similar.append(alike(w, v, i, j, total + rest) or alike(n, m, i, j, size + length))
+                similar.append(alike(np.minimum(w[i], v[j]).sum(), total + rest) or alike(len(i), len(ids) + len(other)))
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
